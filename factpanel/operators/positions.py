@@ -1,0 +1,47 @@
+"""Exact positions in a sorted group, computed without sorting it in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from factpanel.session import stage
+
+
+def with_positions(
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    weight: Column | None = None,
+    out: str = "_before",
+) -> DataFrame:
+    """Add, per row, the weight of all rows sorted before it within its group.
+
+    A range shuffle on keys and order cuts a group of any size into slices. Each
+    slice is sorted by itself, and the sums of the earlier slices of the group
+    are added. ``(keys, order)`` has to be unique, or a run of equal rows stays in
+    one slice. The slices are staged: range bounds are sampled, so reading them
+    twice from two plans could cut differently.
+    """
+    weight = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
+    slices = stage(
+        df.withColumn("_weight", weight)
+        .repartitionByRange(*[F.col(k) for k in keys], *order)
+        .withColumn("_slice", F.spark_partition_id())
+    )
+    earlier = Window.unboundedPreceding, -1
+    by_slice = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*earlier)
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(*earlier)
+    # at most one row per slice and one per group: ranges are contiguous
+    offsets = (
+        slices.groupBy(*keys, "_slice")
+        .agg(F.sum("_weight").alias("_sum"))
+        .withColumn("_offset", F.coalesce(F.sum("_sum").over(by_slice), F.lit(0)))
+        .select(*keys, "_slice", "_offset")
+    )
+    before = F.col("_offset") + F.coalesce(F.sum("_weight").over(within), F.lit(0))
+    return (
+        slices.join(offsets, [*keys, "_slice"])
+        .withColumn(out, before)
+        .drop("_slice", "_offset", "_weight")
+    )

@@ -1,0 +1,38 @@
+"""Shared-folder staging for the few plans that read an intermediate twice."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_local_roots: list[str] = []
+
+
+def staging_root(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of its own; on a
+    cluster a machine-local folder would not be seen by the other executors.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _local_roots:
+        _local_roots.append(tempfile.mkdtemp(prefix="factpanel-"))
+    return _local_roots[0]
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    Cuts the lineage, survives the loss of executors, and makes every later read
+    see the same rows in the same files.
+    """
+    spark = df.sparkSession
+    path = f"{staging_root(spark)}/factpanel-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
