@@ -38,7 +38,8 @@ def is_infinite(c: Column | str) -> Column:
 
 def safe_ratio(a: Column | str, b: Column | str) -> Column:
     a, b = _col(a), _col(b)
-    by_zero = F.when((b == 0) & (a > 0), F.lit(INF)).when((b == 0) & (a < 0), F.lit(-INF))
+    # the power of a zero is an infinity with the sign of that zero
+    by_zero = F.when(b == 0, a * F.pow(b, F.lit(-1.0)))
     return nan_to_null(F.coalesce(F.try_divide(a, b), by_zero))
 
 

@@ -42,7 +42,10 @@ def _join_key(df: DataFrame, keys: list[str], spread_nulls: bool) -> Column:
 
 
 def with_known_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.dropna(subset=keys)
+    """Rows with all keys; plain null checks reach the scan, ``dropna`` would not."""
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
 
 
 def join_per_filing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

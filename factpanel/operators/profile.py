@@ -112,8 +112,8 @@ def _text_profile(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _bin(c: str, low: Column, high: Column, bins: int) -> Column:
-    place = F.floor((F.col(c) - low) * bins / F.nullif(high - low, F.lit(0.0))) + 1
-    return F.coalesce(F.least(place, F.lit(bins)), F.lit(1)).cast("int")
+    place = F.floor(F.try_divide((F.col(c) - low) * bins, high - low)) + 1
+    return F.when(high > low, F.least(place, F.lit(bins))).otherwise(F.lit(1)).cast("int")
 
 
 def histogram_2d(df: DataFrame, x: str, y: str, bins: int = 30) -> DataFrame:

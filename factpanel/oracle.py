@@ -53,8 +53,7 @@ def _texts(names: list[str]) -> str:
 
 
 def _ratio(a: str, b: str) -> str:
-    by_zero = f"CASE WHEN {a} > 0 THEN CAST('inf' AS DOUBLE) WHEN {a} < 0 THEN CAST('-inf' AS DOUBLE) END"
-    return f"nullif(CASE WHEN {b} = 0 THEN {by_zero} ELSE {a} / {b} END, CAST('nan' AS DOUBLE))"
+    return f"nullif(CASE WHEN {b} = 0 THEN {a} * pow({b}, -1) ELSE {a} / {b} END, CAST('nan' AS DOUBLE))"
 
 
 def _finite(c: str) -> str:
@@ -522,8 +521,8 @@ UNION ALL SELECT 'rows_num', dataset_year || '_' || dataset_quarter, 'OK', '', '
         "histogram_2d": _with(
             f"{PANEL},\nxy AS (SELECT roe AS x, roa AS y FROM p WHERE isfinite(roe) AND isfinite(roa)),\n"
             "b AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM xy)",
-            "SELECT CAST(coalesce(least(floor((x - x0) * 30 / nullif(x1 - x0, 0)) + 1, 30), 1) AS INTEGER) AS x_bin, "
-            "CAST(coalesce(least(floor((y - y0) * 30 / nullif(y1 - y0, 0)) + 1, 30), 1) AS INTEGER) AS y_bin, "
+            "SELECT CAST(CASE WHEN x1 > x0 THEN least(floor((x - x0) * 30 / (x1 - x0)) + 1, 30) ELSE 1 END AS INTEGER) AS x_bin, "
+            "CAST(CASE WHEN y1 > y0 THEN least(floor((y - y0) * 30 / (y1 - y0)) + 1, 30) ELSE 1 END AS INTEGER) AS y_bin, "
             "count(*) AS n FROM xy, b GROUP BY 1, 2",
         ),
         "union_by_name": _with(
