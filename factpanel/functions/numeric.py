@@ -3,6 +3,10 @@
 NaN never leaves a helper: it becomes null, so that ``NaN >= 5`` (true in Spark)
 cannot let a row through a filter. A non-zero number over zero is an infinity and
 zero over zero is null, whatever the ANSI setting of the session.
+
+Arguments are SQL expressions as text, a column name being the usual one. A panel
+has some hundred derived columns, and one parsed text each is far cheaper to build
+than a tree of column objects.
 """
 
 from __future__ import annotations
@@ -12,50 +16,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INF = float("inf")
+NULL_SQL = "CAST(NULL AS DOUBLE)"
+INF_SQL = "CAST('Infinity' AS DOUBLE)"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _null() -> Column:
-    return F.lit(None).cast("double")
+def nan_to_null_sql(x: str) -> str:
+    return f"nanvl({x}, {NULL_SQL})"
 
 
-def nan_to_null(c: Column | str) -> Column:
-    return F.nanvl(_col(c), _null())
+def nan_to_null(x: str) -> Column:
+    return F.expr(nan_to_null_sql(x))
 
 
-def finite(c: Column | str) -> Column:
-    """The value, or null where it is NaN or infinite."""
-    c = _col(c)
-    return F.when(F.isnan(c) | (F.abs(c) == INF), _null()).otherwise(c)
+def finite_sql(x: str) -> str:
+    return f"CASE WHEN NOT (isnan({x}) OR abs({x}) = {INF_SQL}) THEN {x} END"
 
 
-def is_infinite(c: Column | str) -> Column:
-    return F.coalesce(F.abs(_col(c)) == INF, F.lit(False))
+def finite(x: str) -> Column:
+    """The value, or null where it is NaN or infinite."""
+    return F.expr(finite_sql(x))
 
 
-def safe_ratio(a: Column | str, b: Column | str) -> Column:
-    a, b = _col(a), _col(b)
+def ratio_sql(a: str, b: str) -> str:
     # the power of a zero is an infinity with the sign of that zero
-    by_zero = F.when(b == 0, a * F.pow(b, F.lit(-1.0)))
-    return nan_to_null(F.coalesce(F.try_divide(a, b), by_zero))
+    by_zero = f"CASE WHEN {b} = 0 THEN {a} * power({b}, -1D) END"
+    return nan_to_null_sql(f"coalesce(try_divide({a}, {b}), {by_zero})")
+
 
+def safe_ratio(a: str, b: str) -> Column:
+    return F.expr(ratio_sql(a, b))
 
-def to_double(c: Column | str) -> Column:
+
+def to_double(x: str) -> Column:
     """Strict cast: under ANSI a text that is no number raises."""
-    return nan_to_null(_col(c).cast("double"))
+    return nan_to_null(f"CAST({x} AS DOUBLE)")
 
 
-def lenient_double(c: Column | str) -> Column:
+def lenient_double(x: str) -> Column:
     """Number, or null where the text is none.
 
     Java also reads a trailing type letter (``5d``, ``1.5f``) as a number; such
     text counts as not numeric here.
     """
-    text = _col(c).cast("string")
-    return nan_to_null(F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double")))
+    text = f"CAST({x} AS STRING)"
+    plain = f"CASE WHEN NOT ({text} RLIKE '[0-9.][dDfF]\\\\s*$') THEN try_cast({text} AS DOUBLE) END"
+    return nan_to_null(plain)
 
 
 def lenient_columns(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -65,27 +74,18 @@ def lenient_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     for c in cols:
         if c not in types:
             continue
-        if isinstance(types[c], (T.DoubleType, T.FloatType)):
-            made[c] = nan_to_null(F.col(c).cast("double"))
-        elif isinstance(types[c], T.NumericType):
-            made[c] = F.col(c).cast("double")
-        else:
-            made[c] = lenient_double(c)
+        is_number = isinstance(types[c], T.NumericType)
+        made[c] = to_double(quoted(c)) if is_number else lenient_double(quoted(c))
     return df.withColumns(made) if made else df
 
 
-def sum_skipping_missing(parts: list[Column]) -> Column:
+def sum_skipping_missing(parts: list[str]) -> Column:
     """Sum of the parts that are present; null if none is.
 
     The order of the additions is fixed by the list, so the result does not
     depend on how rows were distributed.
     """
-    total = F.lit(0.0)
+    total = "0D"
     for p in parts:
-        total = total + F.coalesce(p, F.lit(0.0))
-    return F.when(F.coalesce(*parts).isNotNull(), total)
-
-
-def exact_sum(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
-    """Order-independent sum: decimal inside, double outside."""
-    return F.sum(_col(c).cast(T.DecimalType(precision, scale))).cast("double")
+        total = f"({total} + coalesce({p}, 0D))"
+    return F.expr(f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {total} END")

@@ -199,7 +199,7 @@ def audit_quarters(
 
 
 # Line ends and blanks of Unicode text, the same in every regex engine.
-LINE_END = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
+LINE_END = r"[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
 BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
@@ -215,10 +215,12 @@ def classify_lines(
     ``categories`` are (label, pattern, groups) in order; the first that matches
     wins, and only counts for rows whose ``group`` is in its list (None: all).
     """
+    # the outer form: Catalyst would guard the plain one by splitting the text twice
+    one_end = F.replace(F.col(text), F.lit("\r\n"), F.lit("\n"))
     lines = df.select(
         *keys,
         *([group] if group and group not in keys else []),
-        F.posexplode(F.split(text, LINE_END)).alias("at", "raw"),
+        F.posexplode_outer(F.split(one_end, LINE_END)).alias("at", "raw"),
     )
     hits = []
     for label, pattern, groups in categories:

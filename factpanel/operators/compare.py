@@ -52,7 +52,7 @@ def compare_companies(
 def _step(label: str, value: Column, measure: str) -> Column:
     return F.struct(
         F.lit(label).alias("step"),
-        nan_to_null(value).alias("value"),
+        F.nanvl(value, F.lit(None).cast("double")).alias("value"),
         F.lit(measure).alias("measure"),
     )
 
@@ -68,8 +68,8 @@ def profit_bridge(df: DataFrame, keys: list[str]) -> DataFrame:
     revenue, net = F.col("revenue"), F.col("net_income")
     has_gross = F.col("gross_margin").isNotNull()
     has_operating = F.col("operating_margin").isNotNull()
-    gross = nan_to_null(revenue * F.col("gross_margin"))
-    operating = nan_to_null(revenue * F.col("operating_margin"))
+    gross = nan_to_null("revenue * gross_margin")
+    operating = nan_to_null("revenue * operating_margin")
     before_operating = F.when(has_gross, gross).otherwise(revenue)
     before_net = F.when(has_operating, operating).otherwise(before_operating)
     steps = F.array(

@@ -100,9 +100,8 @@ def attach_facts(sub: DataFrame, facts: DataFrame) -> DataFrame:
 def add_ratios(df: DataFrame) -> DataFrame:
     """The ten ratios, ``fcf_approx`` and ``fcf_to_net_income``."""
     made = {name: safe_ratio(a, b) for name, (a, b) in RATIOS.items()}
-    free_cash = nan_to_null(F.col("cfo") + F.col("cfi"))
-    made["fcf_approx"] = free_cash
-    made["fcf_to_net_income"] = safe_ratio(free_cash, "net_income")
+    made["fcf_approx"] = nan_to_null("cfo + cfi")
+    made["fcf_to_net_income"] = safe_ratio("(cfo + cfi)", "net_income")
     return df.withColumns(made)
 
 

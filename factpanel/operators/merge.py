@@ -114,5 +114,6 @@ def merge_metrics(
         raise ValueError(f"unknown collapse {collapse!r}")
     margins = ["gross_margin", "operating_margin", "net_margin"]
     made = {m: safe_ratio(*RATIOS[m]) for m in margins if set(RATIOS[m]) <= set(tags)}
-    cols = [c for c in SCREENER_COLS if c in rows.columns]
+    there = set(rows.columns)
+    cols = [c for c in SCREENER_COLS if c in there]
     return rows.select(*cols, *tags).withColumns(made) if made else rows.select(*cols, *tags)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factpanel.functions.ids import period_label
 from factpanel.functions.numeric import (
-    finite,
+    finite_sql,
     nan_to_null,
     safe_ratio,
     sum_skipping_missing,
@@ -31,7 +31,8 @@ def panel_order(df: DataFrame, by_period: bool = True) -> list[Column]:
     names = ["dataset_year", "dataset_quarter", "adsh"]
     if by_period:
         names = ["period", *names]
-    return [F.col(c).asc_nulls_last() for c in names if c in df.columns]
+    there = set(df.columns)
+    return [F.col(c).asc_nulls_last() for c in names if c in there]
 
 
 def large_companies(rows: DataFrame, above: int) -> list:
@@ -90,78 +91,94 @@ def _alone_without_company(df: DataFrame, build: Build, order: list[Column]) ->
     return build(df.withColumn("_alone", alone), window).drop("_alone")
 
 
-def _of_company(c: Column) -> Column:
-    return F.when(F.col("cik").isNotNull(), c)
+def _earlier(c: str, back: int) -> str:
+    """Name of the helper column with the value ``back`` rows earlier."""
+    return f"_{c}_{back}"
 
 
-def _change(c: str, window: WindowSpec) -> Column:
-    return _of_company(safe_ratio(F.col(c), F.lag(c, YEAR_ROWS).over(window)) - 1)
+def _yoy(c: str) -> dict[str, Column]:
+    return {f"{c}_yoy": safe_ratio(c, _earlier(c, YEAR_ROWS)) - 1}
 
 
-def yoy_columns(cols: list[str] = YOY_COLS) -> Build:
-    """``x_yoy``: x over x four rows earlier, minus one; no filling of gaps."""
+def _ttm(c: str) -> dict[str, Column]:
+    """A row without a company is alone, so only its own value has to be left out."""
+    parts = [finite_sql(_earlier(c, back)) for back in range(YEAR_ROWS - 1, 0, -1)]
+    own = finite_sql(f"CASE WHEN cik IS NOT NULL THEN {c} END")
+    return {f"ttm_{c}": sum_skipping_missing([*parts, own])}
 
-    def build(df: DataFrame, window: WindowSpec) -> DataFrame:
-        made = {f"{c}_yoy": _change(c, window) for c in cols if c in df.columns}
-        return df.withColumns(made) if made else df
 
-    return build
+def _delta(c: str) -> dict[str, Column]:
+    return {f"{c}_delta": nan_to_null(f"{c} - {_earlier(c, 1)}")}
 
 
-def _trailing(c: str, window: WindowSpec) -> Column:
-    value = finite(c)
-    parts = [F.lag(value, back).over(window) for back in range(YEAR_ROWS - 1, 0, -1)]
-    return _of_company(sum_skipping_missing([*parts, value]))
+def _with_series(
+    df: DataFrame,
+    window: WindowSpec,
+    yoy: list[str] = (),
+    ttm: list[str] = (),
+    delta: list[str] = (),
+) -> DataFrame:
+    """The asked series of the columns that exist.
 
+    Every earlier value is looked up once, in one window step, and shared by the
+    series that use it.
+    """
+    there = set(df.columns)
+    yoy, ttm, delta = ([c for c in cols if c in there] for cols in (yoy, ttm, delta))
+    looks = [(c, YEAR_ROWS) for c in yoy] + [(c, 1) for c in delta]
+    looks += [(c, back) for c in ttm for back in range(1, YEAR_ROWS)]
+    if not looks:
+        return df
+    looked = {_earlier(c, back): F.lag(c, back).over(window) for c, back in set(looks)}
+    made: dict[str, Column] = {}
+    for cols, series in ((yoy, _yoy), (ttm, _ttm), (delta, _delta)):
+        for c in cols:
+            made |= series(c)
+    return df.withColumns(looked).withColumns(made).drop(*looked)
 
-def ttm_columns(cols: list[str] = TTM_COLS) -> Build:
-    """``ttm_x``: sum over the last four rows, at least one present; the trailing margin."""
 
-    def build(df: DataFrame, window: WindowSpec) -> DataFrame:
-        made = {f"ttm_{c}": _trailing(c, window) for c in cols if c in df.columns}
-        if made:
-            df = df.withColumns(made)
-        if {"ttm_net_income", "ttm_revenue"} <= set(df.columns):
-            margin = safe_ratio("ttm_net_income", "ttm_revenue")
-            df = df.withColumn("ttm_net_margin", margin)
+def _with_ttm_margin(df: DataFrame) -> DataFrame:
+    if not {"ttm_net_income", "ttm_revenue"} <= set(df.columns):
         return df
+    return df.withColumn("ttm_net_margin", safe_ratio("ttm_net_income", "ttm_revenue"))
 
-    return build
 
+def yoy_columns(cols: list[str] = YOY_COLS) -> Build:
+    """``x_yoy``: x over x four rows earlier, minus one; no filling of gaps."""
+    return lambda df, window: _with_series(df, window, yoy=cols)
 
-def delta_columns(cols: list[str] = DELTA_COLS) -> Build:
-    """``x_delta``: x minus x one row earlier."""
 
-    def build(df: DataFrame, window: WindowSpec) -> DataFrame:
-        made = {
-            f"{c}_delta": _of_company(nan_to_null(F.col(c) - F.lag(c, 1).over(window)))
-            for c in cols
-            if c in df.columns
-        }
-        return df.withColumns(made) if made else df
+def ttm_columns(cols: list[str] = TTM_COLS) -> Build:
+    """``ttm_x``: sum over the last four rows, at least one present; the trailing margin."""
+    return lambda df, window: _with_ttm_margin(_with_series(df, window, ttm=cols))
 
-    return build
 
+def delta_columns(cols: list[str] = DELTA_COLS) -> Build:
+    """``x_delta``: x minus x one row earlier."""
+    return lambda df, window: _with_series(df, window, delta=cols)
 
-def in_turn(*builds: Build) -> Build:
-    """Several column sets over one window: they share its shuffle and sort."""
+
+def ttm_yoy_columns() -> Build:
+    """Trailing sums, and their change over four rows."""
 
     def build(df: DataFrame, window: WindowSpec) -> DataFrame:
-        for b in builds:
-            df = b(df, window)
-        return df
+        return _with_series(ttm_columns()(df, window), window, yoy=TTM_YOY_COLS)
 
     return build
 
 
-def ttm_yoy_columns() -> Build:
-    """Trailing sums, and their change over four rows."""
-    return in_turn(ttm_columns(), yoy_columns(TTM_YOY_COLS))
+def panel_columns() -> Build:
+    """Everything: yearly changes, trailing sums with theirs, steps.
 
+    Two window steps over the same shuffle and sort: one for all earlier values,
+    one for the earlier trailing values.
+    """
 
-def panel_columns() -> Build:
-    """Everything: yearly changes, trailing sums with theirs, steps."""
-    return in_turn(yoy_columns(), ttm_yoy_columns(), delta_columns())
+    def build(df: DataFrame, window: WindowSpec) -> DataFrame:
+        first = _with_series(df, window, yoy=YOY_COLS, ttm=TTM_COLS, delta=DELTA_COLS)
+        return _with_series(_with_ttm_margin(first), window, yoy=TTM_YOY_COLS)
+
+    return build
 
 
 def company_ttm(
@@ -182,10 +199,7 @@ def company_ttm(
         raise ValueError(f"no rows of company {cik}")
     rows = rows.select("cik", "dataset_year", "dataset_quarter", "adsh", column)
 
-    def build(part: DataFrame, window: WindowSpec) -> DataFrame:
-        return part.withColumn(f"ttm_{column}", _trailing(column, window))
-
-    done = over_companies(rows, build, by_period=False, split_above=split_above)
+    done = over_companies(rows, ttm_columns([column]), by_period=False, split_above=split_above)
     label = period_label("dataset_year", "dataset_quarter").alias("period")
     return done.orderBy(*panel_order(done, by_period=False)).select(label, f"ttm_{column}")
 
@@ -200,7 +214,8 @@ def _keep_first(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 
 def _last_in(df: DataFrame) -> list[Column]:
     names = ["dataset_year", "dataset_quarter", "adsh"]
-    return [F.col(c).desc_nulls_last() for c in names if c in df.columns]
+    there = set(df.columns)
+    return [F.col(c).desc_nulls_last() for c in names if c in there]
 
 
 def latest_by_text(df: DataFrame) -> DataFrame:
@@ -231,9 +246,5 @@ def latest_by_rank(df: DataFrame) -> DataFrame:
 
 def first_by_name(df: DataFrame, by: str = "revenue") -> DataFrame:
     """Row with the highest value per company name."""
-    return _keep_first(df, "name", [F.col(by).desc_nulls_last(), *_first_in(df)])
-
-
-def _first_in(df: DataFrame) -> list[Column]:
-    names = ["dataset_year", "dataset_quarter", "adsh"]
-    return [F.col(c).asc_nulls_last() for c in names if c in df.columns]
+    order = [F.col(by).desc_nulls_last(), *panel_order(df, by_period=False)]
+    return _keep_first(df, "name", order)

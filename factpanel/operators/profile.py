@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factpanel.functions.numeric import finite, nan_to_null
+from factpanel.functions.numeric import finite, nan_to_null, quoted, to_double
 from factpanel.operators.positions import with_positions
 
 # The quartiles of a profile.
@@ -49,12 +49,12 @@ def profile_columns(
 
 
 def _numeric_profile(df: DataFrame, cols: list[str], approximate: bool) -> DataFrame:
-    values = [nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]
+    values = [to_double(quoted(c)).alias(c) for c in cols]
     long = df.select(*values).unpivot([], cols, "column", "value")
     measures = [
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
-        nan_to_null(F.stddev_samp("value")).alias("std"),
+        nan_to_null("stddev_samp(value)").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     ]
@@ -92,7 +92,8 @@ def _quartiles(long: DataFrame) -> DataFrame:
         place = (F.col("_n") - 1) * F.lit(p)
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         part = low + (high - low) * (place - F.floor(place))
-        made.append(F.when(low == high, low).otherwise(nan_to_null(part)).alias(name))
+        part = F.when(low == high, low).otherwise(F.nanvl(part, F.lit(None).cast("double")))
+        made.append(part.alias(name))
     return ends.select("column", *made)
 
 
@@ -122,7 +123,7 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins: int = 30) -> DataFrame:
     Rows with a missing or infinite coordinate are left out. The bounds are a
     scalar subquery of one row.
     """
-    rows = df.select(finite(x).alias("x"), finite(y).alias("y")).dropna()
+    rows = df.select(finite(quoted(x)).alias("x"), finite(quoted(y)).alias("y")).dropna()
     ends = [f(c).alias(f"{name}_{c}") for c in "xy" for name, f in (("low", F.min), ("high", F.max))]
     bound = rows.agg(F.struct(*ends).alias("b")).scalar()
     cell = [

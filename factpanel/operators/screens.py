@@ -19,13 +19,15 @@ DEBT_TO_EQUITY_LIMIT = 2.0
 
 def existing(df: DataFrame, cols: list[str]) -> DataFrame:
     """Projection to the listed columns that exist."""
-    return df.select(*[c for c in cols if c in df.columns])
+    there = set(df.columns)
+    return df.select(*[c for c in cols if c in there])
 
 
 def _ties(df: DataFrame) -> list[Column]:
     """Order of equal values. The range shuffle of a full sort cuts on these too,
     so rows that share one value spread over several tasks."""
-    return [F.col(c).asc_nulls_last() for c in ("adsh", *PERIOD_COLS) if c in df.columns]
+    there = set(df.columns)
+    return [F.col(c).asc_nulls_last() for c in ("adsh", *PERIOD_COLS) if c in there]
 
 
 def _by(df: DataFrame, metric: str, ascending: bool = False) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,20 +46,42 @@ def panel_check(tables: FactTables, max_periods: int = PANEL_PERIODS) -> DataFra
         return _panel_line(tables, "ERROR", [str(error).splitlines()[0]])
 
 
+def _settled(tables: FactTables, name: str, make: Callable[[], DataFrame | None]) -> DataFrame:
+    """Lines of one check, or one line that says why it failed.
+
+    A report line stands for a period or a table, so the lines are few; taking
+    them now keeps an error in one check away from the others.
+    """
+    schema = "check string, period string, status string, issues array<string>, meta map<string,string>"
+    try:
+        lines = make()
+        rows = [] if lines is None else lines.collect()
+    except Exception as error:  # any failure is the finding
+        rows = [(name, None, "ERROR", [str(error).splitlines()[0]], {})]
+    return tables.spark.createDataFrame(rows, schema)
+
+
 def run_checks(tables: FactTables) -> DataFrame:
     """Every check in one report; a check that fails leaves the others standing."""
-    inventory = tables.inventory()
-    sub, num = tables.find("sub"), tables.find("num")
-    counted = {t: tables.find(t) for t in REQUIRED_TABLES}
-    counted = {t: df for t, df in counted.items() if df is not None}
-    return check_report(
-        completeness=period_completeness(inventory),
-        sub_checks=None if sub is None else sub_integrity(sub),
-        num_checks=None if num is None else num_integrity(num),
-        panel_check=panel_check(tables),
-        counts=row_count_snapshot(counted) if counted else None,
-        unreadable=unreadable_files(list_files(tables.spark, tables.root)),
-    )
+
+    def of_table(table: str, argument: str, check: Callable[[DataFrame], DataFrame]):
+        def make() -> DataFrame | None:
+            df = tables.find(table)
+            return None if df is None else check_report(**{argument: check(df)})
+
+        return make
+
+    parts = {
+        "periods": lambda: check_report(completeness=period_completeness(tables.inventory())),
+        "sub": of_table("sub", "sub_checks", sub_integrity),
+        "num": of_table("num", "num_checks", num_integrity),
+        "fundamentals": lambda: check_report(panel_check=panel_check(tables)),
+    }
+    for t in REQUIRED_TABLES:
+        parts[f"rows_{t}"] = of_table(t, "counts", lambda df, t=t: row_count_snapshot({t: df}))
+    settled = [_settled(tables, name, make) for name, make in parts.items()]
+    files = list_files(tables.spark, tables.root)
+    return reduce(DataFrame.union, settled, check_report(unreadable=unreadable_files(files)))
 
 
 def run_audit(

@@ -12,7 +12,6 @@ from factpanel import bindings as b
 from factpanel.functions import ids, numeric
 from factpanel.functions.display import format_display, format_numeric_columns
 from factpanel.operators import audit, compare, facts, merge, panel, profile, quality, screens, unions
-from factpanel.plans.fundamentals import enrich_panel
 from factpanel.plans.screening import simple_screener
 from factpanel.schema import DELTA_COLS, PERIOD_COLS, RATIOS, SCREENER_TAGS, TTM_COLS, YOY_COLS
 from factpanel.sources.tables import FactTables
@@ -29,7 +28,7 @@ BASE_TABLES = [
 NO_COMPANY = "9999999999"
 LINE_CATEGORIES = [
     ("license", r"(?i)licen[cs]e|copyright|all rights reserved", None),
-    ("contact", r"[A-Za-z0-9._]+@[A-Za-z0-9.]+|\+[0-9][0-9 ()-]{6,}", None),
+    ("contact", r"[A-Za-z0-9._]@[A-Za-z0-9.]|\+[0-9][0-9 ()-]{6,}", None),
     ("digits", r"[0-9]{4,}", ["en", "de"]),
     ("short", r"^\s*\S{1,12}\s*$", None),
 ]
@@ -39,10 +38,9 @@ def plain(df: DataFrame) -> DataFrame:
     """Infinite values as null, with their number per row, so that rows of any
     engine can be compared by value."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    count = F.lit(0)
-    for c in doubles:
-        count = count + numeric.is_infinite(c).cast("int")
-    return df.withColumns({**{c: numeric.finite(c) for c in doubles}, "n_infinite": count})
+    hits = [f"CAST(coalesce(abs({c}) = {numeric.INF_SQL}, false) AS INT)" for c in doubles]
+    made = {c: numeric.finite(c) for c in doubles}
+    return df.withColumns({**made, "n_infinite": F.expr(" + ".join(hits))})
 
 
 def _panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,8 +48,9 @@ def _panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _series(spark: SparkSession, sf: str, build: panel.Build) -> DataFrame:
-    filings = facts.filter_forms(b.sub(spark, sf))
-    return panel.over_companies(_panel(spark, sf), build, companies=filings)
+    sub = b.sub(spark, sf)
+    rows = facts.build_fundamentals(sub, b.num(spark, sf), tags=b.TAGS)
+    return panel.over_companies(rows, build, companies=facts.filter_forms(sub))
 
 
 def fundamentals(spark, sf):
@@ -164,7 +163,7 @@ def panel_delta(spark, sf):
 
 
 def panel_full(spark, sf):
-    return plain(enrich_panel(_panel(spark, sf), facts.filter_forms(b.sub(spark, sf))))
+    return plain(_series(spark, sf, panel.panel_columns()))
 
 
 def company_ttm(spark, sf):

@@ -136,4 +136,5 @@ KNOWN_COMPANIES: dict[str, str] = {
 def filing_keys(*frames) -> list[str]:
     """Columns that identify a filing and are present in every given frame."""
     keys = [*PERIOD_COLS, FILING_ID]
-    return [k for k in keys if all(k in f.columns for f in frames)]
+    shared = set.intersection(*[set(f.columns) for f in frames])
+    return [k for k in keys if k in shared]
