@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factpanel.functions.ids import normalize_id, period_key
-from factpanel.functions.numeric import lenient_double
-from factpanel.operators.facts import join_per_filing, with_known_keys
+from factpanel.functions.numeric import lenient_double, quoted
+from factpanel.operators.facts import filings_not_in, join_per_filing, with_known_keys
 from factpanel.operators.quality import periods_of
 from factpanel.schema import KNOWN_COMPANIES, PERIOD_COLS, filing_keys
 
@@ -34,8 +36,9 @@ def company_presence(
 ) -> DataFrame | None:
     """Per period and company: filings, facts and usable facts.
 
-    Both inputs are reduced to filings before they meet. ``companies`` limits the
-    filings to those normalised ids first; the facts then only have to match them.
+    Facts are read once and reduced to filings on the map side before they meet
+    the headers; ``companies`` limits the filings to those normalised ids. None if
+    there are no headers to take companies from.
     """
     if sub is None or "cik" not in sub.columns:
         return None
@@ -48,8 +51,6 @@ def company_presence(
         rows = filings.withColumns({"n_facts": zero, "n_usable": zero})
     else:
         keys = filing_keys(filings, num)
-        if companies is not None:
-            num = num.join(filings.select(*keys), keys, "left_semi")
         rows = join_per_filing(filings, facts_per_filing(num, keys), keys)
     total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_filings", "n_facts", "n_usable")]
     return rows.groupBy(*PERIOD_COLS, "company").agg(*total)
@@ -70,15 +71,67 @@ def form_counts(sub: DataFrame) -> DataFrame:
     return sub.groupBy(*PERIOD_COLS, form).agg(_count_rows("n"))
 
 
-def sorted_map(key: str, value: str) -> Column:
-    """Aggregate to a map with sorted keys, so that its JSON text is stable."""
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+def form_counts_json(sub: DataFrame) -> DataFrame:
+    """Rows of a period, and its form counts as JSON text with sorted keys.
+
+    The map has one entry per kind of form, not per filing.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("form", "n")))
+    made = F.to_json(F.map_from_entries(entries)).alias("form_counts_json")
+    total = F.sum("n").alias("sub_row_count")
+    return form_counts(sub).groupBy(*PERIOD_COLS).agg(total, made)
+
 
+FLAGS = {"in_sub": "n_filings", "in_num": "n_facts", "usable": "n_usable"}
 
-def form_counts_json(sub: DataFrame) -> DataFrame:
-    """Form counts of a period as JSON text; one entry per form of the period."""
-    made = F.to_json(sorted_map("form", "n")).alias("form_counts_json")
-    return form_counts(sub).groupBy(*PERIOD_COLS).agg(made)
+
+def _known_flags(presence: DataFrame | None, periods: DataFrame, known: dict[str, str]) -> DataFrame:
+    """Periods with an array of (known, company, flags), one entry per known company.
+
+    The list is an argument of fixed size, so every company is a few conditional
+    aggregates of one pass; nothing is joined to or crossed with the list.
+    """
+
+    def flag(company: str, count: str) -> Column:
+        return F.bool_or((F.col("company") == company) & (F.col(count) > 0))
+
+    if presence is None:
+        rows = periods.select(*PERIOD_COLS)
+    else:
+        measures = [
+            flag(company, count).alias(f"{name}|{f}")
+            for name, company in known.items()
+            for f, count in FLAGS.items()
+        ]
+        found = presence.groupBy(*PERIOD_COLS).agg(*measures)
+        rows = periods.select(*PERIOD_COLS).join(found, PERIOD_COLS, "left")
+
+    def entry(name: str, company: str) -> Column:
+        no = F.lit(False)
+        flags = {
+            f: no if presence is None else F.coalesce(F.col(quoted(f"{name}|{f}")), no) for f in FLAGS
+        }
+        classed = (
+            F.when(flags["usable"], F.lit(USABLE))
+            .when(flags["in_num"], F.lit(NOT_USABLE))
+            .when(flags["in_sub"], F.lit(ABSENT_NUM))
+            .otherwise(F.lit(ABSENT_SUB))
+        )
+        return F.struct(
+            F.lit(name).alias("known"),
+            F.lit(company).alias("company"),
+            *[c.alias(f) for f, c in flags.items()],
+            classed.alias("classification"),
+        )
+
+    entries = [entry(name, company) for name, company in sorted(known.items())]
+    return rows.select(*PERIOD_COLS, F.array(*entries).alias("known"))
+
+
+def _all_periods(*tables: DataFrame | None) -> DataFrame:
+    """Periods of any of the tables; only partition columns are read."""
+    frames = [periods_of(t) for t in tables if t is not None]
+    return reduce(DataFrame.union, frames).distinct()
 
 
 def classify_coverage(
@@ -87,45 +140,17 @@ def classify_coverage(
     known: dict[str, str] | None = None,
     periods: DataFrame | None = None,
 ) -> DataFrame:
-    """Class of every known company in every period.
-
-    The list of companies is exploded onto the periods, so nothing is crossed, and
-    each table is scanned once for all companies.
-    """
+    """Class of every known company in every period."""
     known = known or KNOWN_COMPANIES
-    if periods is None:
-        frames = [periods_of(t) for t in (sub, num) if t is not None]
-        periods = frames[0] if len(frames) == 1 else frames[0].union(frames[1]).distinct()
-    names = F.array(
-        *[F.struct(F.lit(n).alias("known"), F.lit(i).alias("company")) for n, i in known.items()]
-    )
-    wanted = periods.select(*PERIOD_COLS, F.explode(names).alias("k")).select(*PERIOD_COLS, "k.*")
+    periods = _all_periods(sub, num) if periods is None else periods
     presence = company_presence(sub, num, sorted(set(known.values())))
-    if presence is None:
-        found = {n: F.lit(None).cast("bigint") for n in ("n_filings", "n_facts", "n_usable")}
-        rows = wanted.withColumns(found)
-    else:
-        rows = wanted.join(presence, [*PERIOD_COLS, "company"], "left")
-    flags = {
-        "in_sub": F.coalesce(F.col("n_filings") > 0, F.lit(False)),
-        "in_num": F.coalesce(F.col("n_facts") > 0, F.lit(False)),
-        "usable": F.coalesce(F.col("n_usable") > 0, F.lit(False)),
-    }
-    classed = (
-        F.when(F.col("usable"), F.lit(USABLE))
-        .when(F.col("in_num"), F.lit(NOT_USABLE))
-        .when(F.col("in_sub"), F.lit(ABSENT_NUM))
-        .otherwise(F.lit(ABSENT_SUB))
-    )
-    rows = rows.withColumns(flags).withColumn("classification", classed)
-    return rows.select(*PERIOD_COLS, "known", "company", *flags, "classification")
+    rows = _known_flags(presence, periods, known)
+    return rows.select(*PERIOD_COLS, F.explode("known").alias("k")).select(*PERIOD_COLS, "k.*")
 
 
 def filings_without_facts(sub: DataFrame, num: DataFrame) -> DataFrame:
-    """Filings that no fact names. Fact keys are made distinct before the shuffle."""
-    keys = filing_keys(sub, num)
-    named = with_known_keys(num, keys).select(*keys).distinct()
-    return sub.join(named, keys, "left_anti")
+    """Filings that no fact names."""
+    return filings_not_in(sub, num, filing_keys(sub, num))
 
 
 def audit_quarters(
@@ -137,67 +162,73 @@ def audit_quarters(
     """One row per period: sizes, companies, forms, and the known companies.
 
     ``tables`` lists the (period, table) pairs that exist; without it a table
-    exists for the periods it has rows of.
+    exists for the periods it has rows of. Facts are read in one pass; counting
+    their rows per period takes the partition columns only.
     """
-    if tables is None:
-        seen = [
-            periods_of(t).withColumn("table", F.lit(name))
-            for name, t in (("sub", sub), ("num", num))
-            if t is not None
-        ]
-        tables = seen[0] if len(seen) == 1 else seen[0].unionByName(seen[1])
-    has = {f"{t}_exists": F.bool_or(F.col("table") == t).alias(f"{t}_exists") for t in ("sub", "num")}
-    rows = tables.groupBy(*PERIOD_COLS).agg(*has.values())
-
-    def add(frame: DataFrame | None, cols: list[str], kind: str = "bigint") -> None:
-        nonlocal rows
-        if frame is None:
-            rows = rows.withColumns({c: F.lit(None).cast(kind) for c in cols})
-        else:
-            rows = rows.join(frame.select(*PERIOD_COLS, *cols), PERIOD_COLS, "left")
-
-    for name, t in (("sub", sub), ("num", num)):
-        counted = None if t is None else t.groupBy(*PERIOD_COLS).agg(_count_rows(f"{name}_row_count"))
-        add(counted, [f"{name}_row_count"])
+    known = known or KNOWN_COMPANIES
+    null = F.lit(None)
+    periods = _all_periods(sub, num) if tables is None else tables.select(*PERIOD_COLS).distinct()
     presence = company_presence(sub, num)
-    add(
-        None if presence is None else company_counts(presence),
-        ["distinct_cik_count_in_sub", "distinct_cik_count_in_num"],
-    )
-    has_forms = sub is not None and "form" in sub.columns
-    add(form_counts_json(sub) if has_forms else None, ["form_counts_json"], "string")
-
-    classes = classify_coverage(sub, num, known, tables.select(*PERIOD_COLS).distinct())
-    names = {
-        "in_sub": "known_presence_in_sub_json",
-        "in_num": "known_presence_in_num_json",
-        "usable": "known_presence_usable_json",
-        "classification": "known_classification_json",
-    }
-    maps = [F.to_json(sorted_map("known", c)).alias(n) for c, n in names.items()]
-    add(classes.groupBy(*PERIOD_COLS).agg(*maps), list(names.values()))
-
-    def if_there(c: str, *flags: str) -> Column:
-        zero = F.coalesce(F.col(c), F.lit(0))
+    rows = _known_flags(presence, periods, known)
+
+    if presence is None:
+        counts = {f"distinct_cik_count_in_{t}": null.cast("bigint") for t in ("sub", "num")}
+        rows = rows.withColumns(counts)
+    else:
+        rows = rows.join(company_counts(presence), PERIOD_COLS, "left")
+    if sub is None:
+        rows = rows.withColumns(
+            {"sub_row_count": null.cast("bigint"), "form_counts_json": null.cast("string")}
+        )
+    elif "form" in sub.columns:
+        rows = rows.join(form_counts_json(sub), PERIOD_COLS, "left")
+    else:
+        rows = rows.join(_rows_per_period(sub, "sub_row_count"), PERIOD_COLS, "left")
+        rows = rows.withColumn("form_counts_json", null.cast("string"))
+    if num is None:
+        rows = rows.withColumn("num_row_count", null.cast("bigint"))
+    else:
+        rows = rows.join(_rows_per_period(num, "num_row_count"), PERIOD_COLS, "left")
+
+    if tables is None:
+        has = {f"{t}_exists": F.col(f"{t}_row_count").isNotNull() for t in ("sub", "num")}
+    else:
+        flags = [F.bool_or(F.col("table") == t).alias(f"{t}_exists") for t in ("sub", "num")]
+        rows = rows.join(tables.groupBy(*PERIOD_COLS).agg(*flags), PERIOD_COLS, "left")
+        has = {f"{t}_exists": F.col(f"{t}_exists") for t in ("sub", "num")}
+    rows = rows.withColumns(has)
+
+    def if_there(c: str, *tables: str) -> Column:
         there = F.lit(True)
-        for f in flags:
-            there = there & F.col(f)
-        return F.when(there, zero)
-
-    return rows.withColumns(
-        {
-            "quarter": period_key(*PERIOD_COLS),
-            "sub_row_count": if_there("sub_row_count", "sub_exists"),
-            "num_row_count": if_there("num_row_count", "num_exists"),
-            "distinct_cik_count_in_sub": if_there("distinct_cik_count_in_sub", "sub_exists"),
-            "distinct_cik_count_in_num": if_there(
-                "distinct_cik_count_in_num", "sub_exists", "num_exists"
-            ),
-            "form_counts_json": F.coalesce("form_counts_json", F.lit("{}")),
-        }
+        for t in tables:
+            there = there & F.col(f"{t}_exists")
+        return F.when(there, F.coalesce(F.col(c), F.lit(0))).alias(c)
+
+    def known_json(field: str, out: str) -> Column:
+        pairs = F.transform("known", lambda k: F.struct(k["known"], k[field]))
+        return F.to_json(F.map_from_entries(pairs)).alias(out)
+
+    return rows.select(
+        *PERIOD_COLS,
+        period_key(*PERIOD_COLS).alias("quarter"),
+        "sub_exists",
+        "num_exists",
+        if_there("sub_row_count", "sub"),
+        if_there("num_row_count", "num"),
+        if_there("distinct_cik_count_in_sub", "sub"),
+        if_there("distinct_cik_count_in_num", "sub", "num"),
+        F.coalesce("form_counts_json", F.lit("{}")).alias("form_counts_json"),
+        known_json("in_sub", "known_presence_in_sub_json"),
+        known_json("in_num", "known_presence_in_num_json"),
+        known_json("usable", "known_presence_usable_json"),
+        known_json("classification", "known_classification_json"),
     )
 
 
+def _rows_per_period(df: DataFrame, name: str) -> DataFrame:
+    return df.groupBy(*PERIOD_COLS).agg(_count_rows(name))
+
+
 # Line ends and blanks of Unicode text, the same in every regex engine.
 LINE_END = r"[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
 BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

@@ -57,6 +57,18 @@ def join_per_filing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(right, "_filing", "left").drop("_filing")
 
 
+def filings_not_in(filings: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    """Left anti join: rows whose filing is not listed; a null key is never listed.
+
+    Listed filings are made distinct on the map side first, so that facts, with
+    many rows per filing, can be passed as they are.
+    """
+    left = filings.withColumn("_filing", _join_key(filings, keys, spread_nulls=True))
+    right = with_known_keys(listed, keys).select(*keys).distinct()
+    right = right.select(_join_key(right, keys, spread_nulls=False).alias("_filing"))
+    return left.join(right, "_filing", "left_anti").drop("_filing")
+
+
 def facts_of_filings(num: DataFrame, filings: DataFrame) -> DataFrame:
     """Facts of the given filings (left semi join; the keys are never collected).
 

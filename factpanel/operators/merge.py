@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from factpanel.functions.numeric import lenient_double, safe_ratio, to_double
 from factpanel.operators.facts import (
     attach_facts,
+    filings_not_in,
     filter_forms,
     join_per_filing,
     tag_pivot,
@@ -47,7 +48,7 @@ def fan_out_facts(
     if large.isEmpty():
         return _explode_lists(filings, facts, tags, keys)
     large = stage(large)
-    others = filings.join(large, keys, "left_anti")
+    others = filings_not_in(filings, large, keys)
     small_facts = facts.join(large, keys, "left_anti")
     by_lists = _explode_lists(others, small_facts, tags, keys)
     by_joins = _join_chain(

@@ -21,7 +21,7 @@ from factpanel.session import stage
 YEAR_ROWS = 4
 # A change of a trailing sum looks back four rows, and that sum three more.
 LOOK_BACK = 7
-SPLIT_ABOVE = 1_000_000
+SPLIT_ABOVE = 250_000
 
 Build = Callable[[DataFrame, WindowSpec], DataFrame]
 

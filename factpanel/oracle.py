@@ -280,8 +280,8 @@ def _number_profile(c: str) -> str:
         f"round(quantile_cont({c}, {p}), 4) AS {n}"
         for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
     )
-    return f"""SELECT '{c}' AS "column", count({c}) AS "count", CAST(NULL AS BIGINT) AS "unique",
-  CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, round(avg({c}), 4) AS mean,
+    return f"""SELECT '{c}' AS "column", CAST(count({c}) AS DOUBLE) AS "count", CAST(NULL AS DOUBLE) AS "unique",
+  CAST(NULL AS VARCHAR) AS top, CAST(NULL AS DOUBLE) AS freq, round(avg({c}), 4) AS mean,
   round(stddev_samp({c}), 4) AS std, round(min({c}), 4) AS min, {q}, round(max({c}), 4) AS max
   FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM p)"""
 
@@ -291,8 +291,8 @@ def _text_profile(c: str) -> str:
         f"CAST(NULL AS DOUBLE) AS {n}" for n in ("mean", "std", "min", "p25", "p50", "p75", "max")
     )
     counted = f"(SELECT {c}, count(*) AS n FROM p WHERE {c} IS NOT NULL GROUP BY 1)"
-    return f"""SELECT '{c}' AS "column", CAST(sum(n) AS BIGINT) AS "count", count(*) AS "unique",
-  (SELECT {c} FROM {counted} ORDER BY n DESC, {c} LIMIT 1) AS top, max(n) AS freq, {none} FROM {counted}"""
+    return f"""SELECT '{c}' AS "column", CAST(sum(n) AS DOUBLE) AS "count", CAST(count(*) AS DOUBLE) AS "unique",
+  (SELECT {c} FROM {counted} ORDER BY n DESC, {c} LIMIT 1) AS top, CAST(max(n) AS DOUBLE) AS freq, {none} FROM {counted}"""
 
 
 def _compare() -> str:

@@ -47,9 +47,7 @@ def fundamentals_panel(
     if periods is not None:
         if not periods:
             raise ValueError("periods must not be empty")
-        tables = FactTables(
-            tables.spark, tables.root, periods, layout=tables.layout, persist=tables.persist
-        )
+        tables = tables.only(periods)
     sub, num = _typed(tables, None, strict)
     panel = build_fundamentals(sub, num, forms, tags, strict)
     return enrich_panel(panel, filter_forms(sub, forms), split_above) if enrich else panel

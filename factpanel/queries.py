@@ -370,7 +370,8 @@ def profile_columns(spark, sf):
     cols = ["name", "form", "fp", "fy", "revenue", "net_income", "total_assets", "cfo", "fcf_approx"]
     rows = profile.profile_columns(_panel(spark, sf).select(*cols))
     shown = {c: F.round(c, 4) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")}
-    return rows.withColumns(shown)
+    counts = {c: F.col(c).cast("double") for c in ("count", "unique", "freq")}
+    return rows.withColumns({**shown, **counts})
 
 
 def histogram_2d(spark, sf):

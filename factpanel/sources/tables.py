@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from factpanel.functions.ids import Period, as_period, period_key, period_str
 from factpanel.operators.quality import in_periods
@@ -22,6 +23,9 @@ class FactTables:
     dataset_year and dataset_quarter) or "folders" (``Y_Q/parquet/<table>.parquet``).
     Frames are lazy and remembered per (table, periods); ``persist=True`` also keeps
     the rows in executor memory, spilling to disk, after the first action.
+
+    Columns may differ between periods, so footers are merged by default. On a root
+    with very many files, ``schemas`` (table name to schema) saves that pass.
     """
 
     def __init__(
@@ -31,6 +35,7 @@ class FactTables:
         periods: list[Period | str] | None = None,
         layout: str = PARTITIONED,
         persist: bool = False,
+        schemas: dict[str, StructType | str] | None = None,
     ):
         if layout not in (PARTITIONED, FOLDERS):
             raise ValueError(f"unknown layout {layout!r}")
@@ -38,6 +43,7 @@ class FactTables:
         self.root = str(root).rstrip("/")
         self.layout = layout
         self.persist = persist
+        self.schemas = schemas or {}
         self._periods = None if periods is None else [as_period(p) for p in periods]
         self._seen: dict[tuple, DataFrame] = {}
 
@@ -63,7 +69,11 @@ class FactTables:
             raise
 
     def _read(self, name: str, periods: list[Period] | None) -> DataFrame:
-        reader = self.spark.read.option("mergeSchema", "true")
+        reader = self.spark.read
+        if name in self.schemas:
+            reader = reader.schema(self.schemas[name])
+        else:
+            reader = reader.option("mergeSchema", "true")
         if self.layout == PARTITIONED:
             df = reader.parquet(f"{self.root}/{name}")
             return df if periods is None else in_periods(df, periods)
@@ -97,6 +107,11 @@ class FactTables:
     def sub_num(self, period: Period | str | None = None) -> tuple[DataFrame, DataFrame]:
         return self.sub(period), self.num(period)
 
+    def only(self, periods: list[Period | str]) -> FactTables:
+        """The same root with the periods given."""
+        options = {"layout": self.layout, "persist": self.persist, "schemas": self.schemas}
+        return FactTables(self.spark, self.root, periods, **options)
+
     @classmethod
     def of_period(cls, spark: SparkSession, root: str, year: int, quarter: int, **options):
         return cls(spark, root, [(year, quarter)], **options)

@@ -110,6 +110,9 @@ def test_folder_layout(spark, tmp_path):
     assert rows(tables.inventory(), "dataset_year", "dataset_quarter", "table") == [(2024, 1, "sub"), (2024, 2, "sub")]
     with pytest.raises(ValueError):
         FactTables(spark, root, layout="zip")
+    given = FactTables(spark, root, layout=FOLDERS, schemas={"sub": "adsh string, more string"})
+    assert rows(given.sub(), *cols) == [("a", None, 2024, 1), ("b", "x", 2024, 2)]
+    assert given.only(["2024_2"]).sub().count() == 1
 
 
 def test_unreadable_files(spark, tmp_path):
