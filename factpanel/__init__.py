@@ -8,6 +8,7 @@ from factpanel.plans.fundamentals import (
     fundamentals,
     fundamentals_panel,
     numeric_fundamentals,
+    sheet_fundamentals,
 )
 from factpanel.plans.screening import run_screening_job, run_simple_screener, simple_screener
 from factpanel.plans.updates import roll_up_months, run_monthly_update, run_pipeline
@@ -32,5 +33,6 @@ __all__ = [
     "run_pipeline",
     "run_screening_job",
     "run_simple_screener",
+    "sheet_fundamentals",
     "simple_screener",
 ]

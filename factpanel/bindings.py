@@ -47,7 +47,7 @@ def _filing_id() -> Column:
 
 
 def _day(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    return F.to_date(c).cast("string")
 
 
 def num(spark: SparkSession, sf_dir: str) -> DataFrame:

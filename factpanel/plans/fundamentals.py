@@ -8,6 +8,7 @@ from factpanel.functions.ids import Period
 from factpanel.functions.numeric import lenient_columns
 from factpanel.operators.facts import build_fundamentals, filter_forms, scan_typed
 from factpanel.operators.panel import SPLIT_ABOVE, over_companies, panel_columns
+from factpanel.operators.screens import sheet_subset
 from factpanel.schema import NUMERIC_COLS
 from factpanel.sources.tables import FactTables
 
@@ -53,6 +54,14 @@ def fundamentals_panel(
     return enrich_panel(panel, filter_forms(sub, forms), split_above) if enrich else panel
 
 
+def sheet_fundamentals(
+    tables: FactTables, years: list[int], quarters: list[int], n: int | None = 10, **options
+) -> DataFrame:
+    """Display columns of a panel, highest revenue first. Years and quarters are
+    paired up; the shorter list decides."""
+    return sheet_subset(fundamentals_panel(tables, list(zip(years, quarters)), **options), n)
+
+
 def enrich_panel(
     panel: DataFrame, companies: DataFrame | None = None, split_above: int = SPLIT_ABOVE
 ) -> DataFrame:

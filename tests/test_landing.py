@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 
 from factpanel.operators.screens import revenue_screen
 from factpanel.plans import state, updates
-from factpanel.plans.fundamentals import fundamentals_panel, numeric_fundamentals
+from factpanel.plans.fundamentals import fundamentals_panel, numeric_fundamentals, sheet_fundamentals
 from factpanel.plans.screening import run_screening_job, run_simple_screener
 from factpanel.sources.files import list_files, unreadable_files
 from factpanel.sources.landing import land_tables, read_release
@@ -172,6 +172,8 @@ def test_pipeline_and_screening_job(spark, tmp_path):
     assert got["f1"]["cik"] == 1 and got["q"]["ttm_revenue"] == 7.0
     with pytest.raises(ValueError):
         fundamentals_panel(tables, [])
+    sheet = sheet_fundamentals(tables, [2023, 2024], [4, 1, 2], n=2)
+    assert [r["revenue"] for r in sheet.collect()] == [7.0, 3.0]
     assert numeric_fundamentals(tables, "2024_1").count() == 3
 
     assert run_screening_job(tables, out) is None  # nothing recorded as landed
