@@ -19,7 +19,7 @@ from factpanel.operators.facts import (
 from factpanel.schema import RATIOS, SCREENER_COLS, SCREENER_TAGS, filing_keys
 from factpanel.session import stage
 
-SPLIT_ABOVE = 100_000
+SPLIT_ABOVE = 10_000
 
 
 def fan_out_facts(

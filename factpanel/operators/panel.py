@@ -35,6 +35,11 @@ def panel_order(df: DataFrame, by_period: bool = True) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in names if c in there]
 
 
+def sort_panel(df: DataFrame) -> DataFrame:
+    """Rows by company and panel order, for output. Windows carry their own order."""
+    return df.orderBy(F.col("cik").asc_nulls_last(), *panel_order(df))
+
+
 def large_companies(rows: DataFrame, above: int) -> list:
     """Companies with more than ``above`` rows.
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from factpanel.functions.numeric import finite, nan_to_null, quoted, to_double
 from factpanel.operators.positions import with_positions
+from factpanel.session import stage
 
 # The quartiles of a profile.
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
@@ -25,91 +26,102 @@ def profile_columns(
     Numbers get count, mean, deviation, extremes and quartiles with linear
     interpolation; other columns get count, distinct values and the most frequent
     value (the smallest one on ties). Quartiles are exact by default;
-    ``approximate`` takes them from a bounded sketch in the same single pass.
+    ``approximate`` takes them from a bounded sketch.
     """
     fields = df.schema.fields[:max_columns]
-    numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
-    other = [f.name for f in fields if f.name not in numeric]
-    parts = []
-    if numeric:
-        parts.append(_numeric_profile(df, numeric, approximate))
-    if other:
-        parts.append(_text_profile(df, other))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p, allowMissingColumns=True)
+    numeric = {f.name for f in fields if isinstance(f.dataType, T.NumericType)}
+    cells = []
+    for f in fields:
+        number = to_double(quoted(f.name)) if f.name in numeric else F.lit(None).cast("double")
+        text = F.lit(None).cast("string") if f.name in numeric else F.col(quoted(f.name)).cast("string")
+        cells.append(
+            F.struct(
+                F.lit(f.name).alias("column"),
+                F.lit(f.name in numeric).alias("is_number"),
+                number.alias("number"),
+                text.alias("text"),
+            )
+        )
+    long = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    rows = _sketched(long) if approximate else _exact(long)
     types = {"column": "string", "top": "string"}
     types |= {c: "bigint" for c in ("count", "unique", "freq")}
-    return rows.select(
-        *[
-            (F.col(c) if c in rows.columns else F.lit(None)).cast(types.get(c, "double")).alias(c)
-            for c in PROFILE_COLS
-        ]
-    )
+    return rows.select(*[F.col(c).cast(types.get(c, "double")).alias(c) for c in PROFILE_COLS])
 
 
-def _numeric_profile(df: DataFrame, cols: list[str], approximate: bool) -> DataFrame:
-    values = [to_double(quoted(c)).alias(c) for c in cols]
-    long = df.select(*values).unpivot([], cols, "column", "value")
-    measures = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        nan_to_null("stddev_samp(value)").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    if approximate:
-        sketch = F.percentile_approx("value", list(QUARTILES.values()))
-        rows = long.groupBy("column").agg(*measures, sketch.alias("q"))
-        made = {name: F.col("q")[i] for i, name in enumerate(QUARTILES)}
-        return rows.withColumns(made).drop("q")
-    return long.groupBy("column").agg(*measures).join(_quartiles(long), "column", "left")
+def _counted(long: DataFrame) -> DataFrame:
+    """Rows per column and value: a frequent value becomes one row before the shuffle."""
+    return long.groupBy("column", "is_number", "number", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _quartiles(long: DataFrame) -> DataFrame:
-    """Exact quartiles by rank.
+def _texts(counted: DataFrame) -> DataFrame:
+    """Distinct texts per column and the most frequent one, from counted rows.
 
-    Equal values are counted first, so a frequent value is one row. The distinct
-    values get exact positions from a range shuffle, and each quartile picks the
-    one or two rows at its rank: no task ever holds the values of a column.
+    Apart from the numbers, as an aggregate with a text buffer sorts its input.
     """
-    counted = long.where(F.col("value").isNotNull()).groupBy("column", "value").count()
-    placed = with_positions(counted, ["column"], [F.col("value").asc()], F.col("count"))
-    total = long.groupBy("column").agg(F.count("value").alias("_n"))
+    is_text = F.col("text").isNotNull()
+    first = F.min(F.when(is_text, F.struct((-F.col("n")).alias("n"), "text")))
+    return counted.where(~F.col("is_number")).groupBy("column").agg(
+        F.count("text").alias("unique"),
+        first["text"].alias("top"),
+        (-first["n"]).alias("freq"),
+    )
+
+
+def _exact(long: DataFrame) -> DataFrame:
+    """Everything from the counted values, which are made in one pass over the input.
+
+    The distinct values get exact positions from a range shuffle, and each quartile
+    picks the one or two rows at its rank: no task ever holds a whole column.
+    """
+    order = [F.col("number").asc_nulls_last(), F.col("text").asc_nulls_last()]
+    placed = with_positions(_counted(long), ["column"], order, F.col("n"))
+    present = F.col("number").isNotNull() | F.col("text").isNotNull()
+    total = placed.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("count"),
+        F.sum(F.col("number") * F.col("n")).alias("_sum"),
+    )
+    total = total.withColumn("mean", nan_to_null("try_divide(_sum, count)"))
+    texts = _texts(placed)
     placed = placed.join(total, "column")
-    until = F.col("_before") + F.col("count")
+    until = F.col("_before") + F.col("n")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_before") <= rank) & (rank < until), F.col("value")))
+        return F.max(F.when((F.col("_before") <= rank) & (rank < until), F.col("number")))
 
     picks = []
     for name, p in QUARTILES.items():
-        place = (F.col("_n") - 1) * F.lit(p)
+        place = (F.col("count") - 1) * F.lit(p)
         picks += [at(F.floor(place)).alias(f"{name}_low"), at(F.ceil(place)).alias(f"{name}_high")]
-    ends = placed.groupBy("column", "_n").agg(*picks)
-    made = []
+    away = F.col("number") - F.col("mean")
+    rows = placed.groupBy("column", "count", "mean").agg(
+        F.min("number").alias("min"),
+        F.max("number").alias("max"),
+        F.sum(F.col("n") * away * away).alias("_squares"),
+        *picks,
+    )
+    made = {"std": nan_to_null("sqrt(try_divide(_squares, count - 1))")}
     for name, p in QUARTILES.items():
-        place = (F.col("_n") - 1) * F.lit(p)
+        place = (F.col("count") - 1) * F.lit(p)
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         part = low + (high - low) * (place - F.floor(place))
-        part = F.when(low == high, low).otherwise(F.nanvl(part, F.lit(None).cast("double")))
-        made.append(part.alias(name))
-    return ends.select("column", *made)
-
-
-def _text_profile(df: DataFrame, cols: list[str]) -> DataFrame:
-    texts = [F.col(c).cast("string").alias(c) for c in cols]
-    long = df.select(*texts).unpivot([], cols, "column", "value")
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    present = F.col("value").isNotNull()
-    first = F.when(present, F.struct((-F.col("n")).alias("n"), F.col("value")))
-    rows = counted.groupBy("column").agg(
-        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("count"),
-        F.count("value").alias("unique"),
-        F.min(first).alias("first"),
+        made[name] = F.when(low == high, low).otherwise(F.nanvl(part, F.lit(None).cast("double")))
+    return rows.withColumns(made).join(texts, "column", "left")
+
+
+def _sketched(long: DataFrame) -> DataFrame:
+    sketch = F.percentile_approx("number", list(QUARTILES.values()))
+    rows = long.groupBy("column").agg(
+        (F.count("number") + F.count("text")).alias("count"),
+        F.avg("number").alias("mean"),
+        nan_to_null("stddev_samp(number)").alias("std"),
+        F.min("number").alias("min"),
+        F.max("number").alias("max"),
+        sketch.alias("q"),
     )
-    made = {"top": F.col("first.value"), "freq": -F.col("first.n")}
-    return rows.withColumns(made).drop("first")
+    made = {name: F.col("q")[i] for i, name in enumerate(QUARTILES)}
+    texts = _texts(_counted(long.where(~F.col("is_number"))))
+    return rows.withColumns(made).join(texts, "column", "left")
 
 
 def _bin(c: str, low: Column, high: Column, bins: int) -> Column:
@@ -120,10 +132,11 @@ def _bin(c: str, low: Column, high: Column, bins: int) -> Column:
 def histogram_2d(df: DataFrame, x: str, y: str, bins: int = 30) -> DataFrame:
     """Rows per cell of an equal-width grid, cells from 1, the last one closed.
 
-    Rows with a missing or infinite coordinate are left out. The bounds are a
-    scalar subquery of one row.
+    Rows with a missing or infinite coordinate are left out. The two coordinates
+    are staged, as they are read for the bounds and then for the cells; the bounds
+    are a scalar subquery of one row.
     """
-    rows = df.select(finite(quoted(x)).alias("x"), finite(quoted(y)).alias("y")).dropna()
+    rows = stage(df.select(finite(quoted(x)).alias("x"), finite(quoted(y)).alias("y")).dropna())
     ends = [f(c).alias(f"{name}_{c}") for c in "xy" for name, f in (("low", F.min), ("high", F.max))]
     bound = rows.agg(F.struct(*ends).alias("b")).scalar()
     cell = [

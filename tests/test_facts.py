@@ -146,6 +146,31 @@ def test_fan_out(spark, split_above):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_hot_filing_fans_out_over_tasks(spark, conf):
+    """One filing with nearly all facts: the joins that multiply it are split."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    period = (F.lit(2024).alias("dataset_year"), F.lit(1).alias("dataset_quarter"))
+    sub = spark.range(0, 40).select(
+        F.col("id").cast("string").alias("adsh"), F.col("id").alias("cik"), F.lit("10-K").alias("form"), *period
+    )
+    hot = spark.range(0, 20_000, 1, 8).select(
+        F.lit("7").alias("adsh"), F.lit("R").alias("tag"), F.rand(3).alias("value"), *period
+    )
+    few = sub.select("adsh", F.lit("N").alias("tag"), F.lit(2.0).alias("value"), *period)
+    num = hot.unionByName(few).unionByName(few)
+    out = merge.merge_metrics(sub, num, tags={"revenue": "R", "net_income": "N"}, split_above=1000)
+    assert "SortMergeJoin(skew=true)" in final_plan(out)
+    assert out.count() == 20_000 * 2 + 39 * 2
+    assert out.where("adsh = '7'").agg(F.count_distinct("revenue")).first()[0] == 20_000
+
+
 def test_collapse_and_thresholds(spark):
     sub = spark.createDataFrame([header("a"), header("b")], SUB)
     num = spark.createDataFrame(

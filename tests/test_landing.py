@@ -163,9 +163,11 @@ def test_pipeline_and_screening_job(spark, tmp_path):
     put(raw, "2023_4", "num", "adsh\ttag\tvalue\nq\tRevenues\t7\n")
     month(raw, "2024_01", 1)
     month(raw, "2024_03", 3)
+    put(raw, "2024_03", "tag", "adsh\tlater\nf3\tx\n")  # a column that January lacks
     updates.run_pipeline(spark, str(raw), root)
     tables = FactTables(spark, root)
     assert rows(tables.periods(), "period_key") == [("2023_4",), ("2024_1",)]
+    assert rows(tables.tag("2024_1"), "adsh", "later") == [("f1", None), ("f3", "x")]
     panel = fundamentals_panel(tables, ["2023_4", "2024_1"])
     got = {r["adsh"]: r for r in panel.collect()}
     assert {k: r["revenue"] for k, r in got.items()} == {"q": 7.0, "f1": 1.0, "f3": 3.0, "same": 1.0}

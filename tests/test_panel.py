@@ -96,6 +96,12 @@ def test_one_shuffle_serves_all_columns(spark, frame):
     assert plan.count("Sort [cik") == 1
 
 
+def test_sort_panel(spark, frame):
+    got = [r["adsh"] for r in panel.sort_panel(to_spark(spark, frame)).select("adsh").collect()]
+    order = ["cik", "period", "dataset_year", "dataset_quarter", "adsh"]
+    assert got == list(frame.sort_values(order)["adsh"])
+
+
 def test_large_companies(spark, frame):
     df = to_spark(spark, frame)
     assert panel.large_companies(df, 40) == [7]
