@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TAGS: dict[str, list[str]] = {
     "revenue": ["STANDARD_O", "STANDARD_F", "PROMO_O"],
@@ -30,8 +31,16 @@ MERGE_TAGS = {"revenue": "STANDARD_O", "net_income": "PROMO_F", "gross_profit":
 FLOOR = 50_000.0
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A driver table. Its schema is taken from the footer once per path, the way a
+    catalog would keep it; a query names the same table several times."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _period(day: str) -> dict[str, Column]:

@@ -24,6 +24,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text_literals(texts: list[str]) -> str:
+    """Comma-separated SQL literals of the texts."""
+    escaped = [t.replace("\\", "\\\\").replace("'", "\\'") for t in texts]
+    return ", ".join(f"'{t}'" for t in escaped)
+
+
 def nan_to_null_sql(x: str) -> str:
     return f"nanvl({x}, {NULL_SQL})"
 

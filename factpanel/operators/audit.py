@@ -229,8 +229,8 @@ def _rows_per_period(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy(*PERIOD_COLS).agg(_count_rows(name))
 
 
-# Line ends and blanks of Unicode text, the same in every regex engine.
-LINE_END = r"[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
+# What ends a line in Unicode text besides the line feed, and what is blank.
+LINE_ENDS = ["\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
 BLANK = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
@@ -246,12 +246,15 @@ def classify_lines(
     ``categories`` are (label, pattern, groups) in order; the first that matches
     wins, and only counts for rows whose ``group`` is in its list (None: all).
     """
+    # byte searches and a one-letter split take half the time of one regex
+    lined = F.col(text)
+    for end in LINE_ENDS:
+        lined = F.replace(lined, F.lit(end), F.lit("\n"))
     # the outer form: Catalyst would guard the plain one by splitting the text twice
-    one_end = F.replace(F.col(text), F.lit("\r\n"), F.lit("\n"))
     lines = df.select(
         *keys,
         *([group] if group and group not in keys else []),
-        F.posexplode_outer(F.split(one_end, LINE_END)).alias("at", "raw"),
+        F.posexplode_outer(F.split(lined, "\n")).alias("at", "raw"),
     )
     hits = []
     for label, pattern, groups in categories:

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factpanel.functions.numeric import lenient_double, nan_to_null, safe_ratio, to_double
+from factpanel.functions.numeric import (
+    lenient_double,
+    nan_to_null,
+    quoted,
+    safe_ratio,
+    text_literals,
+    to_double,
+)
 from factpanel.schema import DEFAULT_FORMS, DEFAULT_TAGS, RATIOS, filing_keys
 
 
@@ -31,14 +38,13 @@ def _join_key(df: DataFrame, keys: list[str], spread_nulls: bool) -> Column:
     part matches nothing, so such rows get a key of their own each instead of
     meeting in one task.
     """
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    names = [quoted(k) for k in keys]
+    text = f"concat_ws('|', {', '.join(f'CAST({k} AS STRING)' for k in names)})"
     if not spread_nulls:
-        return text
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns]).cast("string")
-    return F.when(missing, F.concat(F.lit("null|"), row_hash)).otherwise(text)
+        return F.expr(text)
+    missing = " OR ".join(f"{k} IS NULL" for k in names)
+    row_hash = f"xxhash64({', '.join(quoted(c) for c in df.columns)})"
+    return F.expr(f"CASE WHEN {missing} THEN concat('null|', {row_hash}) ELSE {text} END")
 
 
 def with_known_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -98,7 +104,7 @@ def tag_pivot(
     facts = facts.select(*keys, "tag", value.alias("value"))
     return facts.groupBy(*keys).agg(
         *[
-            F.max(F.when(F.col("tag").isin(names), F.col("value"))).alias(metric)
+            F.expr(f"max(CASE WHEN tag IN ({text_literals(names)}) THEN value END)").alias(metric)
             for metric, names in tags.items()
         ]
     )

@@ -11,6 +11,7 @@ from factpanel.functions.ids import period_label
 from factpanel.functions.numeric import (
     finite_sql,
     nan_to_null,
+    quoted,
     safe_ratio,
     sum_skipping_missing,
 )
@@ -90,8 +91,8 @@ def over_companies(
 
 
 def _alone_without_company(df: DataFrame, build: Build, order: list[Column]) -> DataFrame:
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    alone = F.when(F.col("cik").isNull(), row_hash)
+    row_hash = f"xxhash64({', '.join(quoted(c) for c in df.columns)})"
+    alone = F.expr(f"CASE WHEN cik IS NULL THEN {row_hash} END")
     window = Window.partitionBy("cik", "_alone").orderBy(*order)
     return build(df.withColumn("_alone", alone), window).drop("_alone")
 

@@ -28,7 +28,7 @@ BASE_TABLES = [
 NO_COMPANY = "9999999999"
 LINE_CATEGORIES = [
     ("license", r"(?i)licen[cs]e|copyright|all rights reserved", None),
-    ("contact", r"[A-Za-z0-9._]@[A-Za-z0-9.]|\+[0-9][0-9 ()-]{6,}", None),
+    ("contact", r"@[A-Za-z0-9]", None),
     ("digits", r"[0-9]{4,}", ["en", "de"]),
     ("short", r"^\s*\S{1,12}\s*$", None),
 ]

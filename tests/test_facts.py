@@ -52,6 +52,11 @@ def test_fundamentals(spark):
         assert by[key]["revenue"] is None
 
 
+def test_tags_with_quotes(spark):
+    num = spark.createDataFrame([("a", "it's \\ odd", "2", 2024, 1), ("a", "its", "9", 2024, 1)], NUM)
+    assert facts.tag_pivot(num, {"m": ["it's \\ odd"]}).first()["m"] == 2.0
+
+
 def test_strict_and_lenient_values(spark, conf):
     conf(spark__sql__ansi__enabled="true")
     sub = spark.createDataFrame([header("a")], SUB)
