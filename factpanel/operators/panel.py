@@ -192,20 +192,23 @@ def company_ttm(
     cik: int,
     column: str,
     check: bool = True,
+    companies: DataFrame | None = None,
     split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Trailing sum of one metric of one company, ordered by dataset period.
 
-    ``check`` looks for the company first and raises if it has no row.
+    ``check`` looks for the company first and raises if it has no row. Both that and
+    the count of its rows use ``companies`` where given, as in :func:`over_companies`.
     """
     if column not in df.columns:
         raise ValueError(f"no column {column!r}")
     rows = df.where(F.col("cik") == cik)
-    if check and rows.isEmpty():
+    listed = rows if companies is None else companies.where(F.col("cik") == cik)
+    if check and listed.isEmpty():
         raise ValueError(f"no rows of company {cik}")
     rows = rows.select("cik", "dataset_year", "dataset_quarter", "adsh", column)
 
-    done = over_companies(rows, ttm_columns([column]), by_period=False, split_above=split_above)
+    done = over_companies(rows, ttm_columns([column]), False, listed, split_above)
     label = period_label("dataset_year", "dataset_quarter").alias("period")
     return done.orderBy(*panel_order(done, by_period=False)).select(label, f"ttm_{column}")
 

@@ -168,7 +168,9 @@ def panel_full(spark, sf):
 
 def company_ttm(spark, sf):
     first = b.read(spark, sf, "supplier").agg(F.min("s_suppkey")).first()[0]
-    return panel.company_ttm(_panel(spark, sf), first, "revenue", check=False)
+    sub = b.sub(spark, sf)
+    rows = facts.build_fundamentals(sub, b.num(spark, sf), tags=b.TAGS)
+    return panel.company_ttm(rows, first, "revenue", companies=facts.filter_forms(sub))
 
 
 def simple_screener_query(spark, sf):
