@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,7 +172,7 @@ def land_tables(
             write_partitioned(counted.where(~F.col("_rejected")).drop("_rejected"), f"{target}/{table}", by)
             counts = seen.get
             done.append(Landed(table, counts["rows"], counts["rejected"]))
-        except PySparkException as error:
+        except Exception as error:  # any failure is the finding
             log.warning("table %s was not landed: %s", table, error)
-            done.append(Landed(table, error=str(error)))
+            done.append(Landed(table, error=str(error).splitlines()[0]))
     return done

@@ -82,6 +82,15 @@ def test_land(spark, tmp_path):
     assert rows(FactTables(spark, root).sub(), "adsh") == [("x2",), ("y",)]
 
 
+def test_failing_table_leaves_the_others(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "landed")
+    put(raw, "2024_1", "sub", "adsh\tadsh\nx\t1\n")
+    put(raw, "2024_1", "num", "adsh\ttag\tvalue\nx\tRevenues\t5\n")
+    done = {d.table: d for d in land_tables(spark, str(raw), root)}
+    assert "adsh" in done["sub"].error and done["num"].rows == 1
+    assert FactTables(spark, root).find("sub") is None
+
+
 def test_period_pruning(spark, conf, tmp_path):
     conf(spark__sql__maxMetadataStringLength="10000")
     path = str(tmp_path / "sub")
