@@ -8,7 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from factpanel.queries import BASE_TABLES
+from factpanel.oracle import oracle_sql
+from factpanel.queries import BASE_TABLES, queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -33,7 +34,8 @@ def as_bag(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
@@ -42,10 +44,10 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, db, name):
-    df = entry_module.queries()[name](spark, SF)
-    cursor = db.execute(entry_module.oracle_sql()[name])
+    df = queries()[name](spark, SF)
+    cursor = db.execute(oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
     assert as_bag(df.columns, [tuple(r) for r in df.collect()]) == as_bag(names, cursor.fetchall())
