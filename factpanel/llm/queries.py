@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factpanel.llm import exact_dedup
+from factpanel.llm import exact_dedup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the box keeps the file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return packing.pack_documents(documents, tokenizer_file("word_bpe_49k.json"), end_id=2)
+
+
 def op9_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_harmonic_packing": op1_harmonic_packing,
         "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
     }
