@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factpanel.llm import exact_dedup, packing
+from factpanel.llm import exact_dedup, grammar, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
+def op2_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return grammar.encode_and_read(documents, tokenizer_file("byte_bpe_50k.json"), end_id=0)
+
+
 def op9_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -34,5 +39,6 @@ def op9_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
+        "op2_repair_shards": op2_repair_shards,
         "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
     }
