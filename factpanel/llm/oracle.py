@@ -15,7 +15,44 @@ FROM n
 """
 
 
+EVENT_SOURCED_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+escaped AS (
+  SELECT *, replace(replace(replace(text, '\', '\b'), '<', '\l'), '#', '\h') AS body,
+    replace(replace(replace(replace(role, '\', '\b'), '<', '\l'), '#', '\h'), chr(10), '\n') AS head
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(19 + length(head) + length(body)) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
+BIT_SLICED_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS vec_id, CAST(sum(q.x * r.x) AS BIGINT) AS score
+  FROM c q JOIN c r ON q.i = r.i AND q.vec_id <> r.vec_id
+  WHERE q.vec_id % 20 = 0 GROUP BY ALL)
+SELECT query_id, vec_id, score,
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_event_sourced_chat": EVENT_SOURCED_CHAT,
+        "op7_bit_sliced_topk": BIT_SLICED_TOPK,
         "op9_heavy_hitter_dedup": HEAVY_HITTER_DEDUP,
     }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from factpanel.llm import exact_dedup, grammar, packing
+from factpanel.llm import bitsliced, chat, exact_dedup, grammar, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,21 @@ def op2_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.encode_and_read(documents, tokenizer_file("byte_bpe_50k.json"), end_id=0)
 
 
+def op6_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"),
+    )
+    return chat.written_and_read(rows.unionByName(planted))
+
+
+def op7_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return bitsliced.search(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op9_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -40,5 +56,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
         "op2_repair_shards": op2_repair_shards,
+        "op6_event_sourced_chat": op6_event_sourced_chat,
+        "op7_bit_sliced_topk": op7_bit_sliced_topk,
         "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
     }
