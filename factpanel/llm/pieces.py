@@ -135,7 +135,9 @@ class PieceCache:
 
     def gather(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
-        numbers, counts = self.numbers(texts)
+        return self.gather_numbers(*self.numbers(texts))
+
+    def gather_numbers(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.size[numbers]
         ends = np.cumsum(sizes)
         index = np.repeat(self.at[numbers] - (ends - sizes), sizes)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factpanel.llm import bitsliced, chat, exact_dedup, grammar, packing
+from factpanel.llm import bitsliced, chat, exact_dedup, grammar, packing, pair_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def op7_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.search(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op8_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_index.round_trip_digests(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op9_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -58,5 +62,6 @@ def queries() -> dict[str, Query]:
         "op2_repair_shards": op2_repair_shards,
         "op6_event_sourced_chat": op6_event_sourced_chat,
         "op7_bit_sliced_topk": op7_bit_sliced_topk,
+        "op8_pair_index_bpe": op8_pair_index_bpe,
         "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
     }
