@@ -15,6 +15,18 @@ FROM n
 """
 
 
+BOUNDARY_CHAIN_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+w AS (SELECT page_id, h, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS k FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((('0x' || substr(d, CAST(5 * (j // 4) + 1 AS INTEGER), 5))::BIGINT >> (15 - 5 * (j % 4))) & 31) + 1 AS INTEGER),
+    1)), '') AS payload_digest,
+  CASE WHEN page_id = k THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> k THEN k END AS refers_to
+FROM w
+"""
+
 EVENT_SOURCED_CHAT = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -52,6 +64,7 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_boundary_chain_warc": BOUNDARY_CHAIN_WARC,
         "op6_event_sourced_chat": EVENT_SOURCED_CHAT,
         "op7_bit_sliced_topk": BIT_SLICED_TOPK,
         "op9_heavy_hitter_dedup": HEAVY_HITTER_DEDUP,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factpanel.llm import bitsliced, chat, exact_dedup, grammar, packing, pair_index
+from factpanel.llm import bitsliced, chat, exact_dedup, grammar, packing, pair_index, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op2_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.encode_and_read(documents, tokenizer_file("byte_bpe_50k.json"), end_id=0)
 
 
+def op3_boundary_chain_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(_table(spark, sf_dir, "pages"))
+
+
 def op6_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "\\### Assistant: </turn> ok"
@@ -60,6 +64,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
         "op2_repair_shards": op2_repair_shards,
+        "op3_boundary_chain_warc": op3_boundary_chain_warc,
         "op6_event_sourced_chat": op6_event_sourced_chat,
         "op7_bit_sliced_topk": op7_bit_sliced_topk,
         "op8_pair_index_bpe": op8_pair_index_bpe,
