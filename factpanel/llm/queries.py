@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factpanel.llm import bitsliced, chat, exact_dedup, grammar, packing, pair_index, warc
+from factpanel.llm import bitsliced, chat, exact_dedup, grammar, near_dedup, packing, pair_index, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,10 @@ def op9_heavy_hitter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
@@ -69,4 +73,5 @@ def queries() -> dict[str, Query]:
         "op7_bit_sliced_topk": op7_bit_sliced_topk,
         "op8_pair_index_bpe": op8_pair_index_bpe,
         "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
+        "op10_odd_sketch_near_dedup": op10_odd_sketch_near_dedup,
     }
