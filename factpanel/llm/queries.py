@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factpanel.llm import bitsliced, chat, exact_dedup, grammar, near_dedup, packing, pair_index, warc
+from factpanel.llm import bitsliced, chat, exact_dedup, grammar, language, near_dedup, packing, pair_index, warc, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,14 @@ def op3_boundary_chain_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.write_and_read(_table(spark, sf_dir, "pages"))
 
 
+def op4_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op5_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op6_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "\\### Assistant: </turn> ok"
@@ -69,6 +77,8 @@ def queries() -> dict[str, Query]:
         "op1_harmonic_packing": op1_harmonic_packing,
         "op2_repair_shards": op2_repair_shards,
         "op3_boundary_chain_warc": op3_boundary_chain_warc,
+        "op4_viterbi_language": op4_viterbi_language,
+        "op5_longest_match_counts": op5_longest_match_counts,
         "op6_event_sourced_chat": op6_event_sourced_chat,
         "op7_bit_sliced_topk": op7_bit_sliced_topk,
         "op8_pair_index_bpe": op8_pair_index_bpe,
