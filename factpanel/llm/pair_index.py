@@ -29,24 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from factpanel.llm.common import groups_of_texts
-from factpanel.llm.pieces import PieceCache
-
-#: Fixed value: how byte-level BPE files of this kind cut a text into words.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from factpanel.llm.pieces import BYTE_LEVEL_WORDS, MOST_WORDS, Encode, PieceCache, byte_letters
 
 SHIFT = 20
 GONE, BORDER = -2, -1
-MOST_WORDS = 300_000
-
-
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in the file: printable bytes are themselves,
-    the others follow from 256 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {chr(b): b for b in printable}
-    others = (b for b in range(256) if b not in set(printable))
-    letters.update({chr(256 + i): b for i, b in enumerate(others)})
-    return letters
 
 
 class PairIndexBpe:
@@ -79,7 +65,7 @@ class PairIndexBpe:
         keys = np.array(list(self.merges), np.int64)
         self.key_order = np.argsort(keys)
         self.keys = keys[self.key_order]
-        self.words = regex.compile(WORDS)
+        self.words = regex.compile(BYTE_LEVEL_WORDS)
         found = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.specials = regex.compile(f"({found})") if found else None
         self.known: dict[str, list[int]] = {}
@@ -176,11 +162,14 @@ class PairIndexBpe:
 class SpelledCache(PieceCache):
     """Keeps the decimal ids of each piece beside the ids."""
 
-    def _clear(self) -> None:
-        super()._clear()
+    def __init__(self, encode: Encode):
+        super().__init__(encode)
         self.spelled = [""]
 
-    def learned(self, keys: list[str], found: list[list[int]]) -> None:
+    def retained(self, numbers: np.ndarray) -> None:
+        self.spelled = [self.spelled[n] for n in numbers.tolist()]
+
+    def learned(self, found: list[list[int]]) -> None:
         self.spelled += [",".join(map(str, ids)) for ids in found]
 
 

@@ -9,14 +9,17 @@ neighbours, so that the cut never changes the ids.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
 Encode = Callable[[list[str]], list[list[int]]]
 
-#: Ends of the cache, after which it starts anew: pieces, and characters in them.
-MOST_PIECES, MOST_CHARS = 400_000, 16_000_000
+#: Bounds of the cache: pieces, and characters in them. Beyond, pieces go that were not
+#: met again since the last time.
+MOST_PIECES, MOST_CHARS = 600_000, 24_000_000
 
 # A key is a piece as split() leaves it: its space is taken off, a line end is not.
 FIRST = " "  # before the piece that starts a text
@@ -24,20 +27,18 @@ WHOLE = "  "  # before a piece that is taken as it stands
 UNSAFE = 0
 
 
-def _literal(key: str) -> str:
-    if key.startswith(WHOLE):
-        return key[2:]
+def _literal(key: str) -> str | None:
+    """What a key stands for, or None if white space touches white space, so that the cut
+    may be wrong."""
     if key.startswith(FIRST):
-        return key[1:]
-    return key if key.startswith("\n") else " " + key
-
-
-def _unsafe(key: str) -> bool:
-    """True if white space touches white space, so that the cut may be wrong."""
-    if key.startswith(WHOLE):
-        return False
-    rest = key[1:] if key.startswith((FIRST, "\n")) else key
-    return not rest or rest[-1].isspace() or (rest[0].isspace() and not key.startswith(FIRST))
+        if key.startswith(WHOLE):
+            return key[2:]
+        return None if len(key) == 1 or key[-1].isspace() else key[1:]
+    if not key or key[-1].isspace():
+        return None
+    if key[0] == "\n":
+        return None if key[1].isspace() else key
+    return None if key[0].isspace() else " " + key
 
 
 def _joined(parts: list[str]) -> list[str]:
@@ -58,57 +59,85 @@ class PieceCache:
 
     def __init__(self, encode: Encode, prepare: Callable[[str], str] | None = None):
         self.encode, self.prepare = encode, prepare
-        self._clear()
-
-    def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.chars = 0
         self.ids = np.zeros(1 << 16, np.int32)
-        self.at = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.at, self.size, self.met = (np.zeros(1 << 14, np.int64) for _ in range(3))
         self.used, self.count = 0, 1
 
+    def _shrink(self) -> None:
+        """Keep the pieces that were met more than once, if that makes room."""
+        again = self.met > 1
+        kept = [(key, n) for key, n in self.known.items() if n and again[n]]
+        if len(kept) > MOST_PIECES // 2 or sum(len(k) for k, _ in kept) > MOST_CHARS // 2:
+            kept = []
+        numbers = np.array([0, *[n for _, n in kept]], np.int64)
+        sizes = self.size[numbers]
+        ends = np.cumsum(sizes)
+        index = np.repeat(self.at[numbers] - (ends - sizes), sizes) + np.arange(ends[-1])
+        self.used, self.count = len(index), len(numbers)
+        self.ids[: self.used] = self.ids[index]
+        self.at[: self.count], self.size[: self.count] = ends - sizes, sizes
+        self.met[:] = 0
+        self.known = {key: n for n, (key, _) in enumerate(kept, 1)}
+        self.chars = sum(map(len, self.known))
+        self.retained(numbers)
+
+    def retained(self, numbers: np.ndarray) -> None:
+        """For what a subclass keeps beside the ids: the pieces that stay."""
+
+    def learned(self, found: list[list[int]]) -> None:
+        """The same for new pieces."""
+
     def _learn(self, keys: list[str]) -> None:
-        good = []
+        good, literals = [], []
         for key in dict.fromkeys(keys):
-            if _unsafe(key):
+            literal = _literal(key)
+            if literal is None:
                 self.known[key] = UNSAFE
             else:
                 good.append(key)
+                literals.append(literal)
         if not good:
             return
-        found = self.encode([_literal(key) for key in good])
+        found = self.encode(literals)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         total = int(sizes.sum())
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.count + len(good) > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        at = self.used + np.cumsum(sizes) - sizes
-        flat = [i for ids in found for i in ids]
-        self.ids[self.used : self.used + total] = flat
-        self.at[self.count : self.count + len(good)] = at
+            self.at, self.size, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size, self.met))
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
+        self.at[self.count : self.count + len(good)] = self.used + np.cumsum(sizes) - sizes
         self.size[self.count : self.count + len(good)] = sizes
         self.known.update(zip(good, range(self.count, self.count + len(good)), strict=True))
         self.chars += sum(map(len, good))
         self.used, self.count = self.used + total, self.count + len(good)
-        self.learned(good, found)
+        self.learned(found)
 
-    def learned(self, keys: list[str], found: list[list[int]]) -> None:
-        """For what a subclass keeps beside the ids."""
-
-    def _numbers(self, keys: list[str]) -> list[int]:
+    def _numbers(self, keys: list[str]) -> np.ndarray:
         numbers = list(map(self.known.get, keys))
         if None in numbers:
-            self._learn([key for key, n in zip(keys, numbers, strict=True) if n is None])
-            numbers = list(map(self.known.get, keys))
-        return numbers
+            where = [i for i, n in enumerate(numbers) if n is None]
+            missing = [keys[i] for i in where]
+            self._learn(missing)
+            for i, n in zip(where, map(self.known.__getitem__, missing), strict=True):
+                numbers[i] = n
+        return np.array(numbers, np.int64)
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers of all texts in a row, and how many each text has."""
+        collects = gc.isenabled()
+        gc.disable()  # many small lists arise here, none of them in a cycle
+        try:
+            return self._numbers_of(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _numbers_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > MOST_PIECES or self.chars > MOST_CHARS:
-            self._clear()
+            self._shrink()
         if self.prepare:
             texts = list(map(self.prepare, texts))
         keys: list[str] = []
@@ -119,7 +148,8 @@ class PieceCache:
                 parts[0] = FIRST + parts[0]
                 keys += parts
                 counts[i] = len(parts)
-        numbers = np.array(self._numbers(keys), np.int64)
+        numbers = self._numbers(keys)
+        self.met[: self.count] += np.bincount(numbers, minlength=self.count)
         if (numbers != UNSAFE).all():
             return numbers, counts
         starts = np.cumsum(counts) - counts
@@ -128,7 +158,7 @@ class PieceCache:
             own = numbers[starts[i] : starts[i] + counts[i]]
             if (own == UNSAFE).any():
                 joined = _joined(text.replace("\n", " \n").split(" ")) if " \n" not in text else [WHOLE + text]
-                own = np.array(self._numbers(joined), np.int64)
+                own = self._numbers(joined)
                 counts[i] = len(own)
             cut.append(own)
         return np.concatenate(cut), counts
@@ -146,24 +176,80 @@ class PieceCache:
         return self.ids[index], np.diff(text_ends, prepend=0)
 
 
-def _library_encode(tokenizer, special: str) -> Encode:
-    """Encode many short pieces in one call each thousand: between special tokens the
-    library treats every stretch as a text of its own, and their id cuts the result."""
-    mark = tokenizer.token_to_id(special)
+#: Fixed value: the words of a byte-level pre-tokenizer that has no pattern of its own.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+MOST_WORDS = 400_000
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes are
+    themselves, the others follow from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in printable}
+    others = (b for b in range(256) if b not in set(printable))
+    letters.update({chr(256 + i): b for i, b in enumerate(others)})
+    return letters
+
+
+def _is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _words_pattern(told: dict) -> str | None:
+    """The pattern of words, if the file's steps are known: byte-level, or a split by one
+    pattern and then byte-level."""
+    steps = told["pre_tokenizer"].get("pretokenizers", [told["pre_tokenizer"]])
+    if [s["type"] for s in steps] == ["ByteLevel"] and steps[0]["use_regex"] and not steps[0]["add_prefix_space"]:
+        return BYTE_LEVEL_WORDS
+    if [s["type"] for s in steps] == ["Split", "ByteLevel"] and not steps[1]["use_regex"]:
+        split = steps[0]
+        if split["behavior"] == "Removed" and split["invert"]:
+            return split["pattern"].get("Regex")
+    return None
+
+
+def _library_encode(tokenizer, told: dict, lowers: bool) -> Encode:
+    """Encode many short texts. Words of Latin-1 texts, which no normaliser of the known
+    files changes once they are in lower case, go to the library's model directly and
+    are kept; all other texts take the whole way through the library."""
+    import regex
+
+    model = tokenizer.model
+    pattern = _words_pattern(told)
+    plain = all(s["type"] in ("NFC", "Replace", "Lowercase") for s in (told["normalizer"] or {}).get("normalizers", []))
+    words = regex.compile(pattern) if pattern and plain else None
+    letter_of = {b: letter for letter, b in byte_letters().items()}
+    letters = {b: ord(letter_of[b]) for b in range(256)}
+    known: dict[str, tuple[int, ...]] = {}
+
+    def of_word(word: str) -> tuple[int, ...]:
+        if len(known) > MOST_WORDS:
+            known.clear()
+        ids = tuple([t.id for t in model.tokenize(word.encode().decode("latin-1").translate(letters))])
+        known[word] = ids
+        return ids
 
     def encode(texts: list[str]) -> list[list[int]]:
-        found: list[list[int]] = []
-        groups = [texts[i : i + 1000] for i in range(0, len(texts), 1000)]
-        for group, e in zip(groups, tokenizer.encode_batch_fast([special.join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.int32)
-            ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
-            if len(ends) == len(group):
-                flat, start = e.ids, 0
-                for end in ends:
-                    found.append(flat[start:end])
-                    start = end + 1
-            else:  # a piece holds the special token itself
-                found += [x.ids for x in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+        found: list[list[int] | None] = []
+        others = []
+        for text in texts:
+            if words is None or "<|" in text or not _is_latin(text) or (lowers and text != text.lower()):
+                others.append(len(found))
+                found.append(None)
+                continue
+            own: list[int] = []
+            for word in words.findall(text):
+                own += known.get(word) or of_word(word)
+            found.append(own)
+        if others:
+            for i, e in zip(others, tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False), strict=True):
+                found[i] = e.ids
         return found
 
     return encode
@@ -174,12 +260,7 @@ def latin_lower(text: str) -> str:
     lower-casing tokenizer that drops white space makes of it; else text."""
     if "<|" in text:
         return text
-    if not text.isascii():
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text
-    return text.replace("\n", " ").lower()
+    return text.replace("\n", " ").lower() if _is_latin(text) else text
 
 
 def library_cache(path: str) -> PieceCache:
@@ -196,10 +277,9 @@ def library_cache(path: str) -> PieceCache:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    special = next(t["content"] for t in told["added_tokens"] if t["special"] and not t["normalized"])
     steps = (told["normalizer"] or {}).get("normalizers", [])
     lowers = any(step["type"] == "Lowercase" for step in steps)
-    return PieceCache(_library_encode(tokenizer, special), latin_lower if lowers else None)
+    return PieceCache(_library_encode(tokenizer, told, lowers), latin_lower if lowers else None)
 
 
 _caches: dict[str, PieceCache] = {}
