@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+
+from factpanel.schema import SCREENER_TAGS
 
 TAGS: dict[str, list[str]] = {
     "revenue": ["STANDARD_O", "STANDARD_F", "PROMO_O"],
@@ -25,22 +26,16 @@ TAGS: dict[str, list[str]] = {
     "cff": ["LARGE_F", "MEDIUM_O"],
 }
 
-# One tag per metric, for the screener that keeps every fact.
-MERGE_TAGS = {"revenue": "STANDARD_O", "net_income": "PROMO_F", "gross_profit": "SMALL_O"}
+# One tag per metric, for the screener that keeps every fact: brands, of which a filing
+# has about one fact each, so that all nine can be multiplied.
+MERGE_TAGS = {metric: f"Brand#{n}" for n, metric in enumerate(SCREENER_TAGS, 1)}
 
 FLOOR = 50_000.0
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A driver table. Its schema is taken from the footer once per path, the way a
-    catalog would keep it; a query names the same table several times."""
-    path = f"{sf_dir}/{table}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _period(day: str) -> dict[str, Column]:
@@ -59,22 +54,26 @@ def _day(c: Column) -> Column:
     return F.to_date(c).cast("string")
 
 
-def num(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts: one row per line item."""
-    lines = read(spark, sf_dir, "lineitem").withColumns(_period("l_shipdate"))
-    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
+def _value() -> Column:
     price = F.col("l_extendedprice")
-    value = (
+    return (
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("double"))
         .when(F.col("l_quantity") == 50, F.lit(0.0))
         .when(F.col("l_returnflag") == "R", -price)
         .otherwise(price)
     )
+
+
+def num(spark: SparkSession, sf_dir: str, by_brand: bool = False) -> DataFrame:
+    """Facts: one row per line item."""
+    lines = read(spark, sf_dir, "lineitem").withColumns(_period("l_shipdate"))
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    tag = F.col("p_brand") if by_brand else F.concat_ws("_", "p_type", "l_linestatus")
     return rows.select(
         _filing_id().alias("adsh"),
-        F.concat_ws("_", "p_type", "l_linestatus").alias("tag"),
-        value.alias("value"),
+        tag.alias("tag"),
+        _value().alias("value"),
         _day(F.col("l_shipdate")).alias("ddate"),
         "dataset_year",
         "dataset_quarter",
@@ -107,3 +106,41 @@ def sub(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dataset_year",
         "dataset_quarter",
     )
+
+
+def _customer_filing() -> Column:
+    parts = ["o_custkey", "dataset_year", "dataset_quarter"]
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in parts])
+
+
+def customer_sub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filing headers: one row per customer and order quarter. Some have no facts, as not
+    every order has line items."""
+    orders = read(spark, sf_dir, "orders").withColumns(_period("o_orderdate"))
+    made = orders.groupBy("o_custkey", "dataset_year", "dataset_quarter").agg(F.max("o_orderdate").alias("last"))
+    year, quarter = F.col("dataset_year"), F.col("dataset_quarter")
+    return made.select(
+        _customer_filing().alias("adsh"),
+        F.col("o_custkey").alias("cik"),
+        F.when(quarter == 4, "10-K").otherwise("10-Q").alias("form"),
+        _day(F.col("last")).alias("filed"),
+        year.alias("dataset_year"),
+        quarter.alias("dataset_quarter"),
+    )
+
+
+def customer_num(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts: one row per line item of a customer's orders. Some filings have only facts
+    without a value."""
+    lines = read(spark, sf_dir, "lineitem")
+    orders = read(spark, sf_dir, "orders").withColumns(_period("o_orderdate"))
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    return rows.select(
+        _customer_filing().alias("adsh"),
+        F.concat_ws("_", "p_type", "l_linestatus").alias("tag"),
+        _value().alias("value"),
+        "dataset_year",
+        "dataset_quarter",
+    )

@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 from factpanel.functions.numeric import lenient_double, safe_ratio, to_double
 from factpanel.operators.facts import (
     attach_facts,
-    filings_not_in,
     filter_forms,
     join_per_filing,
     tag_pivot,
     with_known_keys,
 )
 from factpanel.schema import RATIOS, SCREENER_COLS, SCREENER_TAGS, filing_keys
-from factpanel.session import stage
 
-SPLIT_ABOVE = 10_000
+#: About how many rows of one filing's product a task writes in a row.
+SLICE_ROWS = 100_000
 
 
 def fan_out_facts(
@@ -27,15 +26,15 @@ def fan_out_facts(
     num: DataFrame,
     tags: dict[str, str],
     strict: bool = True,
-    split_above: int = SPLIT_ABOVE,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Left join per tag, all facts kept: a filing with several facts of a tag is
     multiplied, and the counts of the tags multiply with each other.
 
-    Facts are read and shuffled once. Filings with up to ``split_above`` facts
-    carry them as short lists that are exploded one after the other, which gives
-    the rows of the join chain without its joins. Larger filings, if a count finds
-    any, go through inner joins that AQE can split on both sides.
+    Facts are read and shuffled once, into a list per filing and tag. Where the
+    product of the lists is large, the longest one is cut into slices, and the slices
+    are dealt to tasks before the lists are exploded one after the other. A list holds
+    the values of one tag of one filing; the rows that come out are at least as many.
     """
     keys = filing_keys(filings, num)
     value = to_double("value") if strict else lenient_double("value")
@@ -44,51 +43,36 @@ def fan_out_facts(
         .where(F.col("tag").isin(sorted(set(tags.values()))))
         .select(*keys, "tag", value.alias("value"))
     )
-    large = facts.groupBy(*keys).count().where(F.col("count") > split_above).select(*keys)
-    if large.isEmpty():
-        return _explode_lists(filings, facts, tags, keys)
-    large = stage(large)
-    others = filings_not_in(filings, large, keys)
-    small_facts = facts.join(large, keys, "left_anti")
-    by_lists = _explode_lists(others, small_facts, tags, keys)
-    by_joins = _join_chain(
-        filings.join(large, keys, "left_semi"), facts.join(large, keys, "left_semi"), tags, keys
-    )
-    return by_lists.unionByName(by_joins.select(*by_lists.columns))
-
-
-def _explode_lists(
-    filings: DataFrame, facts: DataFrame, tags: dict[str, str], keys: list[str]
-) -> DataFrame:
     # a struct per fact, as collect_list would drop null values
     fact = F.struct(F.col("value"))
     lists = facts.groupBy(*keys).agg(
         *[F.collect_list(F.when(F.col("tag") == t, fact)).alias(m) for m, t in tags.items()]
     )
-    rows = join_per_filing(filings, lists, keys)
+    rows = _sliced(join_per_filing(filings, lists, keys), keys, list(tags), slice_rows)
     for m in tags:
         rows = rows.withColumn(m, F.explode_outer(m))
     return rows.withColumns({m: F.col(m)["value"] for m in tags})
 
 
-def _join_chain(
-    filings: DataFrame, facts: DataFrame, tags: dict[str, str], keys: list[str]
-) -> DataFrame:
-    """Inner joins; a filing that lacks a tag gets one null fact for it. Each join
-    has a key text of its own, hence an exchange of its own that AQE may split."""
-    wanted = F.array(*[F.lit(t) for t in sorted(set(tags.values()))])
-    lacking = facts.groupBy(*keys).agg(F.collect_set("tag").alias("found"))
-    lacking = lacking.select(*keys, F.explode(F.array_except(wanted, "found")).alias("tag"))
-    padded = facts.unionByName(lacking.withColumn("value", F.lit(None).cast("double")))
-
-    def add(rows: DataFrame, item: tuple[int, tuple[str, str]]) -> DataFrame:
-        step, (metric, tag) = item
-        key = F.concat_ws("|", F.lit(str(step)), *[F.col(k).cast("string") for k in keys])
-        right = padded.where(F.col("tag") == tag)
-        right = right.select(key.alias("_step"), F.col("value").alias(metric))
-        return rows.withColumn("_step", key).join(right, "_step").drop("_step")
-
-    return reduce(add, enumerate(tags.items()), filings)
+def _sliced(rows: DataFrame, keys: list[str], metrics: list[str], slice_rows: int) -> DataFrame:
+    """Each filing once per slice of its longest list, spread over all tasks."""
+    sizes = {m: F.greatest(F.coalesce(F.size(m), F.lit(0)), F.lit(1)) for m in metrics}
+    product = reduce(lambda a, b: a * b, [n.cast("double") for n in sizes.values()])
+    longest = F.greatest(*sizes.values()) if len(sizes) > 1 else next(iter(sizes.values()))
+    wanted = F.least(F.ceil(product / slice_rows), longest.cast("long"))
+    rows = rows.withColumns({"_longest": longest, "_length": F.ceil(longest / wanted).cast("int")})
+    last = F.ceil(F.col("_longest") / F.col("_length")).cast("int") - 1
+    rows = rows.withColumn("_slice", F.explode(F.sequence(F.lit(0), last)))
+    # the number is given, as the rows are small here and would be put together again
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, *keys, "_slice")
+    start, free = F.col("_slice") * F.col("_length") + 1, F.lit(True)
+    cut = {}
+    for m in metrics:  # the first of the longest lists
+        is_longest = free & (F.coalesce(F.size(m), F.lit(0)) == F.col("_longest"))
+        cut[m] = F.when(is_longest, F.slice(m, start, F.col("_length"))).otherwise(F.col(m))
+        free = free & ~is_longest
+    return rows.withColumns(cut).drop("_longest", "_length", "_slice")
 
 
 def merge_metrics(
@@ -98,7 +82,7 @@ def merge_metrics(
     tags: dict[str, str] | None = None,
     collapse: str | None = None,
     strict: bool = True,
-    split_above: int = SPLIT_ABOVE,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Screener table with the three margins that its metrics allow.
 
@@ -108,7 +92,7 @@ def merge_metrics(
     tags = tags or SCREENER_TAGS
     filings = filter_forms(sub, forms)
     if collapse is None:
-        rows = fan_out_facts(filings, num, tags, strict, split_above)
+        rows = fan_out_facts(filings, num, tags, strict, slice_rows)
     elif collapse == "max":
         rows = attach_facts(filings, tag_pivot(num, {m: [t] for m, t in tags.items()}, strict))
     else:

@@ -15,14 +15,14 @@ from factpanel.functions.numeric import (
     safe_ratio,
     sum_skipping_missing,
 )
-from factpanel.operators.positions import with_positions
 from factpanel.schema import DELTA_COLS, TTM_COLS, TTM_YOY_COLS, YOY_COLS
-from factpanel.session import stage
 
 YEAR_ROWS = 4
 # A change of a trailing sum looks back four rows, and that sum three more.
 LOOK_BACK = 7
-SPLIT_ABOVE = 250_000
+# Rows of a company that one task holds at once.
+BLOCK_ROWS = 50_000
+PLACE_COLS = ["_before", "_block", "_own", "_alone"]
 
 Build = Callable[[DataFrame, WindowSpec], DataFrame]
 
@@ -41,60 +41,52 @@ def sort_panel(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("cik").asc_nulls_last(), *panel_order(df))
 
 
-def large_companies(rows: DataFrame, above: int) -> list:
-    """Companies with more than ``above`` rows.
+def place_in_companies(df: DataFrame, by_period: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Cut the rows of every company into blocks at exact row numbers, lazily.
 
-    One count per company, combined on the map side. The driver receives at most
-    rows / ``above`` ids.
-    """
-    counts = rows.where(F.col("cik").isNotNull()).groupBy("cik").count()
-    return [r["cik"] for r in counts.where(F.col("count") > above).select("cik").collect()]
-
-
-def over_companies(
-    df: DataFrame,
-    build: Build,
-    by_period: bool = True,
-    companies: DataFrame | None = None,
-    split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
-    """Apply window columns per company in panel order.
+    Adds ``_before`` (rows of the company before this one in panel order), ``_block``, and
+    ``_own``: a row that the next block needs for looking back is there once more, with
+    ``_own`` false. Counts per company and period, added up along the company, say how many
+    rows come before a period; inside a period rows are numbered. So no task ever holds
+    more of a company than one of its periods, or its list of periods.
 
-    Normal case: one shuffle on the company. Companies above ``split_above`` rows
-    are cut at exact row numbers into blocks that carry the ``LOOK_BACK`` rows
-    before them, so no task holds a whole company. ``companies`` may name a
-    cheaper frame with the same company ids to look for such companies in.
-
-    Rows without a company id are each on their own.
+    Call it on narrow rows, such as filings before their facts are joined.
     """
-    order = panel_order(df, by_period)
-    large = large_companies(df if companies is None else companies, split_above)
-    if not large:
-        return _alone_without_company(df, build, order)
-
-    columns = df.columns
-    rows = stage(df.withColumn("_uid", F.monotonically_increasing_id()))
-    is_large = F.coalesce(F.col("cik").isin(large), F.lit(False))
-    others = _alone_without_company(rows.where(~is_large).select(*columns), build, order)
-
-    size = max(split_above, LOOK_BACK + 1)
-    ordered = with_positions(rows.where(is_large), ["cik"], [*order, F.col("_uid")])
+    names = ["period", "dataset_year", "dataset_quarter"] if by_period else ["dataset_year", "dataset_quarter"]
+    group = ["cik", *[c for c in names if c in df.columns]]
+    order = [F.col(c).asc_nulls_last() for c in group[1:]]
+    counts = df.where(F.col("cik").isNotNull()).groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("cik").orderBy(*(order or [F.lit(0)])).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    counts = counts.select(*[F.col(c).alias(f"_of_{c}") for c in group], "_offset")
+
+    tie = F.expr(f"xxhash64({', '.join(quoted(c) for c in df.columns)})")
+    inside = [F.col("adsh").asc_nulls_last()] if "adsh" in df.columns else []
+    # rows without a company need no place: each gets a group of its own
+    alone = F.when(F.col("cik").isNull(), tie)
+    numbered = df.withColumn("_alone", alone).withColumn(
+        "_row", F.row_number().over(Window.partitionBy(*group, "_alone").orderBy(*inside, tie)) - 1
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]
+    placed = numbered.join(counts, same, "left").withColumn("_before", F.col("_row") + F.coalesce("_offset", F.lit(0)))
+    size = max(block_rows, LOOK_BACK + 1)
     block = F.floor(F.col("_before") / size)
-    carried = F.col("_before") % size >= size - LOOK_BACK
+    carried = F.col("cik").isNotNull() & (F.col("_before") % size >= size - LOOK_BACK)
     blocks = F.when(carried, F.array(block, block + 1)).otherwise(F.array(block))
-    split = ordered.withColumn("_block", F.explode(blocks)).withColumn(
-        "_own", F.col("_block") == block
-    )
-    window = Window.partitionBy("cik", "_block").orderBy("_before")
-    done = build(split, window).where("_own").drop("_uid", "_before", "_block", "_own")
-    return others.unionByName(done)
+    split = placed.withColumn("_block", F.explode(blocks))
+    return split.withColumn("_own", F.col("_block") == block).select(*df.columns, *PLACE_COLS)
+
 
+def over_companies(df: DataFrame, build: Build, by_period: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Apply window columns per company in panel order.
 
-def _alone_without_company(df: DataFrame, build: Build, order: list[Column]) -> DataFrame:
-    row_hash = f"xxhash64({', '.join(quoted(c) for c in df.columns)})"
-    alone = F.expr(f"CASE WHEN cik IS NULL THEN {row_hash} END")
-    window = Window.partitionBy("cik", "_alone").orderBy(*order)
-    return build(df.withColumn("_alone", alone), window).drop("_alone")
+    One shuffle and one sort by company and block serve all columns. Rows that were not
+    placed yet (see :func:`place_in_companies`) are placed here, which reads ``df`` twice.
+    Rows without a company id have no earlier rows.
+    """
+    rows = df if set(PLACE_COLS) <= set(df.columns) else place_in_companies(df, by_period, block_rows)
+    window = Window.partitionBy("cik", "_block", "_alone").orderBy("_before")
+    return build(rows, window).where("_own").drop(*PLACE_COLS)
 
 
 def _earlier(c: str, back: int) -> str:
@@ -107,7 +99,7 @@ def _yoy(c: str) -> dict[str, Column]:
 
 
 def _ttm(c: str) -> dict[str, Column]:
-    """A row without a company is alone, so only its own value has to be left out."""
+    """Without a company there is no sum, so the row's own value is left out as well."""
     parts = [finite_sql(_earlier(c, back)) for back in range(YEAR_ROWS - 1, 0, -1)]
     own = finite_sql(f"CASE WHEN cik IS NOT NULL THEN {c} END")
     return {f"ttm_{c}": sum_skipping_missing([*parts, own])}
@@ -135,7 +127,9 @@ def _with_series(
     looks += [(c, back) for c in ttm for back in range(1, YEAR_ROWS)]
     if not looks:
         return df
-    looked = {_earlier(c, back): F.lag(c, back).over(window) for c, back in set(looks)}
+    # two equal rows without a company may share a window, and must not see each other
+    known = F.col("cik").isNotNull()
+    looked = {_earlier(c, back): F.when(known, F.lag(c, back).over(window)) for c, back in set(looks)}
     made: dict[str, Column] = {}
     for cols, series in ((yoy, _yoy), (ttm, _ttm), (delta, _delta)):
         for c in cols:
@@ -187,28 +181,19 @@ def panel_columns() -> Build:
     return build
 
 
-def company_ttm(
-    df: DataFrame,
-    cik: int,
-    column: str,
-    check: bool = True,
-    companies: DataFrame | None = None,
-    split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
+def company_ttm(df: DataFrame, cik: int, column: str, check: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Trailing sum of one metric of one company, ordered by dataset period.
 
-    ``check`` looks for the company first and raises if it has no row. Both that and
-    the count of its rows use ``companies`` where given, as in :func:`over_companies`.
+    ``check`` looks for the company first and raises if it has no row.
     """
     if column not in df.columns:
         raise ValueError(f"no column {column!r}")
     rows = df.where(F.col("cik") == cik)
-    listed = rows if companies is None else companies.where(F.col("cik") == cik)
-    if check and listed.isEmpty():
+    if check and rows.isEmpty():
         raise ValueError(f"no rows of company {cik}")
-    rows = rows.select("cik", "dataset_year", "dataset_quarter", "adsh", column)
-
-    done = over_companies(rows, ttm_columns([column]), False, listed, split_above)
+    there = set(rows.columns)
+    rows = rows.select("cik", "dataset_year", "dataset_quarter", "adsh", column, *[c for c in PLACE_COLS if c in there])
+    done = over_companies(rows, ttm_columns([column]), False, block_rows)
     label = period_label("dataset_year", "dataset_quarter").alias("period")
     return done.orderBy(*panel_order(done, by_period=False)).select(label, f"ttm_{column}")
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factpanel.functions.numeric import finite, nan_to_null, quoted, to_double
-from factpanel.operators.positions import with_positions
-from factpanel.session import stage
 
 # The quartiles of a profile.
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
@@ -19,9 +17,9 @@ PROFILE_COLS = [
 
 
 def profile_columns(
-    df: DataFrame, max_columns: int = 20, approximate: bool = False
+    df: DataFrame, max_columns: int | None = None, approximate: bool = False
 ) -> DataFrame:
-    """One row per column, for the first ``max_columns`` columns.
+    """One row per column, or for the first ``max_columns`` columns where that is given.
 
     Numbers get count, mean, deviation, extremes and quartiles with linear
     interpolation; other columns get count, distinct values and the most frequent
@@ -68,45 +66,63 @@ def _texts(counted: DataFrame) -> DataFrame:
     )
 
 
+def _bin_of(number: Column) -> Column:
+    """A number that grows with the value: 256 steps for each doubling, whatever the range
+    of the column, so at most some hundred thousand in all."""
+    size = F.floor(F.log2(F.abs(number)) * 256) + 300_000
+    size = F.when(F.abs(number) == float("inf"), F.lit(1_000_000)).otherwise(size)
+    return F.when(number == 0, F.lit(0)).when(number > 0, size).otherwise(-size).cast("long")
+
+
 def _exact(long: DataFrame) -> DataFrame:
-    """Everything from the counted values, which are made in one pass over the input.
+    """Everything from the counted values.
 
-    The distinct values get exact positions from a range shuffle, and each quartile
-    picks the one or two rows at its rank: no task ever holds a whole column.
+    Counts per bin of values say which bins hold a quartile; only the values in those
+    are sorted, so no task ever holds a whole column.
     """
-    order = [F.col("number").asc_nulls_last(), F.col("text").asc_nulls_last()]
-    placed = with_positions(_counted(long), ["column"], order, F.col("n"))
+    counted = _counted(long)
     present = F.col("number").isNotNull() | F.col("text").isNotNull()
-    total = placed.groupBy("column").agg(
+    away = F.col("number") - F.col("mean")
+    total = counted.groupBy("column").agg(
         F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("count"),
         F.sum(F.col("number") * F.col("n")).alias("_sum"),
+        F.min("number").alias("min"),
+        F.max("number").alias("max"),
     )
     total = total.withColumn("mean", nan_to_null("try_divide(_sum, count)"))
-    texts = _texts(placed)
-    placed = placed.join(total, "column")
-    until = F.col("_before") + F.col("n")
+    numbers = counted.where(F.col("number").isNotNull()).withColumn("_bin", _bin_of(F.col("number")))
+    squares = numbers.join(total.select("column", "mean"), "column")
+    squares = squares.groupBy("column").agg(F.sum(F.col("n") * away * away).alias("_squares"))
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_before") <= rank) & (rank < until), F.col("number")))
+    def before(*keys: str, by: str) -> Column:
+        window = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(window), F.lit(0))
 
-    picks = []
+    ranks = {}
     for name, p in QUARTILES.items():
         place = (F.col("count") - 1) * F.lit(p)
-        picks += [at(F.floor(place)).alias(f"{name}_low"), at(F.ceil(place)).alias(f"{name}_high")]
-    away = F.col("number") - F.col("mean")
-    rows = placed.groupBy("column", "count", "mean").agg(
-        F.min("number").alias("min"),
-        F.max("number").alias("max"),
-        F.sum(F.col("n") * away * away).alias("_squares"),
-        *picks,
-    )
+        ranks |= {f"{name}_low": F.floor(place), f"{name}_high": F.ceil(place)}
+    bins = numbers.groupBy("column", "_bin").agg(F.sum("n").alias("n"))
+    bins = bins.withColumn("_start", before("column", by="_bin")).join(total.select("column", "count"), "column")
+    holds = F.lit(False)
+    for rank in ranks.values():
+        holds = holds | ((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("n")))
+    held = numbers.join(bins.where(holds).select("column", "_bin", "_start", "count"), ["column", "_bin"])
+    held = held.withColumn("_before", F.col("_start") + before("column", "_bin", by="number"))
+
+    def at(rank: Column) -> Column:
+        inside = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("n"))
+        return F.max(F.when(inside, F.col("number")))
+
+    picks = held.groupBy("column").agg(*[at(rank).alias(name) for name, rank in ranks.items()])
+    rows = total.join(squares, "column", "left").join(picks, "column", "left")
     made = {"std": nan_to_null("sqrt(try_divide(_squares, count - 1))")}
     for name, p in QUARTILES.items():
         place = (F.col("count") - 1) * F.lit(p)
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         part = low + (high - low) * (place - F.floor(place))
         made[name] = F.when(low == high, low).otherwise(F.nanvl(part, F.lit(None).cast("double")))
-    return rows.withColumns(made).join(texts, "column", "left")
+    return rows.withColumns(made).join(_texts(counted), "column", "left")
 
 
 def _sketched(long: DataFrame) -> DataFrame:
@@ -132,11 +148,10 @@ def _bin(c: str, low: Column, high: Column, bins: int) -> Column:
 def histogram_2d(df: DataFrame, x: str, y: str, bins: int = 30) -> DataFrame:
     """Rows per cell of an equal-width grid, cells from 1, the last one closed.
 
-    Rows with a missing or infinite coordinate are left out. The two coordinates
-    are staged, as they are read for the bounds and then for the cells; the bounds
-    are a scalar subquery of one row.
+    Rows with a missing or infinite coordinate are left out. The bounds are a scalar
+    subquery of one row, so ``df`` is read twice; persist it where that is dear.
     """
-    rows = stage(df.select(finite(quoted(x)).alias("x"), finite(quoted(y)).alias("y")).dropna())
+    rows = df.select(finite(quoted(x)).alias("x"), finite(quoted(y)).alias("y")).dropna()
     ends = [f(c).alias(f"{name}_{c}") for c in "xy" for name, f in (("low", F.min), ("high", F.max))]
     bound = rows.agg(F.struct(*ends).alias("b")).scalar()
     cell = [

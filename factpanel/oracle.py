@@ -27,6 +27,20 @@ NUM = """num AS (
          CAST(quarter(l_shipdate) AS INTEGER) AS dataset_quarter
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
+BRANDS = NUM.replace("num AS", "brands AS").replace("p_type || '_' || l_linestatus AS tag", "p_brand AS tag")
+
+CUSTOMERS = """sub AS (
+  SELECT o_custkey || '-' || y || '-' || q AS adsh, o_custkey AS cik,
+         CASE WHEN q = 4 THEN '10-K' ELSE '10-Q' END AS form,
+         CAST(CAST(last AS DATE) AS VARCHAR) AS filed, y AS dataset_year, q AS dataset_quarter
+  FROM (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(quarter(o_orderdate) AS INTEGER) AS q,
+               max(o_orderdate) AS last FROM orders GROUP BY 1, 2, 3)),
+num AS (
+  SELECT o_custkey || '-' || year(o_orderdate) || '-' || quarter(o_orderdate) AS adsh,
+         CAST(CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS DOUBLE) AS value,
+         CAST(year(o_orderdate) AS INTEGER) AS dataset_year, CAST(quarter(o_orderdate) AS INTEGER) AS dataset_quarter
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+
 SUB = """sub AS (
   SELECT s || '-' || y || '-' || q AS adsh,
          s AS cik,
@@ -94,10 +108,10 @@ def _with(ctes: str, query: str) -> str:
 
 
 def _plain(doubles: list[str], others: str, source: str) -> str:
-    """Infinite values as null, and how many there were."""
+    """Infinite values as null, and which there were."""
     cells = ", ".join(f"{_finite(c)} AS {c}" for c in doubles)
-    n = " + ".join(f"coalesce(CAST(isinf({c}) AS INTEGER), 0)" for c in doubles)
-    return f"SELECT {others}{', ' if others else ''}{cells}, CAST({n} AS INTEGER) AS n_infinite FROM {source}"
+    signs = ", ".join(f"CASE WHEN isinf({c}) THEN '{c}' || CASE WHEN {c} > 0 THEN '+' ELSE '-' END END" for c in doubles)
+    return f"SELECT {others}{', ' if others else ''}{cells}, concat_ws(',', {signs}) AS infinite FROM {source}"
 
 
 def _sum4(c: str) -> str:
@@ -149,19 +163,20 @@ DELTA_NAMES = [f"{c}_delta" for c in DELTA_COLS]
 
 def _merge() -> str:
     joins = "\n".join(
-        f"LEFT JOIN (SELECT adsh, value AS {m} FROM num WHERE tag = '{t}') AS t_{m} USING (adsh)"
+        f"LEFT JOIN (SELECT adsh, value AS {m} FROM brands WHERE tag = '{t}') AS t_{m} USING (adsh)"
         for m, t in MERGE_TAGS.items()
     )
     return (
-        f"{NUM},\n{SUB},\n{FILINGS},\nmerged AS (SELECT cik, name, adsh, form, fy, fp, period, filed, "
+        f"{BRANDS},\n{SUB},\n{FILINGS},\nmerged AS (SELECT cik, name, adsh, form, fy, fp, period, filed, "
         + ", ".join(MERGE_TAGS)
         + f" FROM filings\n{joins}),\nscreen AS (SELECT *, {_ratio('gross_profit', 'revenue')} AS gross_margin, "
+        + f"{_ratio('operating_income', 'revenue')} AS operating_margin, "
         + f"{_ratio('net_income', 'revenue')} AS net_margin FROM merged)"
     )
 
 
 MERGE_IDS = "cik, name, adsh, form, fy, fp, period, filed"
-MERGE_NAMES = [*MERGE_TAGS, "gross_margin", "net_margin"]
+MERGE_NAMES = [*MERGE_TAGS, "gross_margin", "operating_margin", "net_margin"]
 
 
 def _collapse() -> str:
@@ -205,19 +220,23 @@ completeness AS (SELECT dataset_year, dataset_quarter, true AS "exists", s AND n
                  CASE WHEN NOT p THEN 'pre' END, CASE WHEN NOT t THEN 'tag' END) AS missing_files
   FROM places)"""
 
-KNOWN = f"""known AS (
-  SELECT 'First' AS known, lpad(CAST(min(s_suppkey) AS VARCHAR), 10, '0') AS company FROM supplier
-  UNION ALL SELECT 'Last', lpad(CAST(max(s_suppkey) AS VARCHAR), 10, '0') FROM supplier
+def _known(table: str, key: str) -> str:
+    return f"""known AS (
+  SELECT 'First' AS known, lpad(CAST(min({key}) AS VARCHAR), 10, '0') AS company FROM {table}
+  UNION ALL SELECT 'Last', lpad(CAST(max({key}) AS VARCHAR), 10, '0') FROM {table}
   UNION ALL SELECT 'Nobody', '{NO_COMPANY}')"""
 
 
-def _classes(facts: str) -> str:
-    return f"""{KNOWN},
-periods AS (SELECT dataset_year, dataset_quarter FROM sub UNION SELECT dataset_year, dataset_quarter FROM num),
-per_filing AS (SELECT adsh, count(*) AS n_facts, count(value) AS n_usable FROM {facts} GROUP BY adsh),
+PRESENCE = """per_filing AS (SELECT adsh, count(*) AS n_facts, count(value) AS n_usable FROM num GROUP BY adsh),
 presence AS (SELECT dataset_year, dataset_quarter, lpad(CAST(cik AS VARCHAR), 10, '0') AS company,
   sum(coalesce(n_facts, 0)) AS n_facts, sum(coalesce(n_usable, 0)) AS n_usable
-  FROM sub LEFT JOIN per_filing USING (adsh) GROUP BY 1, 2, 3),
+  FROM sub LEFT JOIN per_filing USING (adsh) GROUP BY 1, 2, 3)"""
+
+
+def _classes(table: str, key: str) -> str:
+    return f"""{_known(table, key)},
+periods AS (SELECT dataset_year, dataset_quarter FROM sub UNION SELECT dataset_year, dataset_quarter FROM num),
+{PRESENCE},
 classes AS (SELECT w.dataset_year, w.dataset_quarter, w.known, w.company,
   pr.company IS NOT NULL AS in_sub, coalesce(n_facts > 0, false) AS in_num, coalesce(n_usable > 0, false) AS usable
   FROM (SELECT * FROM periods, known) w LEFT JOIN presence pr USING (dataset_year, dataset_quarter, company)),
@@ -231,7 +250,7 @@ def _json(key: str, value: str, quote: bool = False) -> str:
     return f"'{{' || string_agg('\"' || {key} || '\":' || {shown}, ',' ORDER BY {key}) || '}}'"
 
 
-QUARTER_AUDIT = f"""{_classes('num')},
+QUARTER_AUDIT = f"""{_classes('supplier', 's_suppkey')},
 subs AS (SELECT dataset_year, dataset_quarter, count(*) AS n, count(DISTINCT cik) AS companies FROM sub GROUP BY 1, 2),
 nums AS (SELECT dataset_year, dataset_quarter, count(*) AS n FROM num GROUP BY 1, 2),
 in_facts AS (SELECT dataset_year, dataset_quarter, count(*) AS companies FROM presence WHERE n_facts > 0 GROUP BY 1, 2),
@@ -337,7 +356,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "fundamentals": _with(PANEL, _plain(wide, ID, "p")),
         "scan_typed": _with(SUB, f"SELECT {ID} FROM sub"),
-        "table_loader": _counts(["customer", "orders", "supplier"]),
+        "table_loader": _counts(BASE_TABLES),
         "period_list": _with(
             SUB,
             "SELECT DISTINCT dataset_year, dataset_quarter, dataset_year || '_' || dataset_quarter AS period_key FROM sub",
@@ -432,12 +451,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "compare_companies": _compare(),
         "absent_filings": _with(
-            f"{NUM},\n{SUB}",
-            f"SELECT {ID} FROM sub WHERE adsh NOT IN (SELECT adsh FROM num WHERE tag IN "
-            f"({_texts(TAGS['net_income'])}) AND value IS NOT NULL)",
+            CUSTOMERS,
+            "SELECT adsh, cik, form, filed, dataset_year, dataset_quarter FROM sub WHERE adsh NOT IN (SELECT adsh FROM num)",
         ),
         "coverage_classify": _with(
-            f"{NUM},\n{SUB},\n{_classes('''(SELECT * FROM num WHERE tag = 'PROMO_F')''')}",
+            f"{CUSTOMERS},\n{_classes('customer', 'c_custkey')}",
             "SELECT dataset_year, dataset_quarter, known, company, in_sub, in_num, usable, classification FROM classified",
         ),
         "distinct_companies": _with(SUB, "SELECT DISTINCT name FROM sub"),
@@ -450,10 +468,9 @@ def oracle_sql() -> dict[str, str]:
             f"{SUB},\n{FILINGS}", "SELECT cik, count(*) AS n FROM filings GROUP BY cik HAVING count(*) >= 26"
         ),
         "audit_cik_counts": _with(
-            f"{NUM},\n{SUB}",
-            "SELECT dataset_year, dataset_quarter, count(DISTINCT cik) AS distinct_cik_count_in_sub, "
-            "count(DISTINCT CASE WHEN adsh IN (SELECT adsh FROM num WHERE tag IN "
-            f"({_texts(TAGS['net_income'])})) THEN cik END) AS distinct_cik_count_in_num FROM sub GROUP BY 1, 2",
+            f"{CUSTOMERS},\n{PRESENCE}",
+            "SELECT dataset_year, dataset_quarter, count(*) AS distinct_cik_count_in_sub, "
+            "count(*) FILTER (WHERE n_facts > 0) AS distinct_cik_count_in_num FROM presence GROUP BY 1, 2",
         ),
         "quarter_audit": _with(
             f"{NUM},\n{SUB},\n{QUARTER_AUDIT}",
@@ -491,9 +508,7 @@ dups AS (SELECT dataset_year, dataset_quarter, sum(CASE WHEN n > 1 THEN n ELSE 0
             "count(*) FILTER (WHERE ddate IS NULL) AS null_ddate_count FROM num GROUP BY 1, 2",
         ),
         "validate_panel": _with(
-            f"{PANEL},\nfirst4 AS (SELECT DISTINCT dataset_year, dataset_quarter FROM sub ORDER BY 1, 2 LIMIT 4),\n"
-            "c AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE revenue < 0) AS neg FROM p "
-            "JOIN first4 USING (dataset_year, dataset_quarter))",
+            f"{PANEL},\nc AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE revenue < 0) AS neg FROM p)",
             "SELECT CASE WHEN neg > 0 THEN 'ISSUES' ELSE 'OK' END AS status, "
             f"CASE WHEN neg > 0 THEN '{NEGATIVE_REVENUE}' ELSE '' END AS errors, n_rows FROM c",
         ),
@@ -512,10 +527,11 @@ UNION ALL SELECT 'rows_sub', dataset_year || '_' || dataset_quarter, 'OK', '', '
 UNION ALL SELECT 'rows_num', dataset_year || '_' || dataset_quarter, 'OK', '', 'n_rows=' || count(*) FROM num GROUP BY dataset_year, dataset_quarter""",
         ),
         "profile_columns": _with(
-            PANEL,
+            PANEL.replace("p AS (", "raw AS (").replace("FROM p ", "FROM raw ")
+            + ",\np AS (" + _plain(wide, ID, "raw") + ")",
             "\nUNION ALL ".join(
-                [_text_profile(c) for c in ("name", "form", "fp")]
-                + [_number_profile(c) for c in ("fy", "revenue", "net_income", "total_assets", "cfo", "fcf_approx")]
+                [_text_profile(c) for c in ("adsh", "name", "form", "fp", "filed", "infinite")]
+                + [_number_profile(c) for c in ("cik", "fy", "period", "dataset_year", "dataset_quarter", *wide)]
             ),
         ),
         "histogram_2d": _with(

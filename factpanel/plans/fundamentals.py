@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from factpanel.functions.ids import Period
 from factpanel.functions.numeric import lenient_columns
-from factpanel.operators.facts import build_fundamentals, filter_forms, scan_typed
-from factpanel.operators.panel import SPLIT_ABOVE, over_companies, panel_columns
+from factpanel.operators.facts import build_fundamentals, facts_of_filings, filter_forms, scan_typed
+from factpanel.operators.panel import BLOCK_ROWS, company_ttm, over_companies, panel_columns, place_in_companies
 from factpanel.operators.screens import sheet_subset
 from factpanel.schema import NUMERIC_COLS
 from factpanel.sources.tables import FactTables
@@ -42,7 +43,7 @@ def fundamentals_panel(
     tags: dict[str, list[str]] | None = None,
     strict: bool = True,
     enrich: bool = True,
-    split_above: int = SPLIT_ABOVE,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Panel of many periods in one plan; ``enrich`` adds the time-series columns."""
     if periods is not None:
@@ -50,8 +51,11 @@ def fundamentals_panel(
             raise ValueError("periods must not be empty")
         tables = tables.only(periods)
     sub, num = _typed(tables, None, strict)
-    panel = build_fundamentals(sub, num, forms, tags, strict)
-    return enrich_panel(panel, filter_forms(sub, forms), split_above) if enrich else panel
+    if not enrich:
+        return build_fundamentals(sub, num, forms, tags, strict)
+    # the filings are placed before the facts are joined: only narrow rows move for it
+    placed = place_in_companies(filter_forms(sub, forms), block_rows=block_rows)
+    return enrich_panel(build_fundamentals(placed, num, forms, tags, strict))
 
 
 def sheet_fundamentals(
@@ -62,12 +66,23 @@ def sheet_fundamentals(
     return sheet_subset(fundamentals_panel(tables, list(zip(years, quarters)), **options), n)
 
 
-def enrich_panel(
-    panel: DataFrame, companies: DataFrame | None = None, split_above: int = SPLIT_ABOVE
+def enrich_panel(panel: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Yearly changes, trailing sums and steps for a panel."""
+    return over_companies(panel, panel_columns(), block_rows=block_rows)
+
+
+def fundamentals_of_companies(
+    sub: DataFrame, num: DataFrame, ciks: list[int], forms: list[str] | None = None,
+    tags: dict[str, list[str]] | None = None, strict: bool = True,
 ) -> DataFrame:
-    """Yearly changes, trailing sums and steps for a panel.
+    """Wide rows of some companies. Only facts of their filings get as far as the pivot."""
+    filings = filter_forms(sub, forms).where(F.col("cik").isin(ciks))
+    return build_fundamentals(filings, facts_of_filings(num, filings), forms, tags, strict)
 
-    ``companies`` may be the filings the panel was made from: looking for very
-    large companies there does not touch the facts.
-    """
-    return over_companies(panel, panel_columns(), companies=companies, split_above=split_above)
+
+def trailing_metric(
+    sub: DataFrame, num: DataFrame, cik: int, metric: str,
+    forms: list[str] | None = None, tags: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """Trailing sum of one metric of one company, from its own facts."""
+    return company_ttm(fundamentals_of_companies(sub, num, [cik], forms, tags), cik, metric, check=False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from factpanel.functions.ids import Period
-from factpanel.operators.merge import SPLIT_ABOVE, merge_metrics
+from factpanel.operators.merge import merge_metrics
 from factpanel.operators.screens import revenue_screen, threshold_screen
 from factpanel.plans.fundamentals import numeric_fundamentals
 from factpanel.plans.state import SCREENED, last_month, record_month
@@ -23,10 +23,9 @@ def simple_screener(
     tags: dict[str, str] | None = None,
     forms: list[str] | None = None,
     strict: bool = True,
-    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Screener table under the given bounds."""
-    rows = merge_metrics(sub, num, forms, tags, collapse, strict, split_above)
+    rows = merge_metrics(sub, num, forms, tags, collapse, strict)
     return threshold_screen(rows, min_revenue, min_net_margin, max_rows)
 
 

@@ -12,6 +12,7 @@ from factpanel import bindings as b
 from factpanel.functions import ids, numeric
 from factpanel.functions.display import format_display, format_numeric_columns
 from factpanel.operators import audit, compare, facts, merge, panel, profile, quality, screens, unions
+from factpanel.plans.fundamentals import fundamentals_of_companies, trailing_metric
 from factpanel.plans.screening import simple_screener
 from factpanel.schema import DELTA_COLS, PERIOD_COLS, RATIOS, SCREENER_TAGS, TTM_COLS, YOY_COLS
 from factpanel.sources.tables import FactTables
@@ -35,12 +36,12 @@ LINE_CATEGORIES = [
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Infinite values as null, with their number per row, so that rows of any
-    engine can be compared by value."""
+    """Infinite values as null, with their columns and signs beside them, so that rows of
+    any engine can be compared by value."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    hits = [f"CAST(coalesce(abs({c}) = {numeric.INF_SQL}, false) AS INT)" for c in doubles]
+    signs = [f"CASE WHEN {c} = {numeric.INF_SQL} THEN '{c}+' WHEN {c} = -{numeric.INF_SQL} THEN '{c}-' END" for c in doubles]
     made = {c: numeric.finite(c) for c in doubles}
-    return df.withColumns({**made, "n_infinite": F.expr(" + ".join(hits))})
+    return df.withColumns({**made, "infinite": F.expr(f"concat_ws(',', {', '.join(signs)})")})
 
 
 def _panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,9 +49,8 @@ def _panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _series(spark: SparkSession, sf: str, build: panel.Build) -> DataFrame:
-    sub = b.sub(spark, sf)
-    rows = facts.build_fundamentals(sub, b.num(spark, sf), tags=b.TAGS)
-    return panel.over_companies(rows, build, companies=facts.filter_forms(sub))
+    filings = panel.place_in_companies(facts.filter_forms(b.sub(spark, sf)))
+    return panel.over_companies(facts.build_fundamentals(filings, b.num(spark, sf), tags=b.TAGS), build)
 
 
 def fundamentals(spark, sf):
@@ -65,7 +65,7 @@ def scan_typed(spark, sf):
 
 def table_loader(spark, sf):
     tables = FactTables(spark, sf)
-    named = {t: tables.table(f"{t}.parquet") for t in ("customer", "orders", "supplier")}
+    named = {t: tables.table(f"{t}.parquet") for t in BASE_TABLES}
     return quality.row_count_snapshot(named, by=[])
 
 
@@ -168,18 +168,17 @@ def panel_full(spark, sf):
 
 def company_ttm(spark, sf):
     first = b.read(spark, sf, "supplier").agg(F.min("s_suppkey")).first()[0]
-    sub = b.sub(spark, sf)
-    rows = facts.build_fundamentals(sub, b.num(spark, sf), tags=b.TAGS)
-    return panel.company_ttm(rows, first, "revenue", companies=facts.filter_forms(sub))
+    return trailing_metric(b.sub(spark, sf), b.num(spark, sf), first, "revenue", tags=b.TAGS)
 
 
 def simple_screener_query(spark, sf):
-    sub, num = b.sub(spark, sf), b.num(spark, sf)
+    sub, num = b.sub(spark, sf), b.num(spark, sf, by_brand=True)
     return plain(simple_screener(sub, num, min_revenue=b.FLOOR, tags=b.MERGE_TAGS))
 
 
 def screener_merge(spark, sf):
-    return plain(merge.merge_metrics(b.sub(spark, sf), b.num(spark, sf), tags=b.MERGE_TAGS))
+    num = b.num(spark, sf, by_brand=True)
+    return plain(merge.merge_metrics(b.sub(spark, sf), num, tags=b.MERGE_TAGS))
 
 
 def screener_collapse(spark, sf):
@@ -231,20 +230,19 @@ def excel_subset(spark, sf):
 
 def compare_companies(spark, sf):
     ends = b.read(spark, sf, "supplier").agg(F.min("s_suppkey"), F.max("s_suppkey")).first()
-    rows = compare.compare_companies(_panel(spark, sf), *ends, check=False)
+    rows = fundamentals_of_companies(b.sub(spark, sf), b.num(spark, sf), list(ends), tags=b.TAGS)
+    rows = compare.compare_companies(rows, *ends, check=False)
     return plain(rows.toDF("metric", "first_company", "second_company"))
 
 
 def absent_filings(spark, sf):
-    reported = b.num(spark, sf).where(
-        F.col("tag").isin(b.TAGS["net_income"]) & F.col("value").isNotNull()
-    )
-    return audit.filings_without_facts(b.sub(spark, sf), reported).select(*ID_COLS)
+    rows = audit.filings_without_facts(b.customer_sub(spark, sf), b.customer_num(spark, sf))
+    return rows.select("adsh", "cik", "form", "filed", *PERIOD_COLS)
 
 
-def _known(spark, sf) -> dict[str, str]:
-    """Some suppliers, and a company that does not exist."""
-    ends = b.read(spark, sf, "supplier").agg(F.min("s_suppkey"), F.max("s_suppkey")).first()
+def _known(spark, sf, table="supplier", key="s_suppkey") -> dict[str, str]:
+    """Two companies of the table, and one that does not exist."""
+    ends = b.read(spark, sf, table).agg(F.min(key), F.max(key)).first()
     return {
         "First": str(ends[0]).zfill(10),
         "Last": str(ends[1]).zfill(10),
@@ -253,9 +251,9 @@ def _known(spark, sf) -> dict[str, str]:
 
 
 def coverage_classify(spark, sf):
-    """Facts without a value count as not usable; one tag only, so that all classes occur."""
-    num = b.num(spark, sf).where(F.col("tag").isin("PROMO_F"))
-    return audit.classify_coverage(b.sub(spark, sf), num, _known(spark, sf))
+    """Facts without a value count as not usable."""
+    known = _known(spark, sf, "customer", "c_custkey")
+    return audit.classify_coverage(b.customer_sub(spark, sf), b.customer_num(spark, sf), known)
 
 
 def distinct_companies(spark, sf):
@@ -273,8 +271,8 @@ def companies_min_filings(spark, sf):
 
 
 def audit_cik_counts(spark, sf):
-    reported = b.num(spark, sf).where(F.col("tag").isin(b.TAGS["net_income"]))
-    return audit.company_counts(audit.company_presence(b.sub(spark, sf), reported))
+    presence = audit.company_presence(b.customer_sub(spark, sf), b.customer_num(spark, sf))
+    return audit.company_counts(presence)
 
 
 def quarter_audit(spark, sf):
@@ -319,13 +317,7 @@ def num_integrity(spark, sf):
 
 
 def validate_panel(spark, sf):
-    """Over the earliest four periods, as the monitoring does."""
-    sub = b.sub(spark, sf)
-    periods = quality.first_periods(sub, 4)
-    rows = facts.build_fundamentals(
-        quality.in_periods(sub, periods), quality.in_periods(b.num(spark, sf), periods), tags=b.TAGS
-    )
-    checked = quality.validate_panel(panel.over_companies(rows, panel.ttm_columns(), companies=sub))
+    checked = quality.validate_panel(_series(spark, sf, panel.ttm_columns()))
     return checked.select("status", F.concat_ws(" ", "errors").alias("errors"), "n_rows")
 
 
@@ -369,8 +361,7 @@ def check_report(spark, sf):
 
 
 def profile_columns(spark, sf):
-    cols = ["name", "form", "fp", "fy", "revenue", "net_income", "total_assets", "cfo", "fcf_approx"]
-    rows = profile.profile_columns(_panel(spark, sf).select(*cols))
+    rows = profile.profile_columns(plain(_panel(spark, sf)))
     shown = {c: F.round(c, 4) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")}
     counts = {c: F.col(c).cast("double") for c in ("count", "unique", "freq")}
     return rows.withColumns({**shown, **counts})

@@ -130,9 +130,9 @@ def merged(rows, cols):
     return sorted(tuple(r[c] for c in cols) for r in rows.collect())
 
 
-@pytest.mark.parametrize("split_above", [100, 1])
-def test_fan_out(spark, split_above):
-    """Facts multiply within a filing; large filings take the join path."""
+@pytest.mark.parametrize("slice_rows", [100_000, 2, 1])
+def test_fan_out(spark, slice_rows):
+    """Facts multiply within a filing, however its longest list is cut."""
     sub = spark.createDataFrame([header("a"), header("b"), header("c"), header("d", form="8-K")], SUB)
     num = spark.createDataFrame(
         [
@@ -143,7 +143,7 @@ def test_fan_out(spark, split_above):
         NUM,
     )
     tags = {"revenue": "R", "net_income": "N"}
-    out = merge.merge_metrics(sub, num, tags=tags, split_above=split_above)
+    out = merge.merge_metrics(sub, num, tags=tags, slice_rows=slice_rows)
     got = [(r["adsh"], r["revenue"], r["net_income"], r["net_margin"]) for r in out.collect()]
     want = [("a", r, n, None if r is None else n / r) for r in (10.0, 20.0, None) for n in (1.0, 2.0)]
     want += [("b", None, 5.0, None), ("c", None, None, None)]
@@ -151,29 +151,20 @@ def test_fan_out(spark, split_above):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
-def test_hot_filing_fans_out_over_tasks(spark, conf):
-    """One filing with nearly all facts: the joins that multiply it are split."""
-    conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
-        spark__sql__adaptive__coalescePartitions__enabled="false",
-    )
+def test_hot_filing_fans_out_over_tasks(spark):
+    """One filing with 3 x 100 facts: its million rows come out of several tasks."""
     period = (F.lit(2024).alias("dataset_year"), F.lit(1).alias("dataset_quarter"))
     sub = spark.range(0, 40).select(
         F.col("id").cast("string").alias("adsh"), F.col("id").alias("cik"), F.lit("10-K").alias("form"), *period
     )
-    hot = spark.range(0, 20_000, 1, 8).select(
-        F.lit("7").alias("adsh"), F.lit("R").alias("tag"), F.rand(3).alias("value"), *period
-    )
-    few = sub.select("adsh", F.lit("N").alias("tag"), F.lit(2.0).alias("value"), *period)
-    num = hot.unionByName(few).unionByName(few)
-    out = merge.merge_metrics(sub, num, tags={"revenue": "R", "net_income": "N"}, split_above=1000)
-    assert "SortMergeJoin(skew=true)" in final_plan(out)
-    assert out.count() == 20_000 * 2 + 39 * 2
-    assert out.where("adsh = '7'").agg(F.count_distinct("revenue")).first()[0] == 20_000
+    tags = {"revenue": "R", "net_income": "N", "gross_profit": "G"}
+    hot = [spark.range(100).select(F.lit("7").alias("adsh"), F.lit(t).alias("tag"), F.col("id").cast("double").alias("value"), *period) for t in tags.values()]
+    num = hot[0].unionByName(hot[1]).unionByName(hot[2])
+    out = merge.merge_metrics(sub, num, tags=tags)
+    by_task = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in by_task) == 1_000_000 + 39
+    assert sum(r["count"] >= 100_000 for r in by_task) >= 2
+    assert out.where("adsh = '7'").select("revenue", "net_income", "gross_profit").distinct().count() == 1_000_000
 
 
 def test_collapse_and_thresholds(spark):

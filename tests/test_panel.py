@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from factpanel.operators import compare, panel, positions, profile
+from factpanel.operators import compare, panel, profile
 from factpanel.plans.fundamentals import enrich_panel
 from factpanel.schema import DELTA_COLS, TTM_COLS, YOY_COLS
 
@@ -61,11 +61,11 @@ def expected(df):
     return df.set_index("adsh").sort_index(), derived
 
 
-@pytest.mark.parametrize("split_above", [1_000_000, 40, 3])
-def test_panel_columns(spark, frame, split_above):
-    """Same values whether a large company is one group or cut into blocks."""
+@pytest.mark.parametrize("block_rows", [1_000_000, 40, 3])
+def test_panel_columns(spark, frame, block_rows):
+    """Same values whether a company is one block or many."""
     want, derived = expected(frame)
-    rows = enrich_panel(to_spark(spark, frame), split_above=split_above).toPandas()
+    rows = enrich_panel(to_spark(spark, frame), block_rows=block_rows).toPandas()
     got = rows.set_index("adsh").sort_index()
     assert list(got.index) == list(want.index)
     assert len(derived) == 23 + 5 + 1 + 4 + 16
@@ -82,18 +82,45 @@ def test_copies_of_one_filing(spark):
         F.lit("same").alias("adsh"), F.lit(1).cast("bigint").alias("cik"), F.lit(5).alias("period"),
         F.lit(2.0).alias("revenue"),
     )
-    out = panel.over_companies(df, panel.ttm_columns(["revenue"]), split_above=9)
+    out = panel.over_companies(df, panel.ttm_columns(["revenue"]), block_rows=9)
     assert out.count() == 50
     counts = {r["ttm_revenue"]: r["count"] for r in out.groupBy("ttm_revenue").count().collect()}
     assert counts == {2.0: 1, 4.0: 1, 6.0: 1, 8.0: 47}
 
 
 def test_one_shuffle_serves_all_columns(spark, frame):
-    df = to_spark(spark, frame)
-    out = panel._alone_without_company(df, panel.panel_columns(), panel.panel_order(df))
+    placed = panel.place_in_companies(to_spark(spark, frame))
+    out = panel.over_companies(placed, panel.panel_columns())
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(cik") == 1
-    assert plan.count("Sort [cik") == 1
+    assert sum("_block#" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line) == 1
+
+
+def test_no_job_before_the_action(spark, frame):
+    df = to_spark(spark, frame)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "a plan")
+    enrich_panel(df)
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_equal_rows_without_a_company_are_alone(spark):
+    rows = [("a", None, 5, 10.0), ("a", None, 5, 10.0), ("b", 1, 5, 10.0)]
+    df = spark.createDataFrame(rows, "adsh string, cik bigint, period int, revenue double")
+    build = lambda d, w: panel.delta_columns(["revenue"])(panel.ttm_columns(["revenue"])(d, w), w)
+    out = panel.over_companies(df, build).where("cik IS NULL").collect()
+    assert [(r["ttm_revenue"], r["revenue_delta"]) for r in out] == [(None, None)] * 2
+
+
+def test_a_hot_company_is_spread(spark):
+    df = spark.range(0, 30_000, 1, 4).select(
+        F.col("id").cast("string").alias("adsh"), F.lit(1).cast("bigint").alias("cik"),
+        (F.col("id") % 300).alias("period"), F.lit(1.0).alias("revenue"),
+    )
+    placed = panel.place_in_companies(df, block_rows=1000)
+    assert placed.groupBy("_block").count().agg(F.max("count")).first()[0] <= 1000 + panel.LOOK_BACK
+    out = panel.over_companies(placed, panel.ttm_columns(["revenue"]))
+    assert out.count() == 30_000 and out.where("ttm_revenue = 4").count() == 29_997
 
 
 def test_sort_panel(spark, frame):
@@ -102,12 +129,6 @@ def test_sort_panel(spark, frame):
     assert got == list(frame.sort_values(order)["adsh"])
 
 
-def test_large_companies(spark, frame):
-    df = to_spark(spark, frame)
-    assert panel.large_companies(df, 40) == [7]
-    assert panel.large_companies(df, 1000) == []
-
-
 def test_infinite_values_are_missing_in_sums(spark):
     rows = [("a", 1, 1, float("inf")), ("b", 1, 2, 3.0), ("c", 1, 3, float("-inf"))]
     df = spark.createDataFrame(rows, "adsh string, cik int, period int, revenue double")
@@ -123,12 +144,12 @@ def test_order_without_period(spark):
     assert [r["revenue_delta"] for r in out] == [-3.0, -1.0, None]
 
 
-@pytest.mark.parametrize("split_above", [100, 3])
-def test_company_ttm(spark, split_above):
+@pytest.mark.parametrize("block_rows", [100, 3])
+def test_company_ttm(spark, block_rows):
     rows = [(f"a{q}", 1, 2020 + q // 4, q % 4 + 1, float(q)) for q in range(20)]
     cols = "adsh string, cik int, dataset_year int, dataset_quarter int, revenue double"
     df = spark.createDataFrame(rows, cols)
-    out = panel.company_ttm(df, 1, "revenue", split_above=split_above).collect()
+    out = panel.company_ttm(df, 1, "revenue", block_rows=block_rows).collect()
     assert [r["period"] for r in out][:2] == ["2020 Q1", "2020 Q2"]
     assert [r["ttm_revenue"] for r in out] == [float(sum(range(max(0, q - 3), q + 1))) for q in range(20)]
     with pytest.raises(ValueError):
@@ -191,14 +212,6 @@ def test_bridge(spark):
     assert got["inf"] == [("Revenue", 0.0), ("Gross Profit", None), ("Net Income", None)]
 
 
-def test_positions(spark):
-    rows = [(k, v, w) for k in ("x", "y") for v, w in zip(range(200), [1, 2, 3, 4] * 50)]
-    df = spark.createDataFrame(rows, "k string, v int, w int").repartition(7)
-    out = positions.with_positions(df, ["k"], [F.col("v").asc()], F.col("w")).toPandas()
-    for _, part in out.sort_values("v").groupby("k"):
-        assert list(part["_before"]) == list(part["w"].cumsum() - part["w"])
-
-
 def test_profile(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"a": rng.integers(0, 9, 301) / 4, "b": rng.normal(size=301), "t": rng.choice(list("xyz"), 301)})
