@@ -22,7 +22,7 @@ HEADLINE = [
     "fundamentals", "tag_pivot", "facts_semi_join", "panel_full", "panel_ttm_yoy",
     "simple_screener", "screener_merge", "value_screen_latest", "rank_metric",
     "latest_by_rank", "coverage_classify", "quarter_audit", "sub_integrity",
-    "month_rollup", "profile_columns", "histogram_2d", "line_findings", "pl_bridge",
+    "company_ttm", "compare_companies", "validate_panel", "month_rollup", "profile_columns", "histogram_2d", "line_findings", "pl_bridge",
 ]
 
 

@@ -42,7 +42,8 @@ def company_presence(
     """
     if sub is None or "cik" not in sub.columns:
         return None
-    filings = sub.withColumn("company", normalize_id("cik"))
+    filings = sub if "adsh" in sub.columns else sub.withColumn("adsh", F.lit(None).cast("string"))
+    filings = filings.withColumn("company", normalize_id("cik"))
     if companies is not None:
         filings = filings.where(F.col("company").isin(list(companies)))
     filings = filings.groupBy(*PERIOD_COLS, "adsh", "company").agg(_count_rows("n_filings"))
@@ -198,12 +199,17 @@ def audit_quarters(
         has = {f"{t}_exists": F.col(f"{t}_exists") for t in ("sub", "num")}
     rows = rows.withColumns(has)
 
-    def if_there(c: str, *tables: str) -> Column:
-        there = F.lit(True)
+    def if_there(c: str, *tables: str, needs: bool = True) -> Column:
+        """A count is 0 if its tables exist without such rows, and missing if they or the
+        columns that it needs do not exist."""
+        there = F.lit(needs)
         for t in tables:
             there = there & F.col(f"{t}_exists")
         return F.when(there, F.coalesce(F.col(c), F.lit(0))).alias(c)
 
+    has_company = sub is not None and "cik" in sub.columns
+    has_filing = has_company and num is not None and "adsh" in sub.columns and "adsh" in num.columns
+
     def known_json(field: str, out: str) -> Column:
         pairs = F.transform("known", lambda k: F.struct(k["known"], k[field]))
         return F.to_json(F.map_from_entries(pairs)).alias(out)
@@ -215,8 +221,8 @@ def audit_quarters(
         "num_exists",
         if_there("sub_row_count", "sub"),
         if_there("num_row_count", "num"),
-        if_there("distinct_cik_count_in_sub", "sub"),
-        if_there("distinct_cik_count_in_num", "sub", "num"),
+        if_there("distinct_cik_count_in_sub", "sub", needs=has_company),
+        if_there("distinct_cik_count_in_num", "sub", "num", needs=has_filing),
         F.coalesce("form_counts_json", F.lit("{}")).alias("form_counts_json"),
         known_json("in_sub", "known_presence_in_sub_json"),
         known_json("in_num", "known_presence_in_num_json"),
@@ -262,7 +268,9 @@ def classify_lines(
         if groups is not None:
             hit = hit & F.col(group).isin(list(groups))
         hits.append(F.when(hit, F.lit(label)))
-    found = lines.withColumn("category", F.coalesce(*hits)).where(F.col("category").isNotNull())
     snippet = F.regexp_replace("raw", f"^{BLANK}+|{BLANK}+$", "")
+    found = lines.withColumn("category", F.coalesce(*hits)).where(F.col("category").isNotNull())
+    # blank lines are never findings; trimming is left to the few lines that match
+    found = found.where(snippet != "")
     number = (F.col("at") + 1).cast("int").alias("line")
     return found.select(*keys, number, "category", snippet.alias("snippet"))

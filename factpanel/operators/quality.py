@@ -96,8 +96,28 @@ def period_completeness(
     )
 
 
-def sub_integrity(sub: DataFrame) -> DataFrame:
-    """Filing headers: null id and null name are issues, repeated ids a warning."""
+def not_found(periods: DataFrame) -> DataFrame:
+    """Lines of an integrity check for periods that lack its table."""
+    none, null = F.array().cast("array<string>"), F.lit(None).cast("bigint")
+    return periods.select(
+        *PERIOD_COLS,
+        F.lit("NOT_FOUND").alias("status"),
+        none.alias("issues"),
+        none.alias("warnings"),
+        null.alias("null_value_count"),
+        null.alias("null_ddate_count"),
+    )
+
+
+def _with_missing(rows: DataFrame, periods: DataFrame | None) -> DataFrame:
+    if periods is None:
+        return rows
+    return rows.unionByName(not_found(periods.join(rows, PERIOD_COLS, "left_anti")).select(*rows.columns))
+
+
+def sub_integrity(sub: DataFrame, periods: DataFrame | None = None) -> DataFrame:
+    """Filing headers: null id and null name are issues, repeated ids a warning. ``periods``
+    that the table lacks get a line too."""
     no_name = F.count_if(F.col("name").isNull()) if "name" in sub.columns else F.lit(0)
     company = F.col("cik") if "cik" in sub.columns else F.lit(None)
     has_id = "cik" in sub.columns
@@ -116,29 +136,32 @@ def sub_integrity(sub: DataFrame) -> DataFrame:
         F.when(F.col("null_name") > 0, F.lit("null_name")),
     )
     warning = F.format_string("duplicate_cik (%d)", F.col("repeated"))
-    return counts.select(
+    found = counts.select(
         *PERIOD_COLS,
         _status(issues).alias("status"),
         issues.alias("issues"),
         _texts(F.when(F.col("repeated") > 0, warning)).alias("warnings"),
     )
+    return _with_missing(found, periods)
 
 
-def num_integrity(num: DataFrame) -> DataFrame:
-    """Facts: a missing value column is an issue; null counts are reported."""
+def num_integrity(num: DataFrame, periods: DataFrame | None = None) -> DataFrame:
+    """Facts: a missing value column is an issue; null counts are reported. ``periods`` that
+    the table lacks get a line too."""
     has_value = "value" in num.columns
     counts = {f"null_{c}_count": c for c in ("value", "ddate") if c in num.columns}
     measures = [F.count_if(F.col(c).isNull()).alias(name) for name, c in counts.items()]
     rows = num.groupBy(*PERIOD_COLS).agg(F.count(F.lit(1)).alias("n_rows"), *measures)
     issues = _texts(F.lit(None if has_value else "missing_value_column").cast("string"))
     null = F.lit(None).cast("bigint")
-    return rows.select(
+    found = rows.select(
         *PERIOD_COLS,
         _status(issues).alias("status"),
         issues.alias("issues"),
         (F.col("null_value_count") if has_value else null).alias("null_value_count"),
         (F.col("null_ddate_count") if "ddate" in num.columns else null).alias("null_ddate_count"),
     )
+    return _with_missing(found, periods)
 
 
 def validate_panel(df: DataFrame) -> DataFrame:

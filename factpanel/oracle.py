@@ -272,7 +272,8 @@ def _lines() -> str:
 lines AS (SELECT doc_id, lang, unnest(ls) AS raw, generate_subscripts(ls, 1) AS line FROM parts),
 found AS (SELECT *, CASE {' '.join(cases)} END AS category FROM lines)
 SELECT doc_id, CAST(line AS INTEGER) AS line, category,
-  regexp_replace(raw, '^{BLANK}+|{BLANK}+$', '', 'g') AS snippet FROM found WHERE category IS NOT NULL"""
+  regexp_replace(raw, '^{BLANK}+|{BLANK}+$', '', 'g') AS snippet FROM found
+WHERE category IS NOT NULL AND regexp_replace(raw, '^{BLANK}+|{BLANK}+$', '', 'g') <> ''"""
 
 
 def _display(x: str) -> str:
@@ -348,6 +349,10 @@ def _counts(tables: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in tables)
 
 
+NOT_SHIPPED = """(SELECT DISTINCT CAST(year(ts) AS INTEGER) AS y, CAST(quarter(ts) AS INTEGER) AS q FROM events
+  WHERE (year(ts), quarter(ts)) NOT IN (SELECT (year(l_shipdate), quarter(l_shipdate)) FROM lineitem))"""
+
+
 def oracle_sql() -> dict[str, str]:
     wide = [*METRICS, *RATIO_COLS]
     sheet_text = ["name", "cik", "fy", "fp"]
@@ -499,13 +504,15 @@ dups AS (SELECT dataset_year, dataset_quarter, sum(CASE WHEN n > 1 THEN n ELSE 0
             "SELECT dataset_year, dataset_quarter, CASE WHEN a > 0 OR b > 0 THEN 'ISSUES' ELSE 'OK' END AS status, "
             "concat_ws(',', CASE WHEN a > 0 THEN 'null_cik' END, CASE WHEN b > 0 THEN 'null_name' END) AS issues, "
             "CASE WHEN d > 0 THEN 'duplicate_cik (' || CAST(d AS BIGINT) || ')' ELSE '' END AS warnings "
-            "FROM counts JOIN dups USING (dataset_year, dataset_quarter)",
+            "FROM counts JOIN dups USING (dataset_year, dataset_quarter) "
+            f"UNION ALL SELECT y, q, 'NOT_FOUND', '', '' FROM {NOT_SHIPPED}",
         ),
         "num_integrity": _with(
             NUM,
             "SELECT dataset_year, dataset_quarter, 'OK' AS status, '' AS issues, "
             "count(*) FILTER (WHERE value IS NULL) AS null_value_count, "
-            "count(*) FILTER (WHERE ddate IS NULL) AS null_ddate_count FROM num GROUP BY 1, 2",
+            "count(*) FILTER (WHERE ddate IS NULL) AS null_ddate_count FROM num GROUP BY 1, 2 "
+            f"UNION ALL SELECT y, q, 'NOT_FOUND', '', NULL, NULL FROM {NOT_SHIPPED}",
         ),
         "validate_panel": _with(
             f"{PANEL},\nc AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE revenue < 0) AS neg FROM p)",
@@ -559,12 +566,28 @@ UNION ALL SELECT 'rows_num', dataset_year || '_' || dataset_quarter, 'OK', '', '
   CAST(month(o_orderdate + INTERVAL 1 MONTH) AS INTEGER) AS next_month,
   CAST(year(o_orderdate - INTERVAL 1 MONTH) AS INTEGER) AS back_year,
   CAST(month(o_orderdate - INTERVAL 1 MONTH) AS INTEGER) AS back_month FROM orders""",
-        "incremental_month": """WITH days AS (SELECT CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day,
-  count(*) AS n_rows, count(DISTINCT event_type) = (SELECT count(DISTINCT event_type) FROM events) AS complete
-  FROM events GROUP BY 1),
-fresh AS (SELECT * FROM days WHERE day > 15)
-SELECT day, n_rows, complete, (SELECT coalesce(max(day), 15) FROM fresh WHERE complete AND day <
-  coalesce((SELECT min(day) FROM fresh WHERE NOT complete), 2147483647)) AS state_after FROM fresh""",
+        "incremental_month": """WITH seen AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m,
+  o_orderpriority[1] AS t FROM orders),
+line AS (SELECT (SELECT min(m) FROM seen) AS last,
+  (SELECT count(DISTINCT t) FROM seen WHERE t IN ('1', '2', '3', '4') AND m = (SELECT min(m) + 1 FROM seen)) = 4 AS complete)
+SELECT CAST((last + 1) // 12 AS INTEGER) AS year, CAST((last + 1) % 12 + 1 AS INTEGER) AS month, complete,
+  CAST((last + complete::INT) // 12 AS INTEGER) AS state_year, CAST((last + complete::INT) % 12 + 1 AS INTEGER) AS state_month
+FROM line""",
+        "fundamentals_lenient": _with(
+            f"{PANEL},\nq AS (SELECT *, CASE WHEN fy % 2 = 0 THEN CAST(period || '.5' AS DOUBLE) END AS pubfloatusd FROM p)",
+            _plain(["pubfloatusd", *wide], "adsh, cik, CAST(fy AS VARCHAR) AS fy", "q"),
+        ),
+        "panel_sorted": _with(
+            PANEL, f"SELECT adsh, cik, dataset_year, dataset_quarter, {', '.join(METRICS)} FROM p ORDER BY cik, period, adsh"
+        ),
+        "company_by_name": _with(
+            PANEL, f"SELECT {ID}, {', '.join(METRICS)} FROM p WHERE name = (SELECT max(s_name) FROM supplier)"
+        ),
+        "sheet_of_periods": _with(
+            f"{PANEL},\nends AS (SELECT min(fy) AS y FROM sub),\npaired AS (SELECT p.* FROM p, ends "
+            "WHERE (fy = y AND dataset_quarter = 3) OR (fy = y + 1 AND dataset_quarter = 1))",
+            _plain(sheet_numbers, ", ".join(sheet_text), "paired"),
+        ),
         "format_display": f"""SELECT c_custkey, {_display('(c_acctbal / 16384)')} AS ratio, {_display('c_acctbal')} AS plain,
   {_display('(c_acctbal * 4097)')} AS millions, {_display('(c_acctbal * 2097169)')} AS billions FROM customer""",
         "format_columns": f"""SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment, {_short('c_acctbal')} AS plain,

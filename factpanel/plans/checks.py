@@ -12,6 +12,7 @@ from factpanel.operators.audit import audit_quarters
 from factpanel.operators.quality import (
     check_report,
     first_periods,
+    not_found,
     num_integrity,
     period_completeness,
     row_count_snapshot,
@@ -19,12 +20,15 @@ from factpanel.operators.quality import (
     validate_panel,
 )
 from factpanel.plans.fundamentals import fundamentals_panel
-from factpanel.schema import REQUIRED_TABLES
+from factpanel.schema import PERIOD_COLS, REQUIRED_TABLES
 from factpanel.sources.files import list_files, unreadable_files
 from factpanel.sources.sinks import write_csv
-from factpanel.sources.tables import FactTables
+from factpanel.sources.tables import FOLDERS, FactTables
 
-PANEL_PERIODS = 4
+
+def _said(error: Exception) -> str:
+    """Class and first line of an error."""
+    return f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"
 
 
 def _panel_line(tables: FactTables, status: str, errors: list[str]) -> DataFrame:
@@ -32,10 +36,10 @@ def _panel_line(tables: FactTables, status: str, errors: list[str]) -> DataFrame
     return tables.spark.createDataFrame(row, "status string, errors array<string>, n_rows bigint")
 
 
-def panel_check(tables: FactTables, max_periods: int = PANEL_PERIODS) -> DataFrame:
-    """Structure of the panel over the earliest periods."""
-    periods = first_periods(tables.inventory(), max_periods)
-    if not periods:
+def panel_check(tables: FactTables, max_periods: int | None = None) -> DataFrame:
+    """Structure of the panel, or of its earliest ``max_periods`` periods where that is given."""
+    periods = None if max_periods is None else first_periods(tables.inventory(), max_periods)
+    if tables.inventory().isEmpty():
         return _panel_line(tables, "NO_DATA", [])
     try:
         checked = validate_panel(fundamentals_panel(tables, periods))
@@ -43,7 +47,7 @@ def panel_check(tables: FactTables, max_periods: int = PANEL_PERIODS) -> DataFra
         row = checked.first()
         return tables.spark.createDataFrame([row], checked.schema)
     except Exception as error:  # any failure is the finding
-        return _panel_line(tables, "ERROR", [str(error).splitlines()[0]])
+        return _panel_line(tables, "ERROR", [_said(error)])
 
 
 def _settled(tables: FactTables, name: str, make: Callable[[], DataFrame | None]) -> DataFrame:
@@ -57,7 +61,7 @@ def _settled(tables: FactTables, name: str, make: Callable[[], DataFrame | None]
         lines = make()
         rows = [] if lines is None else lines.collect()
     except Exception as error:  # any failure is the finding
-        rows = [(name, None, "ERROR", [str(error).splitlines()[0]], {})]
+        rows = [(name, None, "ERROR", [_said(error)], {})]
     return tables.spark.createDataFrame(rows, schema)
 
 
@@ -71,10 +75,18 @@ def run_checks(tables: FactTables) -> DataFrame:
 
         return make
 
+    def integrity(table: str, argument: str, check):
+        def make() -> DataFrame | None:
+            periods = tables.inventory().select(*PERIOD_COLS).distinct()
+            df = tables.find(table)
+            return check_report(**{argument: not_found(periods) if df is None else check(df, periods)})
+
+        return make
+
     parts = {
         "periods": lambda: check_report(completeness=period_completeness(tables.inventory())),
-        "sub": of_table("sub", "sub_checks", sub_integrity),
-        "num": of_table("num", "num_checks", num_integrity),
+        "sub": integrity("sub", "sub_checks", sub_integrity),
+        "num": integrity("num", "num_checks", num_integrity),
         "fundamentals": lambda: check_report(panel_check=panel_check(tables)),
     }
     for t in REQUIRED_TABLES:
@@ -87,10 +99,20 @@ def run_checks(tables: FactTables) -> DataFrame:
 def run_audit(
     tables: FactTables, known: dict[str, str] | None = None, output_csv: str | None = None
 ) -> DataFrame:
-    """Audit of every period of the root. Only the last part of the root is named."""
+    """Audit of every period of the root. Paths start at the last part of the root, so that
+    they tell nothing of the machine."""
     rows = audit_quarters(tables.find("sub"), tables.find("num"), known, tables.inventory())
-    rows = rows.withColumn("data_root", F.lit(tables.root.rsplit("/", 1)[-1]))
-    rows = rows.select("quarter", "data_root", *[c for c in rows.columns if c not in ("quarter", "data_root")])
+    name = tables.root.rsplit("/", 1)[-1]
+    year, quarter = (F.col(c).cast("string") for c in PERIOD_COLS)
+    if tables.layout == FOLDERS:
+        period = F.concat(F.lit(f"{name}/"), year, F.lit("_"), quarter)
+        parquet = F.concat(period, F.lit("/parquet"))
+    else:  # the tables are folders above the periods
+        period = F.concat(F.lit("dataset_year="), year, F.lit("/dataset_quarter="), quarter)
+        parquet = F.concat(F.lit(f"{name}/*/"), period)
+    rows = rows.withColumns({"data_root": F.lit(name), "period_dir": period, "parquet_dir": parquet})
+    first = ["quarter", "data_root", "period_dir", "parquet_dir"]
+    rows = rows.select(*first, *[c for c in rows.columns if c not in first])
     if output_csv:
         write_csv(rows.orderBy("quarter"), output_csv)
     return rows

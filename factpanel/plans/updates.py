@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factpanel.operators.unions import months_to_quarters
@@ -21,11 +21,12 @@ def quarter_of(month: Month) -> Quarter:
     return month[0], (month[1] + 2) // 3
 
 
-def _months_of(rows: DataFrame, quarter: Quarter) -> DataFrame:
-    """Rows of all landed months of a quarter, as a predicate that prunes partitions."""
-    year, number = quarter
-    last = 3 * number
-    return rows.where((F.col("year") == year) & F.col("month").between(last - 2, last))
+def _months_of(rows: DataFrame, quarters: list[Quarter]) -> DataFrame:
+    """Rows of all landed months of the quarters, as one predicate that prunes partitions."""
+    hit = F.lit(False)
+    for year, number in quarters:
+        hit = hit | ((F.col("year") == year) & F.col("month").between(3 * number - 2, 3 * number))
+    return rows.where(hit)
 
 
 def read_months(spark: SparkSession, root: str, table: str) -> DataFrame | None:
@@ -51,10 +52,7 @@ def roll_up_months(
         rows = None if table == "txt" else read_months(spark, root, table)
         if rows is None:
             continue
-        hit = _months_of(rows, quarters[0])
-        for q in quarters[1:]:
-            hit = hit.unionByName(_months_of(rows, q))
-        write_partitioned(months_to_quarters(hit), f"{root}/{table}", PERIOD_COLS)
+        write_partitioned(months_to_quarters(_months_of(rows, quarters)), f"{root}/{table}", PERIOD_COLS)
     return quarters
 
 
@@ -83,6 +81,42 @@ def quarter_complete(spark: SparkSession, root: str, quarter: Quarter) -> bool:
     return _complete(spark, {t: f"{root}/{t}/{part}" for t in REQUIRED_TABLES})
 
 
+def advanced(observed: DataFrame, state: DataFrame) -> DataFrame:
+    """(year, month, complete, state_year, state_month): the month that an update tries, and the
+    state after it.
+
+    observed: (year, month, table) of what was delivered; state: one row (year, month), or
+    none before the first update, which then starts with the earliest month delivered. The
+    state moves to the tried month if that has all required tables, else it stays.
+    """
+    months = observed.select((F.col("year") * 12 + F.col("month") - 1).alias("at"), "table")
+    last = state.agg(F.max(F.col("year") * 12 + F.col("month") - 1)).scalar()
+    first = observed.agg(F.min(F.col("year") * 12 + F.col("month") - 1)).scalar()
+    there = F.count_distinct(F.when(F.col("table").isin(REQUIRED_TABLES), F.col("table")))
+    tried = months.where(F.col("at") == F.coalesce(last + 1, first))
+    # an aggregate without keys: a line also if nothing was delivered for the month
+    line = tried.agg((there == len(REQUIRED_TABLES)).alias("complete"))
+    line = line.withColumns({"at": F.coalesce(last + 1, first), "last": last})
+    after = F.when(F.col("complete"), F.col("at")).otherwise(F.col("last"))
+
+    def month(at: Column) -> tuple[Column, Column]:
+        return F.floor(at / 12).cast("int"), (F.pmod(at, F.lit(12)) + 1).cast("int")
+
+    year, number = month(F.col("at"))
+    state_year, state_month = month(after)
+    return line.select(
+        year.alias("year"), number.alias("month"), "complete", state_year.alias("state_year"), state_month.alias("state_month")
+    )
+
+
+def delivered(spark: SparkSession, root: str, month: Month) -> DataFrame:
+    """(year, month, table) of the required tables that were landed for a month with a file
+    that is not empty."""
+    top, (year, number) = month_root(root), month
+    found = [t for t in REQUIRED_TABLES if _complete(spark, {t: f"{top}/{t}/year={year}/month={number}"})]
+    return spark.createDataFrame([(year, number, t) for t in found], "year int, month int, table string")
+
+
 def candidate_month(last: Month | None, today: dt.date | None = None) -> Month:
     """Month after the last one done; before any, the month before today."""
     if last is not None:
@@ -96,7 +130,7 @@ def run_monthly_update(
     raw_root: str,
     root: str,
     today: dt.date | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> bool:
     """Land the next month, roll its quarter up, and advance only if both are complete.
 
@@ -105,7 +139,10 @@ def run_monthly_update(
     """
     month = candidate_month(last_month(spark, root), today)
     land_tables(spark, raw_root, root, months=True, only=[month], multi_line=multi_line)
-    if not month_complete(spark, root, month):
+    year, number = month
+    before = (year, number - 1) if number > 1 else (year - 1, 12)
+    state = spark.createDataFrame([before], "year int, month int")
+    if not advanced(delivered(spark, root, month), state).first()["complete"]:
         return False
     roll_up_months(spark, root, [month])
     if not quarter_complete(spark, root, quarter_of(month)):
@@ -121,7 +158,7 @@ def run_pipeline(
     quarters: list[Quarter] | None = None,
     months: list[Month] | None = None,
     include_txt: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> list[Landed]:
     """Land all quarters and months there are (or the given ones), then roll up."""
     options = {"include_txt": include_txt, "multi_line": multi_line}

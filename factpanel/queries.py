@@ -12,6 +12,7 @@ from factpanel import bindings as b
 from factpanel.functions import ids, numeric
 from factpanel.functions.display import format_display, format_numeric_columns
 from factpanel.operators import audit, compare, facts, merge, panel, profile, quality, screens, unions
+from factpanel.plans import updates
 from factpanel.plans.fundamentals import fundamentals_of_companies, trailing_metric
 from factpanel.plans.screening import simple_screener
 from factpanel.schema import DELTA_COLS, PERIOD_COLS, RATIOS, SCREENER_TAGS, TTM_COLS, YOY_COLS
@@ -298,6 +299,12 @@ def _join_text(c: str):
     return F.concat_ws(",", c).alias(c)
 
 
+def _event_periods(spark, sf) -> DataFrame:
+    """Quarters of the events: nothing was shipped in some of them, so their tables are missing."""
+    day = {"dataset_year": F.year("ts").cast("int"), "dataset_quarter": F.quarter("ts").cast("int")}
+    return b.read(spark, sf, "events").select(*[c.alias(n) for n, c in day.items()]).distinct()
+
+
 def sub_integrity(spark, sf):
     sub = b.sub(spark, sf)
     holes = sub.withColumns(
@@ -306,12 +313,12 @@ def sub_integrity(spark, sf):
             "name": F.when(F.col("dataset_quarter") != 3, F.col("name")),
         }
     )
-    rows = quality.sub_integrity(holes)
+    rows = quality.sub_integrity(holes, _event_periods(spark, sf))
     return rows.select(*PERIOD_COLS, "status", _join_text("issues"), _join_text("warnings"))
 
 
 def num_integrity(spark, sf):
-    rows = quality.num_integrity(b.num(spark, sf))
+    rows = quality.num_integrity(b.num(spark, sf), _event_periods(spark, sf))
     counts = ["null_value_count", "null_ddate_count"]
     return rows.select(*PERIOD_COLS, "status", _join_text("issues"), *counts)
 
@@ -416,24 +423,43 @@ def month_quarter(spark, sf):
     ).drop("day")
 
 
-def incremental_month(spark, sf):
-    """Event days as releases: those after the stored state, and the state after them.
+def fundamentals_lenient(spark, sf):
+    """Text columns throughout, some of which hold no number."""
+    sub, num = b.sub(spark, sf), b.num(spark, sf)
+    texts = {c: F.col(c).cast("string") for c in ("cik", "period", "fy")}
+    public = F.when(F.col("fy") % 2 == 0, F.concat(F.col("period").cast("string"), F.lit(".5"))).otherwise("n/a")
+    sub = facts.scan_typed(sub.withColumn("pubfloatusd", public).withColumns(texts), strict=False)
+    num = num.withColumn("value", F.col("value").cast("string"))
+    rows = facts.build_fundamentals(sub, num, tags=b.TAGS, strict=False)
+    rows = numeric.lenient_columns(rows, [*METRICS, *RATIO_COLS, "pubfloatusd", "absent"])
+    return plain(rows.select("adsh", "cik", "fy", "pubfloatusd", *METRICS, *RATIO_COLS))
 
-    The stored state is the middle day of the stream; a day is complete if it holds
-    every event type, and the state moves to the last day before the first gap.
-    """
-    events = b.read(spark, sf, "events")
-    days = events.groupBy(F.datediff(F.to_date("ts"), F.lit("2024-01-01")).alias("day")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("event_type").alias("n_types"),
-    )
-    wanted = events.agg(F.count_distinct("event_type")).scalar()
-    fresh = days.where(F.col("day") > 15)
-    checked = fresh.withColumn("complete", F.col("n_types") == wanted)
-    gap = checked.agg(F.min(F.when(~F.col("complete"), F.col("day")))).scalar()
-    reached = checked.where(F.col("complete") & (F.coalesce(F.col("day") < gap, F.lit(True))))
-    state = reached.agg(F.coalesce(F.max("day"), F.lit(15))).scalar()
-    return checked.select("day", "n_rows", "complete", state.alias("state_after"))
+
+def panel_sorted(spark, sf):
+    return panel.sort_panel(_panel(spark, sf)).select("adsh", "cik", *PERIOD_COLS, *METRICS)
+
+
+def company_by_name(spark, sf):
+    name = b.read(spark, sf, "supplier").agg(F.max("s_name")).first()[0]
+    return screens.company_rows(_panel(spark, sf), name=name).select(*ID_COLS, *METRICS)
+
+
+def sheet_of_periods(spark, sf):
+    """Years and quarters are paired up; the shorter list decides."""
+    ends = b.sub(spark, sf).agg(F.min("fy"), F.max("fy")).first()
+    pairs = list(zip([ends[0], ends[0] + 1, ends[1]], [3, 1], strict=False))
+    sub, num = (quality.in_periods(t, pairs) for t in (b.sub(spark, sf), b.num(spark, sf)))
+    return plain(screens.sheet_subset(facts.build_fundamentals(sub, num, tags=b.TAGS), None))
+
+
+def incremental_month(spark, sf):
+    """Orders as deliveries of tables by month; the stored state is the earliest month."""
+    orders = b.read(spark, sf, "orders")
+    day, first = F.col("o_orderdate"), F.substring("o_orderpriority", 1, 1)
+    table = F.when(first == "1", "sub").when(first == "2", "num").when(first == "3", "pre").when(first == "4", "tag")
+    observed = orders.select(F.year(day).alias("year"), F.month(day).alias("month"), table.alias("table"))
+    state = orders.agg(F.min(day).alias("day")).select(F.year("day").alias("year"), F.month("day").alias("month"))
+    return updates.advanced(observed, state)
 
 
 def format_display_query(spark, sf):
@@ -527,6 +553,10 @@ def queries() -> dict[str, Query]:
         "month_rollup": month_rollup,
         "month_quarter": month_quarter,
         "incremental_month": incremental_month,
+        "fundamentals_lenient": fundamentals_lenient,
+        "panel_sorted": panel_sorted,
+        "company_by_name": company_by_name,
+        "sheet_of_periods": sheet_of_periods,
         "format_display": format_display_query,
         "format_columns": format_columns,
         "pl_bridge": pl_bridge,

@@ -61,27 +61,41 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
-def _read_a_bit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        bad = []
-        for path in batch["path"]:
-            try:
-                with _open(path) as source:
-                    next(pq.ParquetFile(source).iter_batches(batch_size=5), None)
-            except Exception as error:  # any failure is the finding
-                bad.append((path, f"{type(error).__name__}: {error}"))
-        yield pd.DataFrame(bad, columns=["path", "error"])
-
-
-def unreadable_files(files: DataFrame) -> DataFrame:
-    """Parquet files whose footer or first rows cannot be read: path and error.
-
-    The paths are spread over tasks; each opens its files and reads a few rows.
+def _spread(files: DataFrame) -> DataFrame:
+    """The paths over as many tasks as a shuffle has. The number is given, as paths are
+    short and would be put together in one task again."""
+    spark = files.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return files.select("path").repartition(tasks, "path")
+
+
+def _reader(first_rows: int | None):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            bad = []
+            for path in batch["path"]:
+                try:
+                    with _open(path) as source:
+                        rows = pq.ParquetFile(source).iter_batches(batch_size=first_rows or 65536)
+                        for _ in rows:
+                            if first_rows:
+                                break
+                except Exception as error:  # any failure is the finding
+                    bad.append((path, f"{type(error).__name__}: {error}"))
+            yield pd.DataFrame(bad, columns=["path", "error"])
+
+    return read
+
+
+def unreadable_files(files: DataFrame, first_rows: int | None = None) -> DataFrame:
+    """Parquet files that cannot be read: path and error.
+
+    The paths are spread over tasks; each opens its files and reads every row group, or
+    only ``first_rows`` rows of each file where that is given.
     """
-    spread = files.select("path").repartition("path")
-    return spread.mapInPandas(_read_a_bit, "path string, error string")
+    return _spread(files).mapInPandas(_reader(first_rows), "path string, error string")
 
 
 def _first_line(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,4 +119,4 @@ def header_lines(files: DataFrame) -> DataFrame:
     schema = T.StructType(
         [T.StructField("path", T.StringType()), T.StructField("header", T.StringType())]
     )
-    return files.select("path").repartition("path").mapInPandas(_first_line, schema)
+    return _spread(files).mapInPandas(_first_line, schema)

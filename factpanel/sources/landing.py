@@ -27,6 +27,10 @@ QUARTER_FOLDER = r"/([0-9]{4})_([1-4])/source/"
 MONTH_FOLDER = r"/([0-9]{4})_(0[1-9]|1[0-2])/source/"
 
 
+# Tables whose quoted fields hold line ends. Files of the others are split.
+MULTI_LINE_TABLES = {"txt"}
+
+
 @dataclass(frozen=True)
 class Landed:
     """Outcome of one table: rows written, rows rejected, or the error."""
@@ -45,13 +49,13 @@ def _too_long(raw: Column, width: int) -> Column:
 
 
 def read_tsv(
-    spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool = True
+    spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool = False
 ) -> DataFrame:
     """Rows of tab-separated files that share one header, all columns text.
 
-    Latin-1, quoted fields with doubled quotes; ``multi_line`` allows line ends
-    inside them, but then a file is read by one task (pass False where fields hold
-    none, and files are split). Short rows are padded with null and the texts that
+    Latin-1, quoted fields with doubled quotes. Files are split between tasks;
+    ``multi_line`` allows line ends inside quoted fields, but then a file is read by one
+    task, so pass it for files that need it only. Short rows are padded with null and the texts that
     mean missing become null. ``_rejected`` marks rows with too many fields.
     """
     fields = [T.StructField(c, T.StringType()) for c in columns]
@@ -89,7 +93,7 @@ def read_release(
     table: str,
     months: bool = False,
     only: list[tuple[int, int]] | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame | None:
     """One table of all release folders ``<raw_root>/Y_P/source/<table>.tsv``.
 
@@ -105,6 +109,8 @@ def read_release(
         for n in names:
             hit = hit | F.col("path").contains(n)
         files = files.where(hit)
+    if multi_line is None:
+        multi_line = table in MULTI_LINE_TABLES
     by_header: dict[str, list[str]] = {}
     # one line per file: bounded by the number of release folders
     for path, header in header_lines(files).collect():
@@ -145,7 +151,7 @@ def land_tables(
     include_txt: bool = False,
     months: bool = False,
     only: list[tuple[int, int]] | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> list[Landed]:
     """Land every table of the releases: one write job per table over all periods.
 

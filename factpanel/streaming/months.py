@@ -41,7 +41,7 @@ def new_month_files(spark: SparkSession, raw_root: str) -> DataFrame:
 
 
 def land_new_months(
-    spark: SparkSession, raw_root: str, root: str, checkpoint: str, multi_line: bool = True
+    spark: SparkSession, raw_root: str, root: str, checkpoint: str, multi_line: bool | None = None
 ) -> StreamingQuery:
     """Process every month file that is new since the last run, then stop.
 

@@ -18,6 +18,9 @@ def test_lines(spark):
         (1, 2, "number", "two 1234"), (1, 4, "any", "four"), (1, 5, "number", "five 99999"),
         (1, 7, "number", "pad 777777"), (2, 1, "any", "1234"),
     ]
+    # blank lines are no findings, whatever the pattern matches
+    every = audit.classify_lines(df, "text", ["id"], [("all", r"^\s*", None)])
+    assert sorted(r["line"] for r in every.where("id = 1").collect()) == [1, 2, 3, 4, 5, 7]
     # the same lines as Python sees them
     assert [i for i, line in enumerate(text.splitlines(), 1) if re.search("[0-9]{4,}", line)] == [2, 5, 7]
 

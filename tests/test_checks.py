@@ -69,6 +69,7 @@ def test_audit_report(spark, tmp_path):
     assert before["distinct_cik_count_in_sub"] == 1
     text = "\n".join(r[0] for r in spark.read.text(out).collect())
     assert "2025_1" in text and "data-root" in text and str(tmp_path) not in text
+    assert (now["period_dir"], now["parquet_dir"]) == ("data-root/2025_1", "data-root/2025_1/parquet")
 
 
 def test_missing_columns(spark):
@@ -118,6 +119,27 @@ def test_integrity(spark):
     assert (row["status"], row["issues"], row["null_value_count"]) == ("ISSUES", ["missing_value_column"], None)
 
 
+def test_periods_without_the_table(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, "2024_1", "sub", [("a", "1", "A", "10-K", "20240331")], PANEL_SUB)
+    put(spark, root, "2024_1", "num", [("a", "Revenues", "5", "x")], PANEL_NUM)
+    put(spark, root, "2024_2", "num", [("b", "Revenues", "5", "x")], PANEL_NUM)
+    lines = run_checks(FactTables(spark, root, layout=FOLDERS)).collect()
+    state = {(r["check"], r["period"]): r["status"] for r in lines if r["check"] in ("sub", "num")}
+    assert state == {("sub", "2024_1"): "OK", ("sub", "2024_2"): "NOT_FOUND", ("num", "2024_1"): "OK", ("num", "2024_2"): "OK"}
+
+
+def test_undefined_counts_are_missing(spark):
+    period = ", dataset_year int, dataset_quarter int"
+    bare = spark.createDataFrame([("a1", "10-K", 2025, 1)], "adsh string, form string" + period)
+    num = spark.createDataFrame([("a1", 1.0, 2025, 1)], "adsh string, value double" + period)
+    row = audit.audit_quarters(bare, num).first()
+    assert (row["distinct_cik_count_in_sub"], row["distinct_cik_count_in_num"]) == (None, None)
+    sub = spark.createDataFrame([("a1", APPLE, 2025, 1)], "adsh string, cik string" + period)
+    row = audit.audit_quarters(sub, num.drop("adsh")).first()
+    assert (row["distinct_cik_count_in_sub"], row["distinct_cik_count_in_num"]) == (1, None)
+
+
 PANEL_SUB = "adsh string, cik string, name string, form string, period string"
 PANEL_NUM = "adsh string, tag string, value string, ddate string"
 

@@ -3,8 +3,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from factpanel.operators import facts, merge, screens, unions
+from factpanel.plans.fundamentals import fundamentals_of_companies
 from factpanel.plans.screening import simple_screener
-from factpanel.schema import DEFAULT_TAGS, RATIOS
+from factpanel.schema import DEFAULT_TAGS, RATIOS, SCREENER_TAGS
 
 SUB = "adsh string, cik string, name string, form string, fy string, fp string, period string, filed string, dataset_year int, dataset_quarter int"
 NUM = "adsh string, tag string, value string, dataset_year int, dataset_quarter int"
@@ -20,7 +21,35 @@ def test_tags_are_whole():
         "total_assets", "total_liabilities", "total_equity", "cfo", "cfi", "cff",
     ]
     assert sum(len(t) for t in DEFAULT_TAGS.values()) == 26
-    assert len(RATIOS) == 10
+    assert {m: t[0] for m, t in DEFAULT_TAGS.items() if m in SCREENER_TAGS} == SCREENER_TAGS
+    assert DEFAULT_TAGS["revenue"] == ["Revenues", "SalesRevenueNet", "RevenueFromContractWithCustomerExcludingAssessedTax"]
+    assert DEFAULT_TAGS["net_income"] == ["NetIncomeLoss", "ProfitLoss"]
+    assert DEFAULT_TAGS["gross_profit"] == ["GrossProfit", "GrossProfitLoss"]
+    assert DEFAULT_TAGS["total_assets"] == ["Assets", "AssetsTotal"]
+    assert DEFAULT_TAGS["total_liabilities"] == ["Liabilities", "LiabilitiesTotal"]
+    for metric, word in (("cfo", "Operating"), ("cfi", "Investing"), ("cff", "Financing")):
+        name = f"NetCashProvidedByUsedIn{word}Activities"
+        assert DEFAULT_TAGS[metric] == [name, f"{name}ContinuingOperations"]
+
+
+def test_ratios_are_whole():
+    """Numerator and denominator, as the rows of a filing define them."""
+    assert RATIOS == {
+        "gross_margin": ("gross_profit", "revenue"), "operating_margin": ("operating_income", "revenue"),
+        "net_margin": ("net_income", "revenue"), "roa": ("net_income", "total_assets"),
+        "roe": ("net_income", "total_equity"), "asset_turnover": ("revenue", "total_assets"),
+        "debt_to_equity": ("total_liabilities", "total_equity"), "debt_to_assets": ("total_liabilities", "total_assets"),
+        "equity_ratio": ("total_equity", "total_assets"), "assets_to_equity": ("total_assets", "total_equity"),
+    }
+
+
+def test_facts_of_one_company_are_cut_before_the_pivot(spark):
+    sub = spark.createDataFrame([header("a"), header("b", cik="2")], SUB)
+    num = spark.createDataFrame([("a", "Revenues", "1", 2024, 1), ("b", "Revenues", "2", 2024, 1)], NUM)
+    rows = fundamentals_of_companies(sub.withColumn("cik", F.col("cik").cast("bigint")), num, [2])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+    assert [(r["adsh"], r["revenue"]) for r in rows.collect()] == [("b", 2.0)]
 
 
 def test_fundamentals(spark):

@@ -3,6 +3,7 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from factpanel.operators.screens import revenue_screen
 from factpanel.plans import state, updates
@@ -40,7 +41,7 @@ TRICKY = (
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
 def test_tricky_tsv(spark, tmp_path, newline):
     put(tmp_path, "2024_1", "sub", TRICKY.replace("\n", newline))
-    df = read_release(spark, str(tmp_path), "sub")
+    df = read_release(spark, str(tmp_path), "sub", multi_line=True)
     assert df.columns == ["a", "b", "c", "_rejected", "dataset_year", "dataset_quarter"]
     got = {r["a"]: r for r in df.collect()}
     assert sorted(got) == ["1", "2", "3", "4", "5", "6", "7"]
@@ -143,6 +144,43 @@ def month(raw, folder, number, tables=("sub", "num", "pre", "tag")):
         put(raw, folder, t, text)
 
 
+def test_damage_in_a_later_row_group_is_found(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = tmp_path / "x.parquet"
+    pq.write_table(pa.table({"a": list(range(10_000))}), path, row_group_size=1000, use_dictionary=False, compression="NONE")
+    group = pq.ParquetFile(path).metadata.row_group(7).column(0)
+    data = bytearray(path.read_bytes())
+    data[group.data_page_offset : group.data_page_offset + 24] = b"\xff" * 24
+    path.write_bytes(bytes(data))
+    files = list_files(spark, str(tmp_path))
+    assert unreadable_files(files).count() == 1
+    assert unreadable_files(files, first_rows=5).count() == 0
+
+
+def test_paths_are_spread_over_tasks(spark):
+    files = spark.range(1000).select(F.concat(F.lit("/nowhere/"), "id").alias("path"))
+    tasks = unreadable_files(files).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 1000
+
+
+@pytest.mark.parametrize(
+    ("tables", "state", "line"),
+    [
+        (["sub", "num", "pre", "tag"], [(2023, 12)], (2024, 1, True, 2024, 1)),
+        (["sub", "num", "pre"], [(2023, 12)], (2024, 1, False, 2023, 12)),
+        (["sub", "num", "pre", "tag"], [], (2024, 1, True, 2024, 1)),
+        (["sub", "num", "pre", "tag"], [(2024, 1)], (2024, 2, False, 2024, 1)),
+        ([], [(2023, 12)], (2024, 1, False, 2023, 12)),
+    ],
+)
+def test_state_after_an_update(spark, tables, state, line):
+    observed = spark.createDataFrame([(2024, 1, t) for t in tables], "year int, month int, table string")
+    stored = spark.createDataFrame(state, "year int, month int")
+    assert tuple(updates.advanced(observed, stored).first()) == line
+
+
 def test_monthly_update(spark, tmp_path):
     raw, root = tmp_path / "raw", str(tmp_path / "landed")
     today = dt.date(2024, 2, 15)
