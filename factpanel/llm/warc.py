@@ -32,8 +32,9 @@ from factpanel.llm.common import new_path, stored
 
 MAGIC = "WARC/1.1\r\n"
 SEPARATOR = "\r\n\r\n"
-#: Groups of equal payloads are broadcast up to this many, and joined by a shuffle beyond.
-BROADCAST_GROUPS = 100_000
+#: Groups of equal payloads, and parts of cut payloads, are broadcast up to this many (they
+#: are short rows), and joined by a shuffle beyond.
+BROADCAST_ROWS = 100_000
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -52,7 +53,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     alike = rows.groupBy("same", "page_id", "url").agg(F.count(F.lit(1)).alias("copies"))
     groups = alike.groupBy("same").agg(F.max(F.struct("page_id", "url", "copies")).alias("kept"), F.sum("copies").alias("n"))
     repeated = stored(groups.where("n > 1").select("same", "kept"), "payloads")
-    small = repeated.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    small = repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(repeated) if small else repeated, "same", "left").withColumns(
         {"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))}
     )
@@ -231,7 +232,9 @@ def chained(spark: SparkSession, path: str) -> DataFrame:
 
 def _payloads(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
     """(file, owner, payload) of the records with these parts, put together from them."""
-    texts = _segments(spark, path).join(parts.select("file", "split", "number", "owner", "place"), ["file", "split", "number"])
+    parts = parts.select("file", "split", "number", "owner", "place")
+    few = parts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = _segments(spark, path).join(F.broadcast(parts) if few else parts, ["file", "split", "number"])
     whole = texts.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("parts"))
     record = F.array_join(F.col("parts.value"), MAGIC)
     payload = F.substr(record, F.instr(record, SEPARATOR) + len(SEPARATOR))
@@ -245,9 +248,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     rows = chained(spark, path)
     records = rows.where("place = owner")
     cut = records.where("kind = 'response' AND digest IS NULL").select("file", "owner")
-    parts = rows.join(cut, ["file", "owner"], "left_semi")
-    again = _payloads(spark, path, parts).select("file", "owner", base32_sha1(F.col("payload")).alias("again"))
-    joined = records.join(again, ["file", "owner"], "left")
+    parts = stored(rows.join(cut, ["file", "owner"], "left_semi"), "parts")
+    if parts.isEmpty():
+        joined = records.withColumn("again", F.lit(None).cast("string"))
+    else:  # payloads that hold the magic are put together from their parts
+        again = _payloads(spark, path, parts).select("file", "owner", base32_sha1(F.col("payload")).alias("again"))
+        joined = records.join(again, ["file", "owner"], "left")
     number = r"^<urn:page:(-?[0-9]+)>$"
     said = F.regexp_extract("said_digest", "^sha1:(.*)$", 1)
     return joined.select(
