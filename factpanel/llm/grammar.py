@@ -13,7 +13,7 @@ half-written file.
 
 Defined cases
 - A null text counts as empty and is the end id alone. Null ids come first, then
-  ascending; rows with the same id are ordered by text, and each is kept.
+  ascending; rows with the same id are ordered by a hash of the text, and each is kept.
 - Other columns take no part. An empty table gives files without blocks.
 """
 
@@ -32,7 +32,7 @@ from factpanel.llm.pieces import cache_of
 
 BLOCK_IDS = 1 << 20
 #: A pair has to occur this often in what is left of a block to become a rule.
-LEAST_COUNT, ROUNDS = 16, 6
+LEAST_COUNT, ROUNDS = 16, 4
 BUCKETS = 1 << 20
 
 
@@ -40,14 +40,25 @@ def _pairs(ids: np.ndarray) -> np.ndarray:
     return (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:].astype(np.uint64)
 
 
-def _frequent(pairs: np.ndarray, least: int) -> np.ndarray:
-    """The pairs that occur at least `least` times, most frequent first. A count of hashed
-    pairs leaves out most of the rare ones before the exact count."""
-    hashed = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    often = np.bincount(hashed, minlength=BUCKETS) >= least
-    values, counts = np.unique(pairs[often[hashed]], return_counts=True)
+def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(frequent, rank): the pairs that occur at least `least` times, most frequent first,
+    and at each position the rank of its pair, -1 if that is not frequent. A count of
+    hashed pairs leaves out most of the rare ones before the exact count."""
+    hashed = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+    often = np.flatnonzero((np.bincount(hashed, minlength=BUCKETS) >= least)[hashed])
+    values, counts = np.unique(pairs[often], return_counts=True)
     values, counts = values[counts >= least], counts[counts >= least]
-    return values[np.lexsort((values, -counts))]
+    rank = np.full(len(pairs), -1, np.int32)
+    if len(values):
+        order = np.argsort(-counts, kind="stable")
+        rank_of = np.empty(len(values), np.int32)
+        rank_of[order] = np.arange(len(values), dtype=np.int32)
+        own = pairs[often]
+        at = np.searchsorted(values, own)
+        at[at == len(values)] = 0
+        rank[often] = np.where(values[at] == own, rank_of[at], -1)
+        values = values[order]
+    return values, rank
 
 
 def _chosen(rank: np.ndarray) -> np.ndarray:
@@ -79,14 +90,9 @@ def compress(ids: np.ndarray, first_rule: int, least: int = LEAST_COUNT, rounds:
         if len(sequence) < 2:
             break
         pairs = _pairs(sequence)
-        frequent = _frequent(pairs, least)
+        frequent, rank = _ranked(pairs, least)
         if not len(frequent):
             break
-        order = np.argsort(frequent)
-        known = frequent[order]
-        at = np.searchsorted(known, pairs)
-        at[at == len(known)] = 0
-        rank = np.where(known[at] == pairs, order[at], -1)
         chosen = _chosen(rank)
         used, number = np.unique(rank[chosen], return_inverse=True)
         made = frequent[used]
@@ -194,15 +200,16 @@ def write_shards(
         if held:
             yield block(part, number, held, keys, sizes)
 
-    rows = docs.select("doc_id", "text").repartitionByRange("doc_id", "text")
-    rows = rows.sortWithinPartitions("doc_id", "text")
+    # the sample that sets the ranges holds these columns only, and no texts
+    rows = docs.select("doc_id", "text").withColumn("hash", F.xxhash64("text"))
+    rows = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
+    rows = rows.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows.mapInArrow(blocks, SCHEMA.format(kind=kind)).write.parquet(path)
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """The block rows, with `before`: how many ids of the shards come before the block."""
-    blocks = spark.read.parquet(path)
+def ids_before(blocks: DataFrame) -> DataFrame:
+    """(part, block, before): how many ids of the shards come before each block."""
     sizes = blocks.select("part", "block", "n_ids")
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     # one row per written file, so the window without keys holds as many rows as files
@@ -211,35 +218,40 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     over_blocks = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("blocks_before", F.coalesce(F.sum("n_ids").over(over_blocks), F.lit(0)))
     before = (F.col("parts_before") + F.col("blocks_before")).alias("before")
-    return blocks.join(sizes.join(parts, "part").select("part", "block", before), ["part", "block"])
+    return sizes.join(parts, "part").select("part", "block", before)
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, int, list[int], memoryview]]:
-    """Of each block: document ids, ids before the block, ends of the documents, all ids."""
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, int, int, list[int], memoryview]]:
+    """Of each block: document ids, its part and number, ends of the documents, all ids."""
     for batch in batches:
         for row in range(batch.num_rows):
             rules, sequence = (np.frombuffer(batch.column(c)[row].as_buffer(), "<u4") for c in ("rules", "sequence"))
             ids = expand(sequence, rules.reshape(-1, 2), batch.column("first_rule")[row].as_py())
             ends = np.cumsum(batch.column("doc_sizes")[row].values.to_numpy()).tolist()
             data = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
-            yield batch.column("doc_ids")[row].values, batch.column("before")[row].as_py(), ends, data
+            part, number = (batch.column(c)[row].as_py() for c in ("part", "block"))
+            yield batch.column("doc_ids")[row].values, part, number, ends, data
 
 
 def _read(spark: SparkSession, path: str, column: str, kind: str, make, arrow_kind) -> DataFrame:
     """(doc_id, start, n_tokens, column): make gets the bytes of a document's ids."""
-    blocks = read_blocks(spark, path)
+    blocks = spark.read.parquet(path)
     key = blocks.schema["doc_ids"].dataType.elementType.simpleString()
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, before, ends, data in _documents(batches):
-            starts = [0, *ends[:-1]]
+        for keys, part, number, ends, data in _documents(batches):
+            starts, n = [0, *ends[:-1]], len(ends)
             sizes = [b - a for a, b in zip(starts, ends, strict=True)]
             made = [make(data[4 * a : 4 * b]) for a, b in zip(starts, ends, strict=True)]
-            columns = [keys, pa.array([before + a for a in starts], pa.int64()), pa.array(sizes, pa.int64()), pa.array(made, arrow_kind)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", column])
-
-    rows = blocks.select("doc_ids", "doc_sizes", "first_rule", "rules", "sequence", "before")
-    return rows.mapInArrow(decode, f"doc_id {key}, start long, n_tokens long, {column} {kind}")
+            place = [pa.array([part] * n, pa.int32()), *(pa.array(x, pa.int64()) for x in ([number] * n, starts, sizes))]
+            yield pa.RecordBatch.from_arrays([keys, *place, pa.array(made, arrow_kind)], names=names)
+
+    names = ["doc_id", "part", "block", "inside", "n_tokens", column]
+    rows = blocks.select("part", "block", "doc_ids", "doc_sizes", "first_rule", "rules", "sequence")
+    decoded = rows.mapInArrow(decode, f"doc_id {key}, part int, block long, inside long, n_tokens long, {column} {kind}")
+    # only what was decoded is joined: the blocks themselves are not moved
+    start = (F.col("before") + F.col("inside")).alias("start")
+    return decoded.join(ids_before(blocks), ["part", "block"]).select("doc_id", start, "n_tokens", column)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
