@@ -1,10 +1,11 @@
 """Near duplicates by MinHash, with odd sketches before an exact check.
 
 Every document becomes the set of its word shingles. Documents with the same set are one
-class, and only one of each class goes on. Its MinHash samples make band keys, and are
-folded into an odd sketch: each sample flips one bit of a bitmap, so that samples which
-two documents share cancel out in the XOR of their bitmaps, and the number of bits left
-estimates how many samples differ. It is precise where few differ, that is, for the
+class, and only one of each class goes on. MinHash samples under many permutations make
+band keys. MinHash samples under one permutation (the smallest hash in each of BINS bins)
+are folded into an odd sketch: each sample flips one bit of a bitmap, so that samples
+which two documents share cancel out in the XOR of their bitmaps, and the number of bits
+left estimates how many samples differ. It is precise where few differ, that is, for the
 similar pairs that matter here.
 
 Classes that share a band key form a bucket. No bucket is expanded into its pairs: in a
@@ -16,7 +17,8 @@ confirmed on the full sets. So every pair that shares a band is linked, connecte
 other links, or refused by its sketch or its sets.
 
 With 40 bands of 5 samples a pair of similarity 0.8 shares no band with probability 1e-7.
-A sketch refuses below 0.62, six standard deviations from 0.8.
+A sketch refuses a pair that shares six standard deviations fewer samples than a pair at
+the threshold would: below about 0.76 for sets of 150 shingles, 0.68 for very large ones.
 
 Defined cases
 - A-Z is lower-cased; words are what ASCII white space separates. With fewer words than a
@@ -41,11 +43,11 @@ from factpanel.llm.common import free_name, groups_of_texts, stored
 from factpanel.llm.components import components
 
 BANDS, BAND_SAMPLES = 40, 5
-SKETCH_WORDS = 8
+BINS, SKETCH_WORDS = 1024, 16
 ROUNDS = 3
-#: The least similarity that a sketch may show, below the threshold by this much.
-MARGIN = 0.18
-MOST_WORDS = 500_000
+#: Standard deviations below the threshold at which a sketch refuses a pair.
+DEVIATIONS = 6.0
+MOST_WORDS = 200_000
 
 
 class _WordHashes(dict):
@@ -112,26 +114,51 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return _mixed(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmaps: sample i with value v flips the bit that (i, v) hashes to."""
-    n = samples.shape[1]
-    bits = SKETCH_WORDS * 64
-    at = _mixed(samples.astype(np.uint64) + (np.arange(n, dtype=np.uint64) << np.uint64(32))) % np.uint64(bits)
-    flat = at.astype(np.int64) + np.arange(len(samples))[:, None] * bits
-    odd = (np.bincount(flat.ravel(), minlength=len(samples) * bits) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(len(samples), bits), axis=1, bitorder="little").view(np.int64)
-
-
-def most_bits(least: float) -> int:
-    """The largest number of different bits that still shows a similarity of `least`."""
-    samples, bits = BANDS * BAND_SAMPLES, SKETCH_WORDS * 64
-    return int(np.ceil(bits / 2 * (1 - (1 - 2 / bits) ** (2 * samples * (1 - least)))))
+def odd_sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(parity bitmaps, numbers of samples). The sample of a bin is the smallest hash in it;
+    sets are sorted, so it is the first. No set may be empty."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    place = owner * BINS + (flat & np.uint64(BINS - 1)).astype(np.int64)
+    first = np.full(len(sets) * BINS, -1, np.int64)
+    first[place[::-1]] = np.arange(len(flat) - 1, -1, -1)  # the last one written stays
+    first = first[first >= 0]
+    owner, bits = owner[first], SKETCH_WORDS * 64
+    at = owner * bits + (_mixed(flat[first]) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    sketches = np.packbits(odd.reshape(len(sets), bits), axis=1, bitorder="little").view(np.int64)
+    return sketches, np.bincount(owner, minlength=len(sets))
 
 
 def _bits_apart(a: str, b: str) -> Column:
     return F.expr(" + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(SKETCH_WORDS)))
 
 
+def _shared_samples(bits: Column, samples: Column) -> Column:
+    """Estimate of the samples that two sets share, from the bits in which their sketches
+    differ and the number of samples of both."""
+    n = SKETCH_WORDS * 64
+    even = F.greatest(1 - 2 * bits / F.lit(float(n)), F.lit(1.0 / n))
+    return (samples + n / 2 * F.log(even)) / 2
+
+
+def _least_shared(sizes: Column, samples: Column, ratio: float) -> Column:
+    """How many samples a pair at the threshold shares at least, but for chance.
+
+    A bin of the union is shared if its smallest hash is in both sets. What varies is which
+    elements the bins hide, and which flipped bits meet in one place.
+    """
+    n = float(SKETCH_WORDS * 64)
+    union = sizes / (1 + ratio)
+    bins = BINS * (1 - F.exp(-union / BINS))
+    expected = ratio * bins
+    differ = F.greatest(samples - 2 * expected, F.lit(0.0))
+    fade = F.exp(-4 * differ / n)
+    spread = (n * (1 - fade) - 4 * differ * fade) / 16 * F.exp(4 * differ / n)
+    hidden = ratio * (1 - ratio) * bins * F.greatest(1 - bins / union, F.lit(0.0))
+    return expected - DEVIATIONS * F.sqrt(F.greatest(spread + hidden, F.lit(0.0))) - 2
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and two hashes that name the row by its content."""
     text = F.coalesce("text", F.lit(""))
@@ -142,9 +169,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, key1, key2, n_shingles, set_key, bands, sketch) of every document; bands and
-    sketch are null for an empty set."""
-    import_kinds = [("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+    """(doc_id, key1, key2, n_shingles, set_key, bands, sketch, samples) of every document;
+    bands and sketch are null for an empty set."""
+    made_kinds = [
+        ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())),
+        ("sketch", pa.list_(pa.int64())), ("samples", pa.int64()),
+    ]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -153,18 +183,21 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             for first, group in groups_of_texts(batch.column(1).to_pylist()):
                 sets = [shingle_set(t, words) for t in group]
                 filled = [i for i, s in enumerate(sets) if len(s)]
-                bands, sketch, keys = [None] * len(sets), [None] * len(sets), [b""] * len(sets)
+                bands, sketch, keys, samples = ([x] * len(sets) for x in (None, None, b"", 0))
                 if filled:
-                    samples = samples_of([sets[i] for i in filled])
-                    for i, b, s in zip(filled, band_keys(samples).tolist(), odd_sketches(samples).tolist(), strict=True):
-                        bands[i], sketch[i], keys[i] = b, s, xxhash.xxh3_128_digest(sets[i].tobytes())
-                made = [list(map(len, sets)), keys, bands, sketch]
+                    own = [sets[i] for i in filled]
+                    bitmaps, counts = odd_sketches(own)
+                    told = zip(filled, band_keys(samples_of(own)).tolist(), bitmaps.tolist(), counts.tolist(), strict=True)
+                    for i, b, s, n in told:
+                        bands[i], sketch[i], samples[i] = b, s, n
+                        keys[i] = xxhash.xxh3_128_digest(sets[i].tobytes())
+                made = [list(map(len, sets)), keys, bands, sketch, samples]
                 columns = [batch.column(c).slice(first, len(group)) for c in (0, 2, 3)]
-                columns += [pa.array(x, kind) for x, (_, kind) in zip(made, import_kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key1", "key2", *[n for n, _ in import_kinds]])
+                columns += [pa.array(x, kind) for x, (_, kind) in zip(made, made_kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key1", "key2", *[n for n, _ in made_kinds]])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    made = f"doc_id {kind}, key1 long, key2 long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"
+    made = f"doc_id {kind}, key1 long, key2 long, n_shingles long, set_key binary, bands array<long>, sketch array<long>, samples long"
     return _keyed(docs).mapInArrow(sign, made)
 
 
@@ -203,24 +236,29 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def linked_classes(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, root) of the classes that are linked with another; reps: (row, key1, key2, bands,
-    sketch, n_shingles) of one row per class."""
+    sketch, samples, n_shingles) of one row per class."""
     ratio = percent / 100
-    limit = most_bits(ratio - MARGIN)
     members = reps.select("row", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     buckets = stored(members.join(shared, "band"), "buckets")
     rows = buckets.select("row").distinct()
-    wanted = stored(reps.join(rows, "row").select("row", "key1", "key2", "sketch", "n_shingles"), "members")
+    wanted = stored(reps.join(rows, "row").select("row", "key1", "key2", "bands", "sketch", "samples", "n_shingles"), "members")
     sets = stored(_full_sets(docs, wanted.select("row", "key1", "key2"), words).dropDuplicates(["row"]), "sets")
-    sketches = wanted.select("row", "sketch", "n_shingles")
+    sketches = wanted.select("row", "sketch", "samples", "n_shingles")
+    samples, sizes = F.col("a_samples") + F.col("b_samples"), F.col("a_n") + F.col("b_n")
+    shared = _shared_samples(_bits_apart("a_sketch", "b_sketch"), samples)
     near = (
-        (_bits_apart("a_sketch", "b_sketch") <= limit)
+        (shared >= _least_shared(sizes, samples, ratio))
         & (F.col("a_n") * 100 >= F.col("b_n") * percent)
         & (F.col("b_n") * 100 >= F.col("a_n") * percent)
     )
 
     def named(side: str) -> DataFrame:
-        return sketches.select(F.col("row").alias(side), F.col("sketch").alias(f"{side}_sketch"), F.col("n_shingles").alias(f"{side}_n"))
+        return sketches.select(F.col("row").alias(side), *side_columns(side))
+
+    def side_columns(side: str) -> list[Column]:
+        names = {"sketch": "sketch", "samples": "samples", "n_shingles": "n"}
+        return [F.col(c).alias(f"{side}_{n}") for c, n in names.items()]
 
     links, labels = None, None
     for turn in range(ROUNDS):
@@ -230,7 +268,8 @@ def linked_classes(docs: DataFrame, reps: DataFrame, words: int, percent: int) -
         leaders = leaders.where("low <> high").select("band", F.col("leader.row").alias("b"), F.col("leader.root").alias("b_root"))
         asked = placed.join(leaders, "band").where("root <> b_root").select(F.col("row").alias("a"), "b").distinct()
         asked = asked.join(named("a"), "a").join(named("b"), "b").where(near)
-        best = asked.groupBy("a").agg(F.min(F.struct(_bits_apart("a_sketch", "b_sketch").alias("bits"), "b")).alias("best"))
+        likeness = (shared / sizes).alias("likeness")
+        best = asked.groupBy("a").agg(F.max(F.struct(likeness, "b")).alias("best"))
         found = stored(_confirmed(best.select("a", F.col("best.b").alias("b")), sets, percent), "links")
         if found.isEmpty():
             break
@@ -239,11 +278,25 @@ def linked_classes(docs: DataFrame, reps: DataFrame, words: int, percent: int) -
     # what is left of the buckets: members in different components
     placed = buckets.withColumn("root", F.col("row")) if labels is None else _labelled(buckets, labels)
     mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    open_rows = stored(placed.join(mixed, "band").join(sketches, "row"), "open")
-    left = open_rows.select("band", F.col("row").alias("a"), F.col("root").alias("a_root"), F.col("sketch").alias("a_sketch"), F.col("n_shingles").alias("a_n"))
-    right = open_rows.select("band", F.col("row").alias("b"), F.col("root").alias("b_root"), F.col("sketch").alias("b_sketch"), F.col("n_shingles").alias("b_n"))
-    rest = left.join(right, [left["band"] == right["band"], F.col("a") < F.col("b"), F.col("a_root") != F.col("b_root"), near])
-    found = stored(_confirmed(rest.select("a", "b").distinct(), sets, percent), "links")
+    open_rows = stored(placed.join(mixed, "band").join(wanted.drop("key1", "key2"), "row"), "open")
+    left, right = (
+        open_rows.select(
+            F.col("band").alias(f"{side}_band"), F.col("row").alias(side), F.col("root").alias(f"{side}_root"),
+            F.col("bands").alias(f"{side}_bands"), *side_columns(side),
+        )
+        for side in ("a", "b")
+    )
+    # a pair that shares several bands is formed in the first of them only
+    common = F.filter("a_bands", lambda band, i: band == F.get("b_bands", i))
+    rest = left.join(
+        right,
+        (F.col("a_band") == F.col("b_band"))
+        & (F.col("a") < F.col("b"))
+        & (F.col("a_root") != F.col("b_root"))
+        & near
+        & (F.get(common, F.lit(0)) == F.col("a_band")),
+    )
+    found = stored(_confirmed(rest.select("a", "b"), sets, percent), "links")
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         labels = components(links)
@@ -263,7 +316,7 @@ def decisions(docs: DataFrame, words: int, percent: int = 80) -> DataFrame:
     filled = signed.where("n_shingles > 0")
     classes = stored(filled.groupBy("set_key").agg(F.min(order).alias("first")), "classes")
     firsts = classes.select(F.col("first.row").alias("row"))
-    reps = signed.join(firsts, "row").select("row", "key1", "key2", "bands", "sketch", "n_shingles")
+    reps = signed.join(firsts, "row").select("row", "key1", "key2", "bands", "sketch", "samples", "n_shingles")
     labels = linked_classes(docs, reps, words, percent)
     named = classes.withColumn("row", F.col("first.row")).join(labels.withColumnRenamed("node", "row"), "row", "left")
     named = stored(named.select("set_key", "first", F.coalesce("root", "row").alias("root")), "classes")

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from factpanel.llm import near_dedup
 from factpanel.llm.components import components
@@ -62,15 +63,27 @@ def test_components_are_those_of_all_pairs(spark, seed, words):
     assert stays.columns == docs.columns and stays.count() == groups
 
 
-def test_sketch_bits_estimate_similarity():
-    rng = np.random.default_rng(3)
-    common, other = rng.integers(0, 1 << 63, 800, np.uint64), rng.integers(0, 1 << 63, 200, np.uint64)
-    sets = [np.sort(np.concatenate([common, other[:100]])), np.sort(np.concatenate([common, other[100:]]))]
-    sketches = near_dedup.odd_sketches(near_dedup.samples_of(sets))
-    bits = int(np.bitwise_count((sketches[0] ^ sketches[1]).view(np.uint64)).sum())
-    size = near_dedup.SKETCH_WORDS * 64
-    differ = -size / 2 * np.log(1 - 2 * bits / size)
-    assert abs(1 - differ / (2 * near_dedup.BANDS * near_dedup.BAND_SAMPLES) - 0.8) < 0.12
+@pytest.mark.parametrize("size", [5, 150, 1000, 20_000])
+def test_sketches_tell_similarity(spark, size):
+    """Pairs at the threshold pass; pairs well below are refused, the closer the smaller."""
+    rng = np.random.default_rng(size)
+
+    def pair(similarity):
+        common = round(2 * size * similarity / (1 + similarity))
+        pool = np.unique(rng.integers(0, 1 << 63, 2 * size, np.uint64) * np.uint64(2) + rng.integers(0, 2, 2 * size, np.uint64))
+        rng.shuffle(pool)
+        return np.sort(pool[:size]), np.sort(np.concatenate([pool[:common], pool[size : 2 * size - common]]))
+
+    rows = []
+    for similarity in [0.81] * 60 + [0.55] * 60:
+        (a, b), (n, m) = near_dedup.odd_sketches(list(pair(similarity)))
+        bits = int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+        rows.append((similarity, bits, int(n + m), 2 * size))
+    told = spark.createDataFrame(rows, "similarity double, bits long, samples long, sizes long")
+    passes = near_dedup._shared_samples(F.col("bits"), F.col("samples")) >= near_dedup._least_shared(F.col("sizes"), F.col("samples"), 0.8)
+    shares = {r["similarity"]: r["share"] for r in told.groupBy("similarity").agg(F.avg(passes.cast("int")).alias("share")).collect()}
+    assert shares[0.81] == 1.0
+    assert shares[0.55] == 0.0 or size == 5
 
 
 def test_components_of_chains_and_stars(spark):
