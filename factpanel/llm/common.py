@@ -1,4 +1,4 @@
-"""Helpers of the corpus operators: shared storage, batches of texts, connected rows."""
+"""Helpers of the corpus operators: shared storage, batches of texts, free names."""
 
 from __future__ import annotations
 

@@ -32,7 +32,7 @@ from factpanel.llm.pieces import cache_of
 
 BLOCK_IDS = 1 << 20
 #: A pair has to occur this often in what is left of a block to become a rule.
-LEAST_COUNT, ROUNDS = 16, 4
+LEAST_COUNT, ROUNDS = 16, 3
 BUCKETS = 1 << 20
 
 

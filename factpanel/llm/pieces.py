@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -116,14 +116,13 @@ class PieceCache:
         self.learned(found)
 
     def _numbers(self, keys: list[str]) -> np.ndarray:
-        numbers = list(map(self.known.get, keys))
-        if None in numbers:
-            where = [i for i, n in enumerate(numbers) if n is None]
-            missing = [keys[i] for i in where]
+        numbers = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        where = np.flatnonzero(numbers < 0)
+        if len(where):
+            missing = [keys[i] for i in where.tolist()]
             self._learn(missing)
-            for i, n in zip(where, map(self.known.__getitem__, missing), strict=True):
-                numbers[i] = n
-        return np.array(numbers, np.int64)
+            numbers[where] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
+        return numbers
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece numbers of all texts in a row, and how many each text has."""
@@ -178,7 +177,7 @@ class PieceCache:
 
 #: Fixed value: the words of a byte-level pre-tokenizer that has no pattern of its own.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -225,13 +224,18 @@ def _library_encode(tokenizer, told: dict, lowers: bool) -> Encode:
     plain = all(s["type"] in ("NFC", "Replace", "Lowercase") for s in (told["normalizer"] or {}).get("normalizers", []))
     words = regex.compile(pattern) if pattern and plain else None
     letter_of = {b: letter for letter, b in byte_letters().items()}
-    letters = {b: ord(letter_of[b]) for b in range(256)}
+    letters, space = {b: ord(letter_of[b]) for b in range(256)}, letter_of[32]
+    spaced = pattern == BYTE_LEVEL_WORDS  # the space before a word is a part of it
     known: dict[str, tuple[int, ...]] = {}
 
     def of_word(word: str) -> tuple[int, ...]:
         if len(known) > MOST_WORDS:
             known.clear()
-        ids = tuple([t.id for t in model.tokenize(word.encode().decode("latin-1").translate(letters))])
+        if word.isascii() and word.isprintable():
+            spelled = word.replace(" ", space)
+        else:
+            spelled = word.encode().decode("latin-1").translate(letters)
+        ids = tuple([t.id for t in model.tokenize(spelled)])
         known[word] = ids
         return ids
 
@@ -243,6 +247,11 @@ def _library_encode(tokenizer, told: dict, lowers: bool) -> Encode:
                 others.append(len(found))
                 found.append(None)
                 continue
+            bare = text[1:] if text.startswith(" ") else text
+            if bare.isalpha():  # most pieces are one word
+                word = text if spaced else bare
+                found.append(known.get(word) or of_word(word))
+                continue
             own: list[int] = []
             for word in words.findall(text):
                 own += known.get(word) or of_word(word)
