@@ -50,7 +50,7 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
-def groups_of_texts(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
+def groups_of_texts(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """(first position, texts) in order, of about `most` characters each; a longer
     text stands alone."""
     start, size = 0, 0

@@ -159,7 +159,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
 class Labeller:
     """Scores of words are kept, as most words come again."""
 
-    MOST_WORDS = 400_000
+    MOST_WORDS = 150_000
 
     def __init__(self, model: Model):
         self.model = model

@@ -47,7 +47,7 @@ BINS, SKETCH_WORDS = 1024, 16
 ROUNDS = 3
 #: Standard deviations below the threshold at which a sketch refuses a pair.
 DEVIATIONS = 6.0
-MOST_WORDS = 200_000
+MOST_WORDS = 100_000
 
 
 class _WordHashes(dict):

@@ -19,7 +19,7 @@ Encode = Callable[[list[str]], list[list[int]]]
 
 #: Bounds of the cache: pieces, and characters in them. Beyond, pieces go that were not
 #: met again since the last time.
-MOST_PIECES, MOST_CHARS = 600_000, 24_000_000
+MOST_PIECES, MOST_CHARS = 300_000, 12_000_000
 
 # A key is a piece as split() leaves it: its space is taken off, a line end is not.
 FIRST = " "  # before the piece that starts a text
@@ -177,7 +177,7 @@ class PieceCache:
 
 #: Fixed value: the words of a byte-level pre-tokenizer that has no pattern of its own.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MOST_WORDS = 200_000
+MOST_WORDS = 100_000
 
 
 def byte_letters() -> dict[str, int]:
