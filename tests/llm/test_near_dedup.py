@@ -86,6 +86,22 @@ def test_sketches_tell_similarity(spark, size):
     assert shares[0.55] == 0.0 or size == 5
 
 
+@pytest.mark.parametrize(("union", "pairs"), [(50, 20_000), (100, 30_000), (250, 30_000), (500, 15_000), (1000, 5_000)])
+def test_no_sketch_refuses_a_pair_at_the_threshold(spark, union, pairs):
+    """Of 100,000 pairs of similarity 0.80 exactly none is refused."""
+    rng, common, rows = np.random.default_rng(union), union * 4 // 5, []
+    middle = common + (union - common) // 2
+    for _ in range(pairs // 2500):
+        pool = rng.integers(0, 1 << 63, (2500, union), np.uint64) * np.uint64(2) + rng.integers(0, 2, (2500, union), np.uint64)
+        left, right = np.sort(pool[:, :middle], axis=1), np.sort(np.delete(pool, range(common, middle), axis=1), axis=1)
+        (a, n), (b, m) = near_dedup.odd_sketches(list(left)), near_dedup.odd_sketches(list(right))
+        rows += zip(np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1).tolist(), (n + m).tolist(), strict=True)
+    told = spark.createDataFrame(rows, "bits long, samples long")
+    sizes = F.lit(union + common)
+    passes = near_dedup._shared_samples(F.col("bits"), F.col("samples")) >= near_dedup._least_shared(sizes, F.col("samples"), 0.8)
+    assert told.where(~passes).count() == 0 and len(rows) == pairs
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(3, 3), (260, 159), (1, 2), (2, 1)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
