@@ -2,7 +2,7 @@
 
 Documents in ascending order of id are cut into blocks of a bounded number of ids. In
 each block the frequent pairs of neighbours are replaced by nonterminals, again and
-again, until no pair is frequent any more or the limit of rounds is reached. The block
+again, until no pair is frequent any more. The block
 keeps its rules and, for each rule, how many ids it expands to, so that a document is
 decoded from its own stretch of the compressed sequence and nothing else.
 
@@ -32,20 +32,19 @@ from factpanel.llm.pieces import cache_of
 
 BLOCK_IDS = 1 << 20
 #: A pair has to occur this often in what is left of a block to become a rule.
-LEAST_COUNT, ROUNDS = 16, 3
+LEAST_COUNT = 16
 BUCKETS = 1 << 20
 
 
-def _pairs(ids: np.ndarray) -> np.ndarray:
-    return (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:].astype(np.uint64)
-
-
 def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(frequent, rank): the pairs that occur at least `least` times, most frequent first,
     and at each position the rank of its pair, -1 if that is not frequent. A count of
     hashed pairs leaves out most of the rare ones before the exact count."""
-    hashed = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-    often = np.flatnonzero((np.bincount(hashed, minlength=BUCKETS) >= least)[hashed])
+    if len(pairs) > BUCKETS // 8:
+        hashed = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
+        often = np.flatnonzero((np.bincount(hashed, minlength=BUCKETS) >= least)[hashed])
+    else:
+        often = np.arange(len(pairs))
     values, counts = np.unique(pairs[often], return_counts=True)
     values, counts = values[counts >= least], counts[counts >= least]
     rank = np.full(len(pairs), -1, np.int32)
@@ -61,49 +60,71 @@ def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return values, rank
 
 
-def _chosen(rank: np.ndarray) -> np.ndarray:
-    """Positions of pairs to replace: rank has the rank of the pair that starts there, -1
-    where it is no rule. A pair goes first if both neighbours that overlap it rank behind;
-    then every second one of what is still free in a row."""
+def _chosen(rank: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """Which pairs to replace: rank has the rank of each pair, -1 where it is no rule, and
+    joined whether the next pair starts with the last symbol of this one. A pair goes first
+    if both neighbours that overlap it rank behind; then every second one of what is still
+    free in a row."""
     none = np.iinfo(rank.dtype).max
     own = np.where(rank < 0, none, rank)
-    before = np.concatenate([[none], own[:-1]])
-    after = np.concatenate([own[1:], [none]])
+    before, after = np.full_like(own, none), np.full_like(own, none)
+    before[1:] = np.where(joined, own[:-1], none)
+    after[:-1] = np.where(joined, own[1:], none)
     best = (rank >= 0) & (own < before) & (own < after)
     blocked = best.copy()
-    blocked[1:] |= best[:-1]
-    blocked[:-1] |= best[1:]
-    free = (rank >= 0) & ~blocked
-    where = np.flatnonzero(free)
+    blocked[1:] |= best[:-1] & joined
+    blocked[:-1] |= best[1:] & joined
+    where = np.flatnonzero((rank >= 0) & ~blocked)
     if len(where):
-        starts = np.flatnonzero(np.diff(where, prepend=-2) != 1)
+        linked = (np.diff(where) == 1) & joined[where[:-1]]
+        starts = np.flatnonzero(np.concatenate([[True], ~linked]))
         run = np.repeat(starts, np.diff(np.append(starts, len(where))))
         best[where[(np.arange(len(where)) - run) % 2 == 0]] = True
     return np.flatnonzero(best)
 
 
-def compress(ids: np.ndarray, first_rule: int, least: int = LEAST_COUNT, rounds: int = ROUNDS):
+def compress(ids: np.ndarray, first_rule: int, least: int = LEAST_COUNT, rounds: int | None = None):
     """(sequence, rules): rules[i] is the pair that symbol first_rule + i stands for, of
-    ids or of earlier rules."""
-    sequence, rules = ids.astype(np.uint32), np.zeros((0, 2), np.uint32)
-    for _ in range(rounds):
-        if len(sequence) < 2:
-            break
-        pairs = _pairs(sequence)
+    ids or of earlier rules. Without `rounds` it ends when no pair is frequent.
+
+    Symbols stay in place and are linked to the next one. A pair that was rare in a pass
+    stays rare, so a pass only looks at frequent pairs that were not replaced in the one
+    before, and at pairs with a new symbol.
+    """
+    symbols, n = ids.astype(np.uint32), len(ids)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    stands, open_ = np.ones(n, bool), np.zeros(n, bool)
+    made, count, turn = [np.zeros((0, 2), np.uint32)], 0, 0
+    starts = np.arange(max(0, n - 1))
+    while len(starts) and (rounds is None or turn < rounds):
+        seconds = after[starts]
+        pairs = (symbols[starts].astype(np.uint64) << np.uint64(32)) | symbols[seconds].astype(np.uint64)
         frequent, rank = _ranked(pairs, least)
         if not len(frequent):
             break
-        chosen = _chosen(rank)
+        left = np.flatnonzero(rank >= 0)
+        starts, seconds, rank = starts[left], seconds[left], rank[left]
+        chosen = _chosen(rank, seconds[:-1] == starts[1:])
         used, number = np.unique(rank[chosen], return_inverse=True)
-        made = frequent[used]
-        symbols = first_rule + len(rules)
-        rules = np.concatenate([rules, np.stack([made >> np.uint64(32), made & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)])
-        sequence = sequence.copy()
-        sequence[chosen] = (symbols + number).astype(np.uint32)
-        keep = np.ones(len(sequence), bool)
-        keep[chosen + 1] = False
-        sequence = sequence[keep]
-    return sequence, rules
+        rules = frequent[used]
+        made.append(np.stack([rules >> np.uint64(32), rules & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        at, gone = starts[chosen], seconds[chosen]
+        symbols[at] = (first_rule + count + number).astype(np.uint32)
+        stands[gone] = False
+        following = after[gone]
+        after[at] = following
+        inside = following < n
+        before[following[inside]] = at[inside]
+        count, turn = count + len(used), turn + 1
+        open_[starts] = True
+        open_[at] = True
+        previous = before[at]
+        open_[previous[previous >= 0]] = True
+        open_[gone] = False
+        found = np.flatnonzero(open_)
+        open_[found] = False
+        starts = found[after[found] < n]
+    return symbols[stands], np.concatenate(made)
 
 
 def expansion_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
@@ -120,18 +141,25 @@ def expansion_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
 
 
 def expand(sequence: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """The ids that a stretch of the compressed sequence stands for."""
-    while len(rules) and len(sequence) and (sequence >= first_rule).any():
-        ruled = sequence >= first_rule
-        sizes = 1 + ruled
-        ends = np.cumsum(sizes)
-        wider = np.empty(ends[-1], np.uint32)
-        wider[ends - sizes] = sequence
-        pair = rules[sequence[ruled] - first_rule]
-        wider[ends[ruled] - 2] = pair[:, 0]
-        wider[ends[ruled] - 1] = pair[:, 1]
-        sequence = wider
-    return sequence
+    """The ids that a stretch of the compressed sequence stands for. Each symbol is taken
+    apart at the place where its ids go, so that rules of any depth cost a step per symbol."""
+    lengths = expansion_lengths(rules, first_rule)
+    symbols = sequence.astype(np.int64)
+    sizes = np.ones(len(symbols), np.int64)
+    ruled = symbols >= first_rule
+    sizes[ruled] = lengths[symbols[ruled] - first_rule]
+    ends = np.cumsum(sizes)
+    places = ends - sizes
+    ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+    while len(symbols):
+        ruled = symbols >= first_rule
+        ids[places[~ruled]] = symbols[~ruled]
+        pair, start = rules[symbols[ruled] - first_rule].astype(np.int64), places[ruled]
+        first = np.ones(len(pair), np.int64)
+        deeper = pair[:, 0] >= first_rule
+        first[deeper] = lengths[pair[deeper, 0] - first_rule]
+        symbols, places = np.concatenate([pair[:, 0], pair[:, 1]]), np.concatenate([start, start + first])
+    return ids
 
 
 def decode_range(block: dict, start: int, length: int) -> np.ndarray:

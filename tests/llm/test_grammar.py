@@ -30,6 +30,18 @@ def test_repeats_become_rules():
     assert len(sequence) + 2 * len(rules) < len(ids) / 4
 
 
+def test_no_frequent_pair_is_left():
+    """A long passage that comes again and again becomes one rule, at the default."""
+    rng = np.random.default_rng(3)
+    passage, odd = rng.integers(0, 5000, 300), rng.integers(5000, 60_000, 4000)
+    ids = np.concatenate([np.append(passage, odd[2 * i : 2 * i + 2]) for i in range(2000)]).astype(np.uint32)
+    sequence, rules = grammar.compress(ids, 1 << 16)
+    assert grammar.expand(sequence, rules, 1 << 16).tolist() == ids.tolist()
+    _, counts = np.unique(np.stack([sequence[:-1], sequence[1:]]), axis=1, return_counts=True)
+    assert counts.max() < grammar.LEAST_COUNT
+    assert len(sequence) <= 3 * 2000 and grammar.expansion_lengths(rules, 1 << 16).max() == 300
+
+
 @pytest.mark.parametrize("block_ids", [50, 1 << 20])
 def test_files_hold_every_document(spark, odd_docs, block_ids):
     path = new_path(spark, "grammar")
