@@ -12,13 +12,15 @@ records are those on the chain of successors that starts at the start of the fil
 Inside a split the chains are followed in the task, which leaves one pointer from each
 candidate to the first place behind the split. Over splits, pointer jumping doubles the
 known part of the chain in each round. A candidate off the chain is part of a payload,
-and its bytes go back to the record that they came from.
+and its bytes go back to the record that they came from. They are read from the archives
+again, where the splits may be others, and found by file and digest of their bytes.
 
 Defined cases
 - A null html is an empty payload. Pages with empty payloads also revisit each other. A
   null url becomes an empty target; a null page_id sorts below any other, and its
   records carry an empty id. Of equal rows exactly one is the response.
 - Other columns take no part. An empty table gives archives without records.
+- A response whose archive ends before its Content-Length does has no payload and digest.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from factpanel.llm.common import new_path, stored
 
 MAGIC = "WARC/1.1\r\n"
 SEPARATOR = "\r\n\r\n"
-#: Groups of equal payloads, and parts of cut payloads, are broadcast up to this many (they
-#: are short rows), and joined by a shuffle beyond.
+#: Groups of equal payloads, and digests of parts of payloads, are broadcast up to this many
+#: (they are short rows), and joined by a shuffle beyond.
 BROADCAST_ROWS = 100_000
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -112,8 +114,9 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:
-    """(file, split, number, data): what stands between two magics, numbered in the order of
-    the file. The first segment of a file is what stands before its first magic."""
+    """(file, split, number, value): what stands between two magics, numbered in the order of
+    the file. The first segment of a file is what stands before its first magic. Splits and
+    numbers differ between reads, as they follow the cores that Spark has at the time."""
     lines = spark.read.option("lineSep", MAGIC).text(path)
     return lines.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
@@ -121,6 +124,11 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _own_digest() -> Column:
+    """Names a segment by its bytes, the same in every read."""
+    return F.unhex(F.sha2(F.col("value").cast("binary"), 256))
+
+
 def _candidates(spark: SparkSession, path: str) -> DataFrame:
     """A row per segment: its bytes, what its header says, and, if the payload that the header
     promises lies in the segment whole, the bytes and the digest of that payload."""
@@ -136,7 +144,7 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
             "head_bytes": F.when(F.octet_length("head") + len(SEPARATOR) <= F.octet_length("value"), head_bytes).cast("long"),
             "kind": field("WARC-Type"), "name": field("WARC-Record-ID"), "said_digest": field("WARC-Payload-Digest"),
             "said_bytes": field("WARC-Payload-Length"), "refers": field("WARC-Refers-To"),
-            "content": field("Content-Length"),
+            "content": field("Content-Length"), "segment": _own_digest(),
         }
     ).withColumn("content", F.expr("try_cast(content AS BIGINT)"))
     whole = F.col("head_bytes") + F.col("content") + len(SEPARATOR) == F.col("bytes")
@@ -202,7 +210,9 @@ def _on_chain(entries, table):
 def chained(spark: SparkSession, path: str) -> DataFrame:
     """The candidates of the archives below path with `owner`: the place of the record that
     they start, or of the one that they are a part of."""
-    candidates = stored(_placed(_candidates(spark, path)), "candidates")
+    # one read only: places are sums over all segments of the very same splits
+    segments = stored(_candidates(spark, path), "segments")
+    candidates = stored(_placed(segments.select("file", "split", "number", "bytes", "head_bytes", "content")), "candidates")
     pointers = candidates.select("file", "split", "place", "end").groupBy("file", "split")
     jumps = stored(pointers.applyInArrow(_exits, "file string, place long, goes long").where("goes >= 0"), "jumps")
     reached = candidates.where("place = 0").select("file", "place")
@@ -226,19 +236,26 @@ def chained(spark: SparkSession, path: str) -> DataFrame:
     by_split = by_split.select("file", "split", F.max("last").over(before).alias("before"))
     marks = marks.join(by_split, ["file", "split"])
     owner = F.when(F.col("owner") >= 0, F.col("owner")).otherwise(F.col("before"))
-    marks = marks.select("file", "split", "number", owner.alias("owner"))
-    return candidates.join(marks, ["file", "split", "number"])
+    marks = marks.select("file", "split", "number", "place", owner.alias("owner"))
+    return segments.join(marks, ["file", "split", "number"])
 
 
 def _payloads(spark: SparkSession, path: str, parts: DataFrame) -> DataFrame:
     """(file, owner, payload) of the records with these parts, put together from them."""
-    parts = parts.select("file", "split", "number", "owner", "place")
-    few = parts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = _segments(spark, path).join(F.broadcast(parts) if few else parts, ["file", "split", "number"])
-    whole = texts.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("parts"))
+    parts = parts.select("file", "segment", "owner", "place", F.when(F.col("place") == F.col("owner"), F.col("content")).alias("content"))
+    wanted = stored(parts.select("file", "segment").distinct(), "wanted")
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = _segments(spark, path).select("file", _own_digest().alias("segment"), "value")
+    texts = texts.join(F.broadcast(wanted) if few else wanted, ["file", "segment"]).dropDuplicates(["file", "segment"])
+    lost = F.raise_error(F.lit("a part of a payload was not found again")).cast("string")
+    found = parts.join(texts, ["file", "segment"], "left").withColumn("value", F.coalesce("value", lost))
+    whole = found.groupBy("file", "owner").agg(
+        F.sort_array(F.collect_list(F.struct("place", "value"))).alias("parts"), F.max("content").alias("content")
+    )
     record = F.array_join(F.col("parts.value"), MAGIC)
     payload = F.substr(record, F.instr(record, SEPARATOR) + len(SEPARATOR))
-    return whole.select("file", "owner", F.substr(payload, F.lit(1), F.length(payload) - len(SEPARATOR)).alias("payload"))
+    payload = F.substr(payload, F.lit(1), F.length(payload) - len(SEPARATOR))
+    return whole.select("file", "owner", F.when(F.octet_length(payload) == F.col("content"), payload).alias("payload"))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

@@ -48,6 +48,24 @@ def test_payloads_come_back(spark, conf):
     assert sorted(found) == sorted({html or "" for _, _, html, _ in ROWS})
 
 
+@pytest.mark.parametrize(("first", "later"), [("4k", "128m"), ("128m", "4k")])
+def test_splits_may_differ_between_reads(spark, conf, monkeypatch, first, later):
+    """The archives are read twice; the second read may be split in another way."""
+    path, read, reads = new_path(spark, "warc"), warc._segments, []
+    warc.write_archives(spark.createDataFrame(ROWS, KINDS).repartition(2), path)
+    conf(spark__sql__files__maxPartitionBytes=first, spark__sql__files__openCostInBytes="1k")
+
+    def segments(spark, path):
+        reads.append(path)
+        if len(reads) > 1:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", later)
+        return read(spark, path)
+
+    monkeypatch.setattr(warc, "_segments", segments)
+    found = warc.read_records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert len(reads) == 2 and sorted(map(tuple, found), key=str) == expected()
+
+
 def test_files_are_valid_archives(spark, tmp_path):
     path = f"{tmp_path}/warc"
     warc.write_archives(spark.createDataFrame(ROWS[:8], KINDS).coalesce(1), path)
