@@ -6,7 +6,7 @@ model over hashed character n-grams scores the word for each of them, and Viterb
 decoding with a penalty for each switch of language labels the words of a document, so
 that single odd words stay in their surroundings while longer passages in another
 language become spans of their own. The document's language is the one that labels the
-most letters; its score is the share of those letters.
+most letters; its score is their share of all letters of the document.
 
 The model is trained on a bounded sample: about SAMPLE_DOCS labelled documents per
 language, drawn by a hash of their content, for at most MOST_LANGUAGES languages (the
@@ -102,7 +102,8 @@ class Model:
 
     def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(scores, letters): how much each word speaks against each language (0 for its best,
-        MOST_AGAINST at most, all 0 if it has no candidate), and its number of letters."""
+        MOST_AGAINST at most, all 0 if it has no candidate), and its number of letters, as a
+        negative number if it has no candidate."""
         cleaned = list(map(letters_of, words))
         letters = np.fromiter(map(len, cleaned), np.int64, len(cleaned))
         scores = np.zeros((len(words), len(self.languages)), np.float32)
@@ -119,7 +120,7 @@ class Model:
         best = np.where(known, sums.max(axis=1), 0)
         against = np.minimum(best[:, None] - sums, MOST_AGAINST)
         scores[filled] = np.where(known[:, None], -against, 0)
-        letters[filled[~known]] = 0
+        letters[filled[~known]] *= -1
         return scores, letters
 
 
@@ -171,8 +172,8 @@ class Labeller:
         self.letters = np.zeros(1 << 14, np.int64)
 
     def label(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(labels, letters, sizes): label and letters of all words in a row, and the number
-        of words of each text."""
+        """(labels, letters, sizes): label and letters (see score_words) of all words in a row,
+        and the number of words of each text."""
         if len(self.known) > self.MOST_WORDS:
             self._clear()
         cut = [t.split() for t in texts]
@@ -266,8 +267,8 @@ def _told(labeller: Labeller, texts: list[str]) -> list[tuple[str, float, list[d
     labels, letters, sizes = labeller.label(texts)
     n = len(languages)
     doc = np.repeat(np.arange(len(texts)), sizes)
-    votes = np.bincount(doc * n + labels, weights=letters, minlength=len(texts) * n).reshape(len(texts), n)
-    total, best = votes.sum(axis=1), votes.argmax(axis=1)
+    votes = np.bincount(doc * n + labels, weights=np.maximum(letters, 0), minlength=len(texts) * n).reshape(len(texts), n)
+    total, best = np.bincount(doc, weights=np.abs(letters), minlength=len(texts)), votes.argmax(axis=1)
     cuts = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(labels, prepend=-1) != 0))
     ends = np.append(cuts[1:], len(labels))
     starts = np.cumsum(sizes) - sizes
@@ -275,7 +276,7 @@ def _told(labeller: Labeller, texts: list[str]) -> list[tuple[str, float, list[d
     for a, b, d, label in zip(cuts.tolist(), ends.tolist(), doc[cuts].tolist(), labels[cuts].tolist(), strict=True):
         spans[d].append({"lang": languages[label], "start": a - int(starts[d]), "words": b - a})
     return [
-        (languages[best[i]], float(votes[i, best[i]] / total[i]), spans[i]) if total[i] else (UNDETERMINED, 0.0, [])
+        (languages[best[i]], float(votes[i, best[i]] / total[i]), spans[i]) if votes[i, best[i]] else (UNDETERMINED, 0.0, [])
         for i in range(len(texts))
     ]
 

@@ -55,6 +55,13 @@ def test_spans_of_mixed_text(spark, docs):
     assert sum(s.words for s in row.spans) == len(text.split())
 
 
+def test_letters_of_unknown_scripts_count(spark, docs):
+    text = "λόγος " * 200 + "the"
+    made = language.predict(spark.createDataFrame([(1, text)], "doc_id long, text string"), language.train(docs))
+    (row,) = made.collect()
+    assert row.lang_pred == "en" and row.score == pytest.approx(3 / 1003)
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(4)
     sizes = np.array([0, 1, 5, 3, 6, 0])
