@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factpanel.llm import bitsliced, chat, exact_dedup, grammar, language, near_dedup, packing, pair_index, warc, wordpiece
+from factpanel.llm import (
+    alignment, bitsliced, chat, exact_dedup, grammar, language, merkle, near_dedup, packing, pair_index, token_groups, warc, wordpiece,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +74,20 @@ def op10_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op11_pointer_jump_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return alignment.alignment(_table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_pointer_jump_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return merkle.manifest(documents, merkle.without_line_ends(documents))
+
+
+def op13_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_groups.jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_harmonic_packing": op1_harmonic_packing,
@@ -84,4 +100,7 @@ def queries() -> dict[str, Query]:
         "op8_pair_index_bpe": op8_pair_index_bpe,
         "op9_heavy_hitter_dedup": op9_heavy_hitter_dedup,
         "op10_odd_sketch_near_dedup": op10_odd_sketch_near_dedup,
+        "op11_pointer_jump_alignment": op11_pointer_jump_alignment,
+        "op12_pointer_jump_proofs": op12_pointer_jump_proofs,
+        "op13_token_group_join": op13_token_group_join,
     }

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are
 
 def test_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
-    assert sorted(n.split("_")[0] for n in queries.queries()) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in queries.queries()) == sorted(f"op{i}" for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(oracle.oracle_sql()))
