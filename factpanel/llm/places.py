@@ -15,6 +15,20 @@ def in_ranges(df: DataFrame, keys: list[str], order: list[str], name: str) -> Da
     return stored(df.repartitionByRange(*keys, *order).withColumn("part", F.spark_partition_id()), name)
 
 
+def _with_earlier(ranged: DataFrame, keys: list[str], weight: Column) -> DataFrame:
+    """ranged with `before`: the weight of the rows of equal keys in the ranges before."""
+    weights = ranged.groupBy(*keys, "part").agg(F.sum(weight).alias("weight"))
+    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    weights = weights.select(
+        *[F.col(k).alias(f"key_{k}") for k in keys],
+        F.col("part").alias("key_part"), F.coalesce(F.sum("weight").over(earlier), F.lit(0)).alias("before"),
+    )
+    same: Column = F.col("part") == F.col("key_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"key_{k}"))
+    return ranged.join(weights, same).select(*ranged.columns, "before")
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """df with `place`: 0, 1, ... in the given order among the rows of equal keys (null is a
     key too, and comes first in an order).
@@ -22,25 +36,18 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> Dat
     Rows are numbered inside their range; the counts of the ranges before it are added.
     """
     ranged = in_ranges(df, keys, order, name)
-    counts = ranged.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("rows"))
-    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(
-        *[F.col(k).alias(f"key_{k}") for k in keys],
-        F.col("part").alias("key_part"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
-    )
     inside = Window.partitionBy(*keys, "part").orderBy(*order)
     own = ranged.withColumn("place", F.row_number().over(inside) - 1)
-    same: Column = F.col("part") == F.col("key_part")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"key_{k}"))
-    return own.join(counts, same).withColumn("place", F.col("place") + F.col("before")).select(*df.columns, "place")
+    return _with_earlier(own, keys, F.lit(1)).withColumn("place", F.col("place") + F.col("before")).select(*df.columns, "place")
 
 
 def in_blocks(df: DataFrame, keys: list[str], order: list[str], weight: str, most: int, name: str) -> DataFrame:
     """df with `block`, a struct: rows of equal keys, in the given order, cut where their
-    weights reach a multiple of `most`, so that a block weighs less than `most` and one row."""
+    weights reach a multiple of `most`, so that a block weighs less than `most` and one row,
+    on any number of ranges."""
     ranged = in_ranges(df, keys, order, name)
     so_far = Window.partitionBy(*keys, "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(weight).over(so_far), F.lit(0))
-    number = F.floor(before / F.lit(most)).cast("long")
-    return ranged.withColumn("block", F.struct(*keys, "part", number.alias("number"))).drop("part")
+    own = ranged.withColumn("so_far", F.coalesce(F.sum(weight).over(so_far), F.lit(0)))
+    number = F.floor((F.col("so_far") + F.col("before")) / F.lit(most)).cast("long")
+    placed = _with_earlier(own, keys, F.col(weight))
+    return placed.withColumn("block", F.struct(*keys, number.alias("number"))).select(*df.columns, "block")
