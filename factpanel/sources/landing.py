@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from factpanel.operators.unions import union_by_name
 from factpanel.schema import PERIOD_COLS, RELEASE_TABLES
 from factpanel.sources.files import header_lines, list_files
+from factpanel.sources.ranges import RANGE_BYTES, records
 
 log = logging.getLogger(__name__)
 
@@ -27,10 +28,6 @@ QUARTER_FOLDER = r"/([0-9]{4})_([1-4])/source/"
 MONTH_FOLDER = r"/([0-9]{4})_(0[1-9]|1[0-2])/source/"
 
 
-# Tables whose quoted fields hold line ends. Files of the others are split.
-MULTI_LINE_TABLES = {"txt"}
-
-
 @dataclass(frozen=True)
 class Landed:
     """Outcome of one table: rows written, rows rejected, or the error."""
@@ -49,33 +46,35 @@ def _too_long(raw: Column, width: int) -> Column:
 
 
 def read_tsv(
-    spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool = False
+    spark: SparkSession,
+    paths: list[str],
+    columns: list[str],
+    multi_line: bool | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Rows of tab-separated files that share one header, all columns text.
 
-    Latin-1, quoted fields with doubled quotes. Files are split between tasks;
-    ``multi_line`` allows line ends inside quoted fields, but then a file is read by one
-    task, so pass it for files that need it only. Short rows are padded with null and the texts that
-    mean missing become null. ``_rejected`` marks rows with too many fields.
+    Latin-1, quoted fields with doubled quotes, which may hold tabs and line ends. Files are
+    read by byte ranges (see :mod:`factpanel.sources.ranges`), so that a large one is many
+    tasks. ``multi_line`` chooses Spark's own reader instead, which either cuts at every
+    line end (False) or reads a file in one task (True). Short rows are padded with null
+    and the texts that mean missing become null. ``_rejected`` marks rows with too many fields.
     """
     fields = [T.StructField(c, T.StringType()) for c in columns]
     schema = T.StructType([*fields, T.StructField("_raw", T.StringType())])
-    rows = (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("header", "true")
-        .option("encoding", "ISO-8859-1")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_raw")
-        .option("columnPruning", "false")
-        .csv(paths)
-    )
+    options = {"sep": "\t", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_raw"}
+    if multi_line is None:
+        files = spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("bytes"))
+        told = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+        parsed = F.from_csv("record", F.lit(told), options | {"multiLine": "true"}).alias("row")
+        rows = records(files, range_bytes).select(F.col("path").alias("_path"), parsed).select("_path", "row.*")
+    else:
+        reader = spark.read.schema(schema).options(**options, header="true", encoding="ISO-8859-1", columnPruning="false")
+        rows = reader.option("multiLine", str(multi_line).lower()).csv(paths)
+        rows = rows.select(F.col("_metadata.file_path").alias("_path"), *columns, "_raw")
     made = {c: F.when(~F.col(c).isin(MISSING_TEXTS), F.col(c)) for c in columns}
     return rows.select(
-        F.col("_metadata.file_path").alias("_path"),
+        "_path",
         *[made[c].alias(c) for c in columns],
         _too_long(F.col("_raw"), len(columns)).alias("_rejected"),
     )
@@ -94,6 +93,7 @@ def read_release(
     months: bool = False,
     only: list[tuple[int, int]] | None = None,
     multi_line: bool | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame | None:
     """One table of all release folders ``<raw_root>/Y_P/source/<table>.tsv``.
 
@@ -109,8 +109,6 @@ def read_release(
         for n in names:
             hit = hit | F.col("path").contains(n)
         files = files.where(hit)
-    if multi_line is None:
-        multi_line = table in MULTI_LINE_TABLES
     by_header: dict[str, list[str]] = {}
     # one line per file: bounded by the number of release folders
     for path, header in header_lines(files).collect():
@@ -120,7 +118,7 @@ def read_release(
     parts = []
     for header, paths in sorted(by_header.items()):
         columns = [c.strip('"') for c in header.split("\t")]
-        parts.append(read_tsv(spark, sorted(paths), columns, multi_line))
+        parts.append(read_tsv(spark, sorted(paths), columns, multi_line, range_bytes))
     return union_by_name(*parts).withColumns(_folder_cols(months)).drop("_path")
 
 
