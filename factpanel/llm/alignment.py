@@ -77,6 +77,16 @@ def links_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
     return left, np.arange(len(left)) + np.repeat(first - (after - counts), counts)
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers as all their lowest bytes, then all the next ones: as most are small, most of these
+    bytes are zeros in a row, which the files and shuffles of Spark compress."""
+    return numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 class Tokenizers:
     """Ids and bytes of pieces by both tokenizers."""
 
@@ -130,14 +140,30 @@ class Aligned:
         self.counts = np.zeros((1 << 12, 4), np.int64)  # tokens of A and B, groups, links
         self.pairs = np.zeros(1 << 14, np.int64)
         self.at = np.zeros(1 << 12, np.int64)
+        self.met = np.zeros(1 << 12, np.int64)
         self.used = 0
 
+    def shrink(self) -> None:
+        """Keep the half that was met most, of what was met again since the last time."""
+        met = self.met[: len(self.texts)]
+        kept = np.argsort(-met, kind="stable")[: MOST_PIECES // 2]
+        kept = np.sort(kept[met[kept] > 1])
+        if self.counts[kept, 3].sum() > MOST_LINKS // 2:
+            kept = kept[:0]
+        pieces = list(self.known)  # in the order of their numbers
+        pieces, texts = [pieces[i] for i in kept.tolist()], [self.texts[i] for i in kept.tolist()]
+        counts, pairs = self.counts[kept], self.links(kept)
+        self.clear()
+        self._keep(pieces, texts, counts, pairs)
+
     def numbers(self, pieces: list[str]) -> np.ndarray:
         known = self.known
         new = [p for p in dict.fromkeys(pieces) if p not in known]
         if new:
             self.learn(new)
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        made = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        self.met[: len(known)] += np.bincount(made, minlength=len(known))
+        return made
 
     def learn(self, pieces: list[str]) -> None:
         told = self.tokenizers
@@ -181,7 +207,7 @@ class Aligned:
     def _keep(self, pieces: list[str], texts: list[str | None], counts: np.ndarray, pairs: np.ndarray) -> None:
         first = len(self.texts)
         while first + len(pieces) > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+            self.at, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.met))
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
         while self.used + len(pairs) > len(self.pairs):
             self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
@@ -203,7 +229,7 @@ class Aligned:
         """What a batch of texts holds, as one row: for each text its counts and digest, its
         distinct pieces and how often it has them; for each piece its pairs; the pairs."""
         if len(self.known) > MOST_PIECES or self.used > MOST_LINKS:
-            self.clear()
+            self.shrink()
         pieces: list[str] = []
         sizes = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
@@ -235,8 +261,8 @@ class Aligned:
         times = np.bincount(local, minlength=len(distinct))
         links = np.bincount(place, np.repeat(times, met), minlength=len(pairs)).astype(np.int64)
         return {
-            "counts": counts, "digests": digests, "cells": cells, "often": often, "met": met, "place": place,
-            "pairs": pairs, "links": links,
+            "counts": counts, "digests": digests, "cells": np.diff(cells, prepend=0),
+            "often": often, "met": met, "place": place, "pairs": pairs, "links": links,
         }
 
 
@@ -255,7 +281,7 @@ COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 def batches_of(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """One row for each batch of texts: (batch, doc_ids, counts, digests; cells, often: the
-    distinct pieces of each text and how often it has them; met, place: the pairs of each
+    distinct pieces of each text, ascending, as steps, and how often it has them; met, place: the pairs of each
     piece; pairs, links: the distinct pairs and how many links have them)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     packed = ["cells", "often", "met", "place"]
@@ -270,7 +296,7 @@ def batches_of(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 columns = [pa.array([secrets.randbits(63)], pa.int64()), ids]
                 columns += [pa.array([c.tolist()], pa.list_(pa.int64())) for c in made["counts"]]
                 columns += [pa.array([made["digests"]], pa.list_(pa.string()))]
-                columns += [pa.array([made[p].astype(np.int64 if p == "cells" else np.int32).tobytes()], pa.binary()) for p in packed]
+                columns += [pa.array([planes(made[p])], pa.binary()) for p in packed]
                 columns += [pa.array([made[p]], pa.list_(pa.int64())) for p in ("pairs", "links")]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -308,22 +334,17 @@ def alignment(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for i in range(batch.num_rows):
                 ids = batch.column(0)[i].values
                 own = [batch.column(c)[i].values for c in range(1, 6)]
-                cells, often, met, place = (
-                    np.frombuffer(batch.column(c)[i].as_py(), kind) for c, kind in ((6, np.int64), (7, np.int32), (8, np.int32), (9, np.int32))
-                )
+                cells, often, met, place = (from_planes(batch.column(c)[i].as_py()) for c in range(6, 10))
                 told = batch.column(10)[i]
+                text, held = np.divmod(np.cumsum(cells), max(1, len(met)))
                 sums = []
                 for name in ("best", "count"):
-                    if not len(cells):
-                        sums.append(np.zeros(len(ids), np.int64))
-                        continue
-                    values = np.asarray(told.values.field(name).to_numpy(zero_copy_only=False), np.int64)[place]
-                    before = np.concatenate([[0], np.cumsum(values)])
-                    ends = np.cumsum(met)
-                    by_piece = before[ends] - before[ends - met]
-                    text, piece = np.divmod(cells, len(met))
                     total = np.zeros(len(ids), np.int64)
-                    np.add.at(total, text, by_piece[piece] * often)
+                    if len(held):
+                        values = np.asarray(told.values.field(name).to_numpy(zero_copy_only=False), np.int64)[place]
+                        before, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(met)
+                        by_piece = before[ends] - before[ends - met]
+                        np.add.at(total, text, by_piece[held] * often)
                     sums.append(total)
                 columns = [ids, *own[:4], *[pa.array(s, pa.int64()) for s in sums], own[4]]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *COUNTS, "n_best", "count_sum", "groups_sha256"])
