@@ -20,7 +20,9 @@ Defined cases
   null url becomes an empty target; a null page_id sorts below any other, and its
   records carry an empty id. Of equal rows exactly one is the response.
 - Other columns take no part. An empty table gives archives without records.
-- A response whose archive ends before its Content-Length does has no payload and digest.
+- Line ends and control characters of a url, those of Unicode too, are percent-encoded.
+- An archive whose chain of records does not end exactly at its length raises an error, and so
+  does a response whose payload has another digest than its header says.
 """
 
 from __future__ import annotations
@@ -80,13 +82,25 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     return rest.unionByName(shown(one, F.lit(False))).unionByName(shown(others, F.lit(True)))
 
 
+#: Control characters and the line ends of Unicode.
+CONTROLS = [*map(chr, range(0x20)), *map(chr, range(0x7F, 0xA0)), "\u2028", "\u2029"]
+
+
+def _on_one_line(url: Column) -> Column:
+    """url with control characters and line ends percent-encoded, as its UTF-8 bytes."""
+    encoded = url
+    for c in CONTROLS:
+        encoded = F.replace(encoded, F.lit(c), F.lit("".join(f"%{b:02X}" for b in c.encode())))
+    return F.when(url.rlike(r"[\x00-\x1F\x7F-\x9F\u2028\u2029]"), encoded).otherwise(url)
+
+
 def _name(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
 def record_text(pages: DataFrame) -> Column:
     """One record without the separator that ends it."""
-    one_line = F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    one_line = _on_one_line(F.coalesce("url", F.lit("")))
     lines = [
         F.lit(MAGIC),
         F.concat(F.lit("WARC-Type: "), F.when(F.col("revisits"), "revisit").otherwise("response"), F.lit("\r\n")),
@@ -136,7 +150,8 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
     data, head_bytes = F.col("value").cast("binary"), F.octet_length("head") + len(SEPARATOR)
 
     def field(name: str) -> Column:
-        return F.regexp_extract("head", rf"(?m)^{name}: ([^\r\n]*)", 1)
+        # header lines end with CR LF and nothing else
+        return F.regexp_extract("head", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
 
     rows = rows.withColumns(
         {
@@ -189,7 +204,7 @@ def _exits(table):
 
 
 def _on_chain(entries, table):
-    """(file, split, number, place, owner) of a split's candidates: owner is the place of the
+    """(file, split, number, place, end, owner) of a split's candidates: owner is the place of the
     record on the chain that the candidate starts or, off the chain, lies in, if it
     starts in this split."""
     table = table.sort_by("place")
@@ -203,10 +218,20 @@ def _on_chain(entries, table):
             real[i] = True
             i = int(step[i])
     last = np.maximum.accumulate(np.where(real, places, -1)) if len(places) else places
-    columns = {c: table.column(c) for c in ("file", "split", "number", "place")}
+    columns = {c: table.column(c) for c in ("file", "split", "number", "place", "end")}
     return pa.table({**columns, "owner": pa.array(last, pa.int64())})
 
 
+def _raise_unless_whole(segments: DataFrame, marks: DataFrame) -> None:
+    """Raise if the records on the chain of a file do not end where the file does."""
+    length = (F.sum(F.col("bytes") + len(MAGIC)) - len(MAGIC)).alias("length")
+    ends = marks.where("place = owner").groupBy("file").agg(F.max("end").alias("end"))
+    sizes = segments.groupBy("file").agg(length).join(ends, "file", "left")
+    broken = sizes.where("length > 0 AND NOT end <=> length").select("file", "length", "end").first()
+    if broken:
+        raise ValueError(f"the records of {broken['file']} end at {broken['end']}, the file at {broken['length']}")
+
+
 def chained(spark: SparkSession, path: str) -> DataFrame:
     """The candidates of the archives below path with `owner`: the place of the record that
     they start, or of the one that they are a part of."""
@@ -228,8 +253,9 @@ def chained(spark: SparkSession, path: str) -> DataFrame:
     # the chain enters a split once
     entries = stored(reached.join(candidates.select("file", "place", "split"), ["file", "place"]), "entries")
     marked = entries.groupBy("file", "split").cogroup(candidates.select("file", "split", "number", "place", "end").groupBy("file", "split"))
-    marks = marked.applyInArrow(_on_chain, "file string, split long, number long, place long, owner long")
+    marks = marked.applyInArrow(_on_chain, "file string, split long, number long, place long, end long, owner long")
     marks = stored(marks, "marks")
+    _raise_unless_whole(segments, marks)
     # parts in a split before any of its records belong to the last record of a split before
     by_split = marks.groupBy("file", "split").agg(F.max("owner").alias("last"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
@@ -273,11 +299,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         joined = records.join(again, ["file", "owner"], "left")
     number = r"^<urn:page:(-?[0-9]+)>$"
     said = F.regexp_extract("said_digest", "^sha1:(.*)$", 1)
+    own = F.coalesce("digest", "again")
+    differs = F.raise_error(F.concat(F.lit("a payload differs from the digest of its record "), F.coalesce("name", F.lit("")))).cast("string")
+    own = F.when((said == "") | own.eqNullSafe(said), own).otherwise(differs)
     return joined.select(
         "file", "place", F.col("kind").alias("record_type"),
         F.expr(f"try_cast(regexp_extract(name, r'{number}', 1) AS BIGINT)").alias("page_id"),
         F.when(F.col("kind") == "response", F.col("content")).otherwise(F.expr("try_cast(said_bytes AS BIGINT)")).alias("payload_bytes"),
-        F.when(F.col("kind") == "response", F.coalesce("digest", "again")).otherwise(said).alias("payload_digest"),
+        F.when(F.col("kind") == "response", own).otherwise(said).alias("payload_digest"),
         F.expr(f"try_cast(regexp_extract(refers, r'{number}', 1) AS BIGINT)").alias("refers_to"),
     )
 

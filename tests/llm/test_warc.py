@@ -83,3 +83,37 @@ def test_files_are_valid_archives(spark, tmp_path):
 
 def test_no_pages(spark):
     assert warc.write_and_read(spark.createDataFrame([], KINDS)).collect() == []
+
+
+@pytest.mark.parametrize("end", ["\u0085", "\u2028", "\u2029", "\n", "\r", "\x0b", "\x0c"])
+def test_line_ends_of_any_kind_in_a_url(spark, end):
+    rows = [(1, "a", "one", "x"), (2, f"u{end}Content-Length: 1", "two", "x"), (3, "b", f"th{end}Content-Length: 1", "x"), (4, "c", "four", "x")]
+    found = {r.page_id: r for r in warc.write_and_read(spark.createDataFrame(rows, KINDS).coalesce(1)).collect()}
+    assert sorted(found) == [1, 2, 3, 4]
+    for page, _, html, _ in rows:
+        assert found[page].payload_bytes == len(html.encode())
+        assert found[page].payload_digest == base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
+
+
+def _archive(spark, tmp_path):
+    path = f"{tmp_path}/warc"
+    warc.write_archives(spark.createDataFrame(ROWS[:8], KINDS).coalesce(1), path)
+    (file,) = [f for f in (tmp_path / "warc").iterdir() if f.name.startswith("part-")]
+    for other in (tmp_path / "warc").iterdir():
+        if other.name.endswith(".crc"):
+            other.write_bytes(b"")
+    data = file.read_bytes()
+    return data, lambda changed: (tmp_path / "other.warc").write_bytes(changed), str(tmp_path / "other.warc")
+
+
+def test_damaged_archives_raise(spark, tmp_path):
+    data, put, path = _archive(spark, tmp_path)
+    put(data)
+    assert warc.read_records(spark, path).count() == 8
+    for changed in (data[:-3], data[: len(data) // 2], b"x" + data, data + b"more", data.replace(b"Content-Length: 0", b"Content-Length: 2", 1)):
+        put(changed)
+        with pytest.raises(ValueError, match="end at"):
+            warc.read_records(spark, path)
+    put(data.replace("a\u00e9".encode(), b"xyz", 1))
+    with pytest.raises(Exception, match="differs from the digest"):
+        warc.read_records(spark, path).collect()
