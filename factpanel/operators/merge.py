@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from factpanel.functions.numeric import lenient_double, safe_ratio, to_double
 from factpanel.operators.facts import (
     attach_facts,
+    filings_not_in,
     filter_forms,
     join_per_filing,
     tag_pivot,
@@ -19,6 +20,8 @@ from factpanel.schema import RATIOS, SCREENER_COLS, SCREENER_TAGS, filing_keys
 
 #: About how many rows of one filing's product a task writes in a row.
 SLICE_ROWS = 100_000
+#: About how many facts of one tag of a filing are held together.
+BLOCK_FACTS = 10_000
 
 
 def fan_out_facts(
@@ -27,14 +30,15 @@ def fan_out_facts(
     tags: dict[str, str],
     strict: bool = True,
     slice_rows: int = SLICE_ROWS,
+    block_facts: int = BLOCK_FACTS,
 ) -> DataFrame:
     """Left join per tag, all facts kept: a filing with several facts of a tag is
     multiplied, and the counts of the tags multiply with each other.
 
-    Facts are read and shuffled once, into a list per filing and tag. Where the
-    product of the lists is large, the longest one is cut into slices, and the slices
-    are dealt to tasks before the lists are exploded one after the other. A list holds
-    the values of one tag of one filing; the rows that come out are at least as many.
+    Facts are counted per filing and tag on the map side first. A filing with few facts, whose
+    product is small, carries a short list per tag. The facts of any other filing are dealt
+    to blocks by their value, and the blocks of its tags are joined part by part, a part
+    being one block of each tag; so no task ever holds all facts of a filing and tag.
     """
     keys = filing_keys(filings, num)
     value = to_double("value") if strict else lenient_double("value")
@@ -43,36 +47,78 @@ def fan_out_facts(
         .where(F.col("tag").isin(sorted(set(tags.values()))))
         .select(*keys, "tag", value.alias("value"))
     )
+    counts = facts.groupBy(*keys).agg(*[F.count_if(F.col("tag") == t).alias(m) for m, t in tags.items()])
+    product = reduce(lambda a, b: a * b, [F.greatest(F.col(m), F.lit(1)).cast("double") for m in tags])
+    most = F.greatest(*map(F.col, tags), F.lit(0))
+    large = counts.withColumn("_product", product).where((F.col("_product") > slice_rows) | (most > block_facts))
+    named = large.select(*keys)
     # a struct per fact, as collect_list would drop null values
     fact = F.struct(F.col("value"))
-    lists = facts.groupBy(*keys).agg(
-        *[F.collect_list(F.when(F.col("tag") == t, fact)).alias(m) for m, t in tags.items()]
+    lists = (
+        facts.join(named, keys, "left_anti")
+        .groupBy(*keys)
+        .agg(*[F.collect_list(F.when(F.col("tag") == t, fact)).alias(m) for m, t in tags.items()])
     )
-    rows = _sliced(join_per_filing(filings, lists, keys), keys, list(tags), slice_rows)
+    few = join_per_filing(filings_not_in(filings, named, keys), lists, keys)
     for m in tags:
-        rows = rows.withColumn(m, F.explode_outer(m))
-    return rows.withColumns({m: F.col(m)["value"] for m in tags})
+        few = few.withColumn(m, F.explode_outer(m))
+    few = few.withColumns({m: F.col(m)["value"] for m in tags})
+    return few.unionByName(_by_parts(filings, facts, large, keys, tags, slice_rows, block_facts))
 
 
-def _sliced(rows: DataFrame, keys: list[str], metrics: list[str], slice_rows: int) -> DataFrame:
-    """Each filing once per slice of its longest list, spread over all tasks."""
-    sizes = {m: F.greatest(F.coalesce(F.size(m), F.lit(0)), F.lit(1)) for m in metrics}
-    product = reduce(lambda a, b: a * b, [n.cast("double") for n in sizes.values()])
-    longest = F.greatest(*sizes.values()) if len(sizes) > 1 else next(iter(sizes.values()))
-    wanted = F.least(F.ceil(product / slice_rows), longest.cast("long"))
-    rows = rows.withColumns({"_longest": longest, "_length": F.ceil(longest / wanted).cast("int")})
-    last = F.ceil(F.col("_longest") / F.col("_length")).cast("int") - 1
-    rows = rows.withColumn("_slice", F.explode(F.sequence(F.lit(0), last)))
-    # the number is given, as the rows are small here and would be put together again
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(tasks, *keys, "_slice")
-    start, free = F.col("_slice") * F.col("_length") + 1, F.lit(True)
-    cut = {}
-    for m in metrics:  # the first of the longest lists
-        is_longest = free & (F.coalesce(F.size(m), F.lit(0)) == F.col("_longest"))
-        cut[m] = F.when(is_longest, F.slice(m, start, F.col("_length"))).otherwise(F.col(m))
+def _by_parts(
+    filings: DataFrame, facts: DataFrame, large: DataFrame, keys: list[str], tags: dict[str, str], slice_rows: int, block_facts: int
+) -> DataFrame:
+    """The product of the facts of large filings, one part of their blocks at a time."""
+    longest, free = F.greatest(*map(F.col, tags), F.lit(0)), F.lit(True)
+    blocks = {}
+    for m in tags:  # the first of the longest is cut as often as the product asks for
+        is_longest = free & (F.col(m) == F.col("_longest"))
+        wanted = F.least(F.ceil(F.col("_product") / slice_rows).cast("long"), F.col(m))
+        least = F.greatest(F.ceil(F.col(m) / block_facts), F.lit(1).cast("long"))
+        blocks[f"_blocks_{m}"] = F.when(is_longest, F.greatest(wanted, least)).otherwise(least)
         free = free & ~is_longest
-    return rows.withColumns(cut).drop("_longest", "_length", "_slice")
+    sizes = large.withColumn("_longest", longest).withColumns(blocks)
+    sizes = sizes.withColumn("_parts", reduce(lambda a, b: a * b, [F.col(b) for b in blocks]))
+    sizes = sizes.withColumnsRenamed({m: f"_count_{m}" for m in tags}).drop("_longest", "_product")
+
+    # equal facts are one row with their number, in rows of at most block_facts of them
+    text = F.col("value").cast("string").alias("_text")
+    same = facts.groupBy(*keys, "tag", text).agg(F.first("value").alias("value"), F.count(F.lit(1)).alias("_copies"))
+    same = same.join(sizes, keys)
+    same = same.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_copies - 1) DIV {block_facts})")))
+    same = same.withColumn("_copies", F.least(F.lit(block_facts).cast("long"), F.col("_copies") - F.col("_chunk") * block_facts))
+    dealt, stride = [], F.lit(1).cast("long")
+    for m, t in tags.items():
+        n, block = F.col(f"_blocks_{m}"), F.lit(m)
+        dealt.append(F.when(F.col("tag") == t, F.struct(block.alias("metric"), n.alias("n"), stride.alias("stride"))))
+        stride = stride * n
+    of = F.explode(F.filter(F.array(*dealt), lambda x: x.isNotNull())).alias("of")
+    pieces = same.select(*keys, "value", "_text", "_chunk", "_copies", "_parts", of).select("*", "of.*")
+    pieces = pieces.withColumn("own", F.expr("pmod(xxhash64(_text, _chunk), n)"))
+    # a block of one tag meets every combination of the blocks of the others
+    pieces = pieces.withColumn("other", F.explode(F.expr("sequence(0L, _parts DIV n - 1)")))
+    pieces = pieces.withColumn("_part", F.expr("(other DIV stride) * stride * n + own * stride + other % stride"))
+    fact = F.struct("value", F.col("_copies").alias("copies"))
+    # a list holds one block
+    held = pieces.groupBy(*keys, "_part").agg(
+        *[F.collect_list(F.when(F.col("metric") == m, fact)).alias(m) for m in tags]
+    )
+    rows = filings.join(sizes, keys).withColumn("_part", F.explode(F.expr("sequence(0L, _parts - 1)")))
+    rows = rows.join(held, [*keys, "_part"], "left")
+    # the number is given, as the rows are small here and would be put together again, and the
+    # hash is one that the join does not have, or the step would be left out for it
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, F.xxhash64(*keys, "_part"))
+    for m in tags:
+        # of a tag that has facts a block may be empty, and then the part has no rows
+        there = (F.col(f"_count_{m}") == 0) | (F.coalesce(F.size(m), F.lit(0)) > 0)
+        rows = rows.where(there).withColumn(m, F.explode_outer(m))
+    for m in tags:
+        copies = F.greatest(F.coalesce(F.col(m)["copies"], F.lit(1)), F.lit(1))
+        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    rows = rows.withColumns({m: F.col(m)["value"] for m in tags})
+    return rows.select(*filings.columns, *tags)
 
 
 def merge_metrics(

@@ -258,3 +258,45 @@ def test_months_to_quarters(spark):
     df = spark.createDataFrame(rows, "year int, month int, x string")
     out = unions.months_to_quarters(df)
     assert sorted(tuple(r) for r in out.collect()) == [("a", 2024, 1), ("a", 2024, 2), ("b", 2024, 4)]
+
+
+@pytest.mark.parametrize(("slice_rows", "block_facts"), [(100_000, 3), (5, 10_000), (7, 2)])
+def test_fan_out_in_blocks(spark, slice_rows, block_facts):
+    """One filing with most facts of a tag, many of them equal, nulls, -0.0 and NaN among them; a tag
+    that two metrics share."""
+    sub = spark.createDataFrame([header("a"), header("b"), header("c"), header("e")], SUB)
+    values = ["1", "2", None, "-0.0", "0.0", "NaN", "7", "7", "7", "7", "7", "7", "7", "8"]
+    num = spark.createDataFrame(
+        [("a", "R", v, 2024, 1) for v in values]
+        + [("a", "N", v, 2024, 1) for v in ("1", "1", "2", "3")]
+        + [("b", "N", "5", 2024, 1), ("b", "R", "6", 2024, 1), ("e", "R", "4", 2024, 1), ("e", "R", "4", 2024, 1)],
+        NUM,
+    )
+    tags = {"revenue": "R", "net_income": "N", "again": "N"}
+    out = merge.fan_out_facts(sub, num, tags, slice_rows=slice_rows, block_facts=block_facts)
+    plain = merge.fan_out_facts(sub, num, tags)
+    assert out.columns == plain.columns
+
+    def shown(df):
+        return sorted(tuple(str(r[c]) for c in ("adsh", *tags)) for r in df.collect())
+
+    got = shown(out)
+    assert got == shown(plain) and len(got) == 14 * 4 * 4 + 1 + 1 + 2
+    assert sum(r[1] == "-0.0" for r in got) == 16 == sum(r[1] == "0.0" for r in got)
+
+
+def test_a_third_of_all_facts_under_one_tag(spark):
+    """The lists of a filing with 60,000 facts of one tag, half of them equal, stay bounded, and its
+    rows come out of several tasks."""
+    period = (F.lit(2024).alias("dataset_year"), F.lit(1).alias("dataset_quarter"))
+    hot = spark.range(60_000).select(
+        F.lit("hot").alias("adsh"), F.lit("R").alias("tag"),
+        F.when(F.col("id") % 2 == 0, "5").otherwise(F.col("id").cast("string")).alias("value"), *period,
+    )
+    rest = spark.range(2_000).select(F.concat(F.lit("f"), "id").alias("adsh"), F.lit("R").alias("tag"), F.lit("1").alias("value"), *period)
+    sub = spark.createDataFrame([header("hot"), *[header(f"f{i}") for i in range(2_000)]], SUB)
+    out = merge.fan_out_facts(sub, hot.unionByName(rest), {"revenue": "R", "net_income": "N"}, block_facts=500)
+    assert out.count() == 62_000
+    told = out.where("adsh = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(told) == 4 and max(r["count"] for r in told) < 2 * 60_000 / 4
+    assert out.where("adsh = 'hot' AND revenue = 5").count() == 30_001
