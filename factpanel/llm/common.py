@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,18 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+_held: dict[Hashable, Any] = {}
+
+
+def held_by_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What this Python worker keeps from task to task under `key`: one thing at a time. A worker
+    that is used again by another operator drops what the last one left."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def groups_of_texts(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """(first position, texts) in order, of about `most` characters each; a longer
     text stands alone."""

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factpanel.llm.common import free_name, groups_of_texts, stored
+from factpanel.llm.common import free_name, groups_of_texts, held_by_worker, stored
 from factpanel.llm.components import components
 
 BANDS, BAND_SAMPLES = 40, 5
@@ -63,7 +63,6 @@ class _WordHashes(dict):
         return made
 
 
-_hashes = _WordHashes()
 _odd = np.random.default_rng(20240607)
 _PLACE = _odd.integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = _odd.integers(0, 1 << 31, BANDS * BAND_SAMPLES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -84,9 +83,10 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     found = text.encode().lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    if len(_hashes) > MOST_WORDS:
-        _hashes.clear()
-    each = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
+    hashes = held_by_worker("word hashes", _WordHashes)
+    if len(hashes) > MOST_WORDS:
+        hashes.clear()
+    each = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
     if len(each) < words:
         # the number of words tells a short sequence from a shingle
         place = _PLACE[: len(each)]

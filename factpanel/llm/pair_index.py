@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from factpanel.llm.common import groups_of_texts
+from factpanel.llm.common import groups_of_texts, held_by_worker
 from factpanel.llm.pieces import BYTE_LEVEL_WORDS, MOST_WORDS, Encode, PieceCache, byte_letters
 
 SHIFT = 20
@@ -143,7 +143,9 @@ class PairIndexBpe:
             self.known = {}
         new = [w for w in dict.fromkeys(chain.from_iterable(cut)) if isinstance(w, str) and w not in self.known]
         ids = dict(zip(new, self.merge_words(new), strict=True))
-        self.known.update((w, i) for w, i in ids.items() if len(w) <= 64)
+        # a text that is one word is kept by the caller, as a piece
+        inner = set(chain.from_iterable(own for own in cut if len(own) > 1))
+        self.known.update((w, i) for w, i in ids.items() if w in inner and len(w) <= 64)
         known, found = self.known, []
         for pieces in cut:
             own: list[int] = []
@@ -173,15 +175,14 @@ class SpelledCache(PieceCache):
         self.spelled += [",".join(map(str, ids)) for ids in found]
 
 
-_coders: dict[str, tuple[PairIndexBpe, SpelledCache]] = {}
-
-
 def coder_of(path: str) -> tuple[PairIndexBpe, SpelledCache]:
     """The coder and its cache in this Python worker."""
-    if path not in _coders:
+
+    def make() -> tuple[PairIndexBpe, SpelledCache]:
         bpe = PairIndexBpe(path)
-        _coders[path] = bpe, SpelledCache(bpe.encode)
-    return _coders[path]
+        return bpe, SpelledCache(bpe.encode)
+
+    return held_by_worker(("pair index", path), make)
 
 
 def _mapped(docs: DataFrame, column: str, kind: str, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:

@@ -15,11 +15,13 @@ from itertools import chain, repeat
 
 import numpy as np
 
+from factpanel.llm.common import held_by_worker
+
 Encode = Callable[[list[str]], list[list[int]]]
 
-#: Bounds of the cache: pieces, and characters in them. Beyond, pieces go that were not
-#: met again since the last time.
-MOST_PIECES, MOST_CHARS = 300_000, 12_000_000
+#: Bounds of the cache: pieces, and characters in them. Beyond, the half that was met most
+#: since the last time stays.
+MOST_PIECES, MOST_CHARS = 600_000, 24_000_000
 
 # A key is a piece as split() leaves it: its space is taken off, a line end is not.
 FIRST = " "  # before the piece that starts a text
@@ -66,12 +68,14 @@ class PieceCache:
         self.used, self.count = 0, 1
 
     def _shrink(self) -> None:
-        """Keep the pieces that were met more than once, if that makes room."""
-        again = self.met > 1
-        kept = [(key, n) for key, n in self.known.items() if n and again[n]]
-        if len(kept) > MOST_PIECES // 2 or sum(len(k) for k, _ in kept) > MOST_CHARS // 2:
-            kept = []
-        numbers = np.array([0, *[n for _, n in kept]], np.int64)
+        """Keep the half that was met most, of the pieces met more than once."""
+        pieces = [key for key, n in self.known.items() if n]  # in the order of their numbers
+        met = self.met[1 : self.count]
+        order = np.argsort(-met, kind="stable")
+        order = order[: int((met > 1).sum())][: MOST_PIECES // 2]
+        chars = np.cumsum(np.fromiter((len(pieces[i]) for i in order.tolist()), np.int64, len(order)))
+        numbers = np.concatenate([[0], np.sort(order[chars <= MOST_CHARS // 2]) + 1])
+        kept = [pieces[n - 1] for n in numbers[1:].tolist()]
         sizes = self.size[numbers]
         ends = np.cumsum(sizes)
         index = np.repeat(self.at[numbers] - (ends - sizes), sizes) + np.arange(ends[-1])
@@ -79,7 +83,7 @@ class PieceCache:
         self.ids[: self.used] = self.ids[index]
         self.at[: self.count], self.size[: self.count] = ends - sizes, sizes
         self.met[:] = 0
-        self.known = {key: n for n, (key, _) in enumerate(kept, 1)}
+        self.known = {key: n for n, key in enumerate(kept, 1)}
         self.chars = sum(map(len, self.known))
         self.retained(numbers)
 
@@ -177,6 +181,7 @@ class PieceCache:
 
 #: Fixed value: the words of a byte-level pre-tokenizer that has no pattern of its own.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Words that are kept besides, of pieces that hold more than one.
 MOST_WORDS = 100_000
 
 
@@ -213,10 +218,11 @@ def _words_pattern(told: dict) -> str | None:
     return None
 
 
-def _library_encode(tokenizer, told: dict, lowers: bool) -> Encode:
+def _library_encode(tokenizer, told: dict, lowers: bool, single: bool = True) -> Encode:
     """Encode many short texts. Words of Latin-1 texts, which no normaliser of the known
     files changes once they are in lower case, go to the library's model directly and
-    are kept; all other texts take the whole way through the library."""
+    are kept (`single`: also of texts that are one word, which a PieceCache keeps itself); all
+    other texts take the whole way through the library."""
     import regex
 
     model = tokenizer.model
@@ -229,14 +235,16 @@ def _library_encode(tokenizer, told: dict, lowers: bool) -> Encode:
     known: dict[str, tuple[int, ...]] = {}
 
     def of_word(word: str) -> tuple[int, ...]:
-        if len(known) > MOST_WORDS:
-            known.clear()
         if word.isascii() and word.isprintable():
             spelled = word.replace(" ", space)
         else:
             spelled = word.encode().decode("latin-1").translate(letters)
-        ids = tuple([t.id for t in model.tokenize(spelled)])
-        known[word] = ids
+        return tuple([t.id for t in model.tokenize(spelled)])
+
+    def kept(word: str) -> tuple[int, ...]:
+        if len(known) > MOST_WORDS:
+            known.clear()
+        known[word] = ids = of_word(word)
         return ids
 
     def encode(texts: list[str]) -> list[list[int]]:
@@ -250,11 +258,11 @@ def _library_encode(tokenizer, told: dict, lowers: bool) -> Encode:
             bare = text[1:] if text.startswith(" ") else text
             if bare.isalpha():  # most pieces are one word
                 word = text if spaced else bare
-                found.append(known.get(word) or of_word(word))
+                found.append(known.get(word) or (kept if single else of_word)(word))
                 continue
             own: list[int] = []
             for word in words.findall(text):
-                own += known.get(word) or of_word(word)
+                own += known.get(word) or kept(word)
             found.append(own)
         if others:
             for i, e in zip(others, tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False), strict=True):
@@ -288,14 +296,9 @@ def library_cache(path: str) -> PieceCache:
     tokenizer.no_padding()
     steps = (told["normalizer"] or {}).get("normalizers", [])
     lowers = any(step["type"] == "Lowercase" for step in steps)
-    return PieceCache(_library_encode(tokenizer, told, lowers), latin_lower if lowers else None)
-
-
-_caches: dict[str, PieceCache] = {}
+    return PieceCache(_library_encode(tokenizer, told, lowers, single=False), latin_lower if lowers else None)
 
 
 def cache_of(path: str) -> PieceCache:
     """The cache of this Python worker."""
-    if path not in _caches:
-        _caches[path] = library_cache(path)
-    return _caches[path]
+    return held_by_worker(("pieces", path), lambda: library_cache(path))

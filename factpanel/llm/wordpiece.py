@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from factpanel.llm.common import groups_of_texts
+from factpanel.llm.common import groups_of_texts, held_by_worker
 from factpanel.llm.pieces import byte_letters
 
 MOST_WORDS = 300_000
@@ -116,14 +116,9 @@ class _Counts(dict):
         return n
 
 
-_counters: dict[str, _Counts] = {}
-
-
 def counter_of(path: str) -> _Counts:
     """The counter of this Python worker."""
-    if path not in _counters:
-        _counters[path] = _Counts(LongestMatch(byte_level_pieces(path)))
-    counts = _counters[path]
+    counts = held_by_worker(("longest match", path), lambda: _Counts(LongestMatch(byte_level_pieces(path))))
     if len(counts) > MOST_WORDS:
         counts.clear()
         counts.unknown.clear()
