@@ -9,12 +9,14 @@ language become spans of their own. The document's language is the one that labe
 most letters; its score is their share of all letters of the document.
 
 The model is trained on a bounded sample: about SAMPLE_DOCS labelled documents per
-language, drawn by a hash of their content, for at most MOST_LANGUAGES languages (the
-most frequent). Everything else covers all documents and whole texts.
+language, drawn by a hash of their content, for every label there is. The model has a row of
+BUCKETS numbers per label; it comes to the driver and goes to the tasks. Everything else
+covers all documents and whole texts.
 
 Defined cases
-- Null texts, texts without letters, and texts whose letters are all in scripts that no
-  language of the training texts uses are `und` with score 0.
+- Null texts and texts without letters are `und` with score 0. Texts whose letters are all in
+  scripts that no language of the training texts uses get the language with most letters
+  there, with score 0.
 - Documents without a label are never trained on, nor are documents with the crc32 of
   their id (as text) at remainder 2 of 4, which are marked as held out; a null id is not
   held out. Equal scores go to the language that comes first in the alphabet.
@@ -26,15 +28,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factpanel.llm.common import groups_of_texts, stored
+from factpanel.llm.common import groups_of_texts, held_by_worker
 
-SAMPLE_DOCS, MOST_LANGUAGES = 2000, 64
+SAMPLE_DOCS = 2000
 BUCKETS, GRAMS = 1 << 14, (1, 2, 3, 4)
 SMOOTHING = 0.5
 #: A word can speak against a language by this much at most; a switch costs this much.
@@ -96,6 +99,7 @@ class Model:
 
     def __init__(self, languages: list[str], counts: np.ndarray, scripts: np.ndarray):
         self.languages = languages
+        self.usual = int(scripts.sum(axis=0).argmax()) if languages else 0
         smooth = counts + SMOOTHING
         self.logs = np.log(smooth / smooth.sum(axis=0)).astype(np.float32)
         self.uses = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
@@ -135,8 +139,9 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
     ordered = sizes[order]
     starts = (np.cumsum(sizes) - sizes)[order]
     active = np.searchsorted(-ordered, -np.arange(1, ordered[0] + 1), side="right")
-    back = np.zeros((n_words, n_labels), np.uint8)
-    own = np.arange(n_labels, dtype=np.uint8)
+    kind = np.min_scalar_type(n_labels - 1)
+    back = np.zeros((n_words, n_labels), kind)
+    own = np.arange(n_labels, dtype=kind)
     value = np.zeros((len(sizes), n_labels), np.float64)
     for t, n in enumerate(active.tolist()):
         at, now = starts[:n] + t, value[:n]
@@ -144,7 +149,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
             best = now.argmax(axis=1)
             moved = now[np.arange(n), best][:, None] - switch
             stays = now >= moved
-            back[at] = np.where(stays, own, best[:, None].astype(np.uint8))
+            back[at] = np.where(stays, own, best[:, None].astype(kind))
             now = np.where(stays, now, moved)
         value[:n] = now + scores[at]
     label = value.argmax(axis=1)
@@ -160,10 +165,15 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
 class Labeller:
     """Scores of words are kept, as most words come again."""
 
-    MOST_WORDS = 150_000
+    MOST_WORDS, MOST_SCORES = 150_000, 1 << 24
+    #: Characters of a group of texts, times languages (a longer text stands alone).
+    GROUP_CHARS = 8_000_000
 
     def __init__(self, model: Model):
         self.model = model
+        n = len(model.languages)
+        self.most_words = min(self.MOST_WORDS, max(1, self.MOST_SCORES // n))
+        self.group_chars = min(2_000_000, self.GROUP_CHARS // n)
         self._clear()
 
     def _clear(self) -> None:
@@ -174,7 +184,7 @@ class Labeller:
     def label(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(labels, letters, sizes): label and letters (see score_words) of all words in a row,
         and the number of words of each text."""
-        if len(self.known) > self.MOST_WORDS:
+        if len(self.known) > self.most_words:
             self._clear()
         cut = [t.split() for t in texts]
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
@@ -201,14 +211,13 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFram
     """(lang, text): about sample_docs documents of each language, by a hash of the content."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    most = counts.orderBy(F.col("n").desc(), "lang").limit(MOST_LANGUAGES).collect()
-    rows = labelled.select("lang", "text")
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    take = F.lit(False)
-    for r in most:
-        limit = min(1.0, sample_docs / r["n"]) * (1 << 30)
-        take = take | ((F.col("lang") == r["lang"]) & (draw < int(limit)))
-    return labelled.where(take).select("lang", "text") if most else rows.limit(0)
+    whole = 1 << 30
+    limits = {r["lang"]: int(min(1.0, sample_docs / r["n"]) * whole) for r in counts.collect()}
+    if not limits:
+        return labelled.select("lang", "text")
+    shares = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair])
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(whole))
+    return labelled.where(draw < shares[F.col("lang")]).select("lang", "text")
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -246,12 +255,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     other columns as they are; spans of words without letters belong to their neighbours."""
     kind = "lang_pred string, score double, spans array<struct<lang: string, start: bigint, words: bigint>>"
     spans_kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("words", pa.int64())]))
-    names, place = docs.columns, docs.columns.index("text")
+    names, place, uuid = docs.columns, docs.columns.index("text"), uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(model) if model.languages else None
+        labeller = held_by_worker(("labeller", uuid), lambda: Labeller(model)) if model.languages else None
+        most = labeller.group_chars if labeller else 2_000_000
         for batch in batches:
-            for first, group in groups_of_texts([t or "" for t in batch.column(place).to_pylist()]):
+            for first, group in groups_of_texts([t or "" for t in batch.column(place).to_pylist()], most):
                 made = [(UNDETERMINED, 0.0, [])] * len(group) if labeller is None else _told(labeller, group)
                 told, score, spans = zip(*made, strict=True)
                 columns = [c.slice(first, len(group)) for c in batch.columns]
@@ -275,8 +285,9 @@ def _told(labeller: Labeller, texts: list[str]) -> list[tuple[str, float, list[d
     spans: list[list[dict]] = [[] for _ in texts]
     for a, b, d, label in zip(cuts.tolist(), ends.tolist(), doc[cuts].tolist(), labels[cuts].tolist(), strict=True):
         spans[d].append({"lang": languages[label], "start": a - int(starts[d]), "words": b - a})
+    best = np.where(votes.any(axis=1), best, labeller.model.usual)
     return [
-        (languages[best[i]], float(votes[i, best[i]] / total[i]), spans[i]) if votes[i, best[i]] else (UNDETERMINED, 0.0, [])
+        (languages[best[i]], float(votes[i, best[i]] / total[i]), spans[i]) if total[i] else (UNDETERMINED, 0.0, [])
         for i in range(len(texts))
     ]
 
@@ -289,7 +300,7 @@ def identify(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
 
 def accepted(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """The documents in a language that was learned, with all their columns: those with
-    letters of which at least ACCEPT_SHARE are in one language."""
+    letters of which at least ACCEPT_SHARE are in one language. A share of 0 is never enough."""
     named = {c: f"_{i}" for i, c in enumerate(docs.columns) if c != "text"}
     plain = docs.select("text", *[F.col(f"`{c}`").alias(n) for c, n in named.items()])
     told = predict(plain, train(docs, sample_docs))
