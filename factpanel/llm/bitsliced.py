@@ -18,7 +18,9 @@ of work, which returns at most k rows per query.
 Defined cases
 - Vectors that are null, or hold a null or a non-finite component, take no part; an empty
   vector scores 0 with all. Components that one of two vectors lacks count as 0.
-- A component x becomes floor(scale * x) and has to be below 2^24 in size.
+- A component x becomes floor(scale * x), of any size for which every score is sure to be a
+  64-bit integer: the number of slices follows from the data. Beyond that the search raises, as
+  its score column could not hold the result.
 - Equal scores go to the smaller id. A query finds every row but those with its own id;
   rows with a null id take no part. Repeated rows are candidates each, and a repeated
   query is answered once. Other columns take no part; an empty table gives no rows.
@@ -32,7 +34,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 512
-MOST = 1 << 24
 
 
 def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,10 +182,11 @@ def search(
         "vec_id", quantised(F.col("embedding"), scale).alias("vector"), queries.alias("asks")
     )
     rows = rows.where("vector IS NOT NULL")
-    too_large = F.exists("vector", lambda x: F.abs(x) >= MOST)
-    refused = F.raise_error(F.lit("a component is too large to be sliced"))
-    rows = rows.withColumn("vector", F.when(too_large, refused.cast("array<bigint>")).otherwise(F.col("vector")))
-    size = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1)), F.max(F.size("vector"))).first()
+    ends = [F.min(F.array_min("vector")), F.max(F.array_max("vector"))]
+    size = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1)), F.max(F.size("vector")), *ends).first()
+    top = max(-(size[3] or 0), size[4] or 0)
+    if top * top * (size[2] or 0) >= 1 << 63:
+        raise ValueError("components are so large that a score may not be a 64-bit integer")
     row_blocks, query_blocks, width = -(-size[0] // block_rows) or 1, -(-size[1] // block_queries) or 1, max(1, size[2] or 0)
 
     def dealt(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:

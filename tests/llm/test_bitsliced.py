@@ -21,6 +21,27 @@ def test_block_search_is_exact(n, width, low, high, k):
         assert row[own][order].tolist() == best and score[own][order].tolist() == scores[best].tolist()
 
 
+def test_large_components(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)]
+    rows += [(60 + i, [300_000.0 * (i - 2), -0.5, 20_000_000.0, 1e-3 * i]) for i in range(5)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    expected = []
+    for q in range(0, 65, 20):
+        scores = {i: sum(a * b for a, b in zip(whole[q], v, strict=True)) for i, v in whole.items() if i != q}
+        best = sorted((-s, i) for i, s in scores.items())[:20]
+        expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    found = bitsliced.search(vectors, F.col("vec_id") % 20 == 0, block_rows=16).collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def test_scores_that_no_long_can_hold(spark):
+    vectors = spark.createDataFrame([(0, [1e12]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64-bit"):
+        bitsliced.search(vectors, F.col("vec_id") % 20 == 0)
+
+
 @pytest.mark.parametrize("block_rows", [16, 8192])
 def test_search(spark, block_rows):
     rng = np.random.default_rng(9)
