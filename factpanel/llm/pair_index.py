@@ -6,6 +6,10 @@ order: every position of the pair that still holds is merged, and the pairs that
 left and right of it are entered under their own ranks. Words do not touch, so one pass
 over the ranks encodes all words of the batch.
 
+A rank with many positions is applied to all of them by array operations; the index then
+holds its entries in arrays that are sorted by rank for a range of ranks at a time. Once the
+ranks ahead have few positions each, they are applied position by position.
+
 The order is the same as merging each word for itself, as long as a merge never uses a
 symbol that only a later merge makes; that is checked when the file is read.
 
@@ -33,6 +37,17 @@ from factpanel.llm.pieces import BYTE_LEVEL_WORDS, MOST_WORDS, Encode, PieceCach
 
 SHIFT = 20
 GONE, BORDER = -2, -1
+#: Ranks that are sorted at a time, and positions a rank has to have on average for arrays to pay.
+RANGE, MANY = 512, 24
+
+
+def _by_rank(ranks: np.ndarray, here: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(rank, its positions in the order given)."""
+    order = np.argsort(ranks, kind="stable")
+    ranks, here = ranks[order], here[order]
+    starts = np.flatnonzero(np.diff(ranks, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts[1:], len(ranks)], strict=False):
+        yield int(ranks[start]), here[start:end]
 
 
 class PairIndexBpe:
@@ -68,8 +83,59 @@ class PairIndexBpe:
         self.words = regex.compile(BYTE_LEVEL_WORDS)
         found = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.specials = regex.compile(f"({found})") if found else None
+        # what is letters only is one word, and no special token
+        self.lettered = not any(t.isalpha() for t in self.special)
         self.known: dict[str, list[int]] = {}
 
+    def _ranked(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ranks, positions) of the pairs that merge, of left and right symbols at positions."""
+        pairs = np.where((left < 0) | (right < 0), -1, left << SHIFT | right)
+        place = np.searchsorted(self.keys, pairs)
+        place[place == len(self.keys)] = 0
+        found = np.flatnonzero(self.keys[place] == pairs)
+        return self.key_order[place[found]], at[found]
+
+    def _merge_many(self, sym, after, before, ranks: np.ndarray, here: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Apply ranks in ascending order while they have many positions; (ranks, positions) are
+        the entries of the index, before and after."""
+        while len(ranks):
+            end = int(ranks.min()) + RANGE
+            soon = ranks < end
+            if int(soon.sum()) < MANY * len(np.unique(ranks[soon])):
+                break
+            index = {rank: [p] for rank, p in _by_rank(ranks[soon], here[soon])}
+            later = [(ranks[~soon], here[~soon])]
+            active = list(index)
+            heapq.heapify(active)
+            while active:
+                rank = heapq.heappop(active)
+                left, right, made = self.left[rank], self.right[rank], self.made[rank]
+                at = np.unique(np.concatenate(index.pop(rank)))
+                at = at[sym[at] == left]
+                at = at[sym[after[at]] == right]
+                if left == right and len(at) > 1:
+                    # of a run of equal symbols every second pair
+                    number = np.arange(len(at))
+                    first = np.append(True, after[at[:-1]] != at[1:])
+                    at = at[(number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0]
+                if not len(at):
+                    continue
+                taken = after[at]
+                sym[at], sym[taken] = made, GONE
+                beyond = after[taken]
+                after[at], before[beyond] = beyond, at
+                ahead = before[at]
+                starts = np.concatenate([ahead, at])
+                new, where = self._ranked(sym[starts], sym[np.concatenate([at, beyond])], starts)
+                now = new < end
+                for n, p in _by_rank(new[now], where[now]):
+                    if n not in index:
+                        heapq.heappush(active, n)
+                    index.setdefault(n, []).append(p)
+                later.append((new[~now], where[~now]))
+            ranks, here = (np.concatenate(x) for x in zip(*later, strict=True))
+        return ranks, here
+
     def merge_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word."""
         data = [w.encode() for w in words]
@@ -83,19 +149,12 @@ class PairIndexBpe:
         symbols[inside] = table[np.frombuffer(b"".join(data), np.uint8)]
 
         # the index at the start: positions of each rank that occurs, in order
-        pairs = (symbols[:-1] << SHIFT) | symbols[1:]
-        pairs[(symbols[:-1] < 0) | (symbols[1:] < 0)] = -1
-        at = np.searchsorted(self.keys, pairs)
-        at[at == len(self.keys)] = 0
-        here = np.flatnonzero(self.keys[at] == pairs)
-        ranks = self.key_order[at[here]]
-        order = np.argsort(ranks, kind="stable")
-        ranks, here = ranks[order], here[order]
-        starts = np.flatnonzero(np.diff(ranks, prepend=-1))
-        index = {int(ranks[s]): p.tolist() for s, p in zip(starts, np.split(here, starts[1:]), strict=False)}
-
-        sym = symbols.tolist()
-        after, before = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
+        ranks, here = self._ranked(symbols[:-1], symbols[1:], np.arange(len(symbols) - 1))
+        following, previous = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+        ranks, here = self._merge_many(symbols, following, previous, ranks, here)
+        index = {rank: p.tolist() for rank, p in _by_rank(ranks, here)}
+
+        sym, after, before = symbols.tolist(), following.tolist(), previous.tolist()
         active = list(index)
         heapq.heapify(active)
         merges = self.merges
@@ -130,6 +189,9 @@ class PairIndexBpe:
 
     def _pieces(self, text: str) -> list[str | int]:
         """Words, and ids of special tokens, in order."""
+        bare = text[1:] if text.startswith(" ") else text
+        if self.lettered and bare.isascii() and bare.isalpha():
+            return [text]
         if self.specials is None or not any(s in text for s in self.special):
             return self.words.findall(text)
         found: list[str | int] = []
@@ -148,6 +210,9 @@ class PairIndexBpe:
         self.known.update((w, i) for w, i in ids.items() if w in inner and len(w) <= 64)
         known, found = self.known, []
         for pieces in cut:
+            if len(pieces) == 1 and isinstance(w := pieces[0], str):
+                found.append(known[w] if w in known else ids[w])
+                continue
             own: list[int] = []
             for w in pieces:
                 if isinstance(w, int):
