@@ -1,7 +1,9 @@
-"""Report sinks. Each writes a folder of part files, one per task."""
+"""Report sinks, each a folder of part files, one per task, and the checkpoint of a frame."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,3 +27,20 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed now and kept in the checkpoint folder of the session.
+
+    What reads it more than once computes it once, also after the loss of an executor. The
+    folder is the one that spark.checkpoint.dir names; a local session without it gets a
+    temporary folder, any other has to name one that all executors share.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="factpanel-"))
+    return df.checkpoint()

@@ -241,3 +241,63 @@ def test_histogram(spark):
     assert got == {(1, 1): 1, (30, 30): 2, (16, 16): 1}
     flat = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
     assert {(r["x_bin"], r["y_bin"]) for r in profile.histogram_2d(flat, "x", "y", 4).collect()} == {(1, 1), (1, 4)}
+
+
+def test_histogram_computes_its_input_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(len(batch))
+            yield batch
+
+    df = spark.range(500).selectExpr("id * 1D AS x", "id % 7 * 1D AS y").mapInPandas(seen, "x double, y double")
+    assert sum(r["n"] for r in profile.histogram_2d(df, "x", "y").collect()) == 500
+    assert calls.value == 500
+
+
+ODD_NUMBERS = {
+    # a narrow range far from zero: few relative bins
+    "ids": [10**9 + 7 * i for i in range(4000)],
+    # one far value in the bin of many close ones
+    "cluster": [1e15 + i for i in range(2000)] + [1e15 + 2e12] * 3,
+    "signs": [-5.0, -5.0, -1e-300, 0.0, -0.0, 5e-324, 1e308, 3.0, 2.0],
+    "infinite": [float("inf"), float("inf"), 1.0, 2.0, -3.0, 4.0],
+    "repeated": [2.5] * 1000 + [2.5000001],
+    "one": [42.0],
+}
+
+
+@pytest.mark.parametrize("name", ODD_NUMBERS)
+@pytest.mark.parametrize("parts", [4, 1 << 16])
+def test_quartiles_of_odd_columns(spark, monkeypatch, name, parts):
+    monkeypatch.setattr(profile, "PARTS", parts)
+    values = [float(v) for v in ODD_NUMBERS[name]]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(3)
+    got = profile.profile_columns(df).first()
+    want = pd.Series(values).describe()
+    assert (got["min"], got["max"]) == (min(values), max(values))
+    for mine, p in profile.QUARTILES.items():
+        place = (len(values) - 1) * p
+        low, high = sorted(values)[math.floor(place)], sorted(values)[math.ceil(place)]
+        assert got[mine] == (low if low == high else pytest.approx(low + (high - low) * (place % 1), rel=1e-15)), mine
+    assert got["count"] == len(values)
+    if math.isfinite(sum(values)) and len(values) > 1 and name != "signs":
+        assert got["std"] == pytest.approx(want["std"], rel=1e-9)
+        assert got["mean"] == pytest.approx(want["mean"])
+    elif len(values) == 1:
+        assert got["std"] is None
+
+
+def test_no_task_sorts_a_bin(spark):
+    """A million ids in a narrow range lie in few bins; what is sorted in the end is small."""
+    ids = spark.range(1_000_000).selectExpr("'a' AS column", "id * 3 + 1e9 AS number", "1L AS n")
+    rows = ids.withColumn("_bin", profile._bin_of(ids["number"]))
+    assert rows.select("_bin").distinct().count() < 4
+    bins = rows.groupBy("column", "_bin").agg(F.sum("n").alias("n"), F.min("number").alias("_from"), F.max("number").alias("_to"))
+    bins = bins.withColumns({"_start": profile._before(["column"], "_bin"), "count": F.lit(1_000_000)})
+    held = bins.where(profile._wanted()).select("column", "_bin", "count", "_start", "_from", "_to")
+    last, sizes = profile._held(rows, held)
+    assert last.groupBy(*sizes).count().agg(F.max("count")).first()[0] <= 16
+    got = profile._picked(rows, held).first()
+    assert (got["p25_low"], got["p50_low"], got["p75_high"]) == (1e9 + 3 * 249_999, 1e9 + 3 * 499_999, 1e9 + 3 * 750_000)
