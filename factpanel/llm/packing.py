@@ -34,6 +34,7 @@ CAPACITY = 4096
 #: leave more than this share of the capacity empty.
 UNCUT_CLASS, EMPTY_SHARE = 16, 0.03
 SHARD_ROWS, SHARD_BINS, SHARDS_TOGETHER = 8192, 16, 256
+SEED = 17
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
@@ -109,7 +110,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     other columns stay; names that begin with an underscore are taken."""
     order = ["doc_id", "start", *[c for c in pieces.columns if c not in ("doc_id", "start")]]
     spark = pieces.sparkSession
-    classed = stored(pieces.withColumn("_class", (F.lit(capacity) / F.col("length")).cast("int")), "pieces")
+    # stored with the pieces, the salt is the same each time they are read; it parts equal pieces
+    made = {"_class": (F.lit(capacity) / F.col("length")).cast("int"), "_salt": F.rand(SEED)}
+    classed = stored(pieces.withColumns(made), "pieces")
     # one row per class, of which there are less than twice the root of the capacity
     counts = classed.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect()
     deal, next_shard = [(0, 1, 0)], 0
@@ -118,7 +121,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         deal.append((k, shards, next_shard))
         next_shard += shards
     shards = F.broadcast(spark.createDataFrame(deal, "_class int, _shards int, _first long"))
-    key = F.xxhash64(*[c for c in classed.columns if c != "_class"])
+    key = F.xxhash64("doc_id", "start", "_salt")
     dealt = classed.join(shards, "_class").withColumn("_shard", F.col("_first") + F.pmod(key, F.col("_shards")))
     in_shard = Window.partitionBy("_shard")
     row = F.row_number().over(in_shard.orderBy(*order)) - 1

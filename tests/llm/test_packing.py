@@ -62,6 +62,14 @@ def test_every_id_lies_in_one_piece(odd_docs, monkeypatch, shard_rows):
     assert sum(n for own in places.values() for _, n in own) == total
 
 
+def test_equal_pieces_are_dealt_to_many_shards(spark):
+    pieces = spark.range(40_000).selectExpr("1L AS doc_id", "0L AS start", "900L AS length")
+    found = packing.pack(pieces.repartition(5)).groupBy("sequence_id").agg({"length": "sum", "offset": "count"}).collect()
+    shards = {r.sequence_id >> 32 for r in found if r.sequence_id >= 0}
+    assert len(shards) == -(-40_000 // max(packing.SHARD_ROWS, packing.SHARD_BINS * 4)) > 1
+    assert sum(r["count(offset)"] for r in found) == 40_000 and max(r["sum(length)"] for r in found) <= packing.CAPACITY
+
+
 def test_little_padding(spark):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     ends = packing.pack_documents(documents, PATH).groupBy("sequence_id").sum("length").collect()
