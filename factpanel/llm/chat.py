@@ -4,7 +4,8 @@ A log holds events of messages: `delta` appends text, `edit` sets the text anew,
 `regenerate` throws away what was streamed so far. The logs are dealt by conversation
 and by blocks of messages, sorted by sequence and folded into final messages, which
 are rendered into parts with a loss mask. A long conversation is many parts, so that no
-task holds more than a block of it while folding and rendering.
+task holds more than a block of it in memory while folding and rendering; many messages of one
+place are sorted and cut into parts of a block's size.
 
 Template of a message: `<turn>### role`, a line end, the text, `</turn>` and a line end.
 In role and text a backslash becomes `\\b`, `<` becomes `\\l` and `#` becomes `\\h`, in the
@@ -21,7 +22,7 @@ Defined cases
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factpanel.llm.common import stored
@@ -73,19 +74,21 @@ def fold_events(events: DataFrame) -> DataFrame:
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """(conv_id, block, formatted, loss): one row per part of a conversation, blocks in
-    order; loss has the spans (start, length, in code points) of the learned texts."""
+    """(conv_id, block, part, formatted, loss): one row per part of a conversation, blocks in
+    order and parts in blocks, each of BLOCK_MESSAGES messages at most; loss has the spans (start, length, in code points) of the learned texts."""
     head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"))
-    shown = messages.select(
-        "conv_id", "block", "place", "role", "message",
+    in_block = Window.partitionBy("conv_id", "block").orderBy("place", "role", "text", "message")
+    number = F.row_number().over(in_block)
+    shown = messages.withColumn("number", number).select(
+        "conv_id", "block", F.floor((F.col("number") - 1) / BLOCK_MESSAGES).alias("part"), "number", "role",
         head.alias("head"), escape(F.col("text")).alias("body"),
     )
     turn = F.struct(
-        "place", "role",
-        F.concat("head", "body", F.lit(CLOSE)).alias("turn"), "message",
+        "number", "role",
+        F.concat("head", "body", F.lit(CLOSE)).alias("turn"),
         F.length("head").alias("skip"), F.length("body").alias("n"),
     )
-    parts = shown.groupBy("conv_id", "block").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    parts = shown.groupBy("conv_id", "block", "part").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     empty = "CAST(array() AS ARRAY<STRUCT<start: BIGINT, length: BIGINT>>)"
     # at most one block of messages is folded here, so the array that grows stays small
     loss = F.expr(
@@ -98,11 +101,11 @@ def render(messages: DataFrame) -> DataFrame:
           s -> s.spans)"""
     )
     formatted = F.array_join(F.transform("turns", lambda t: t["turn"]), "")
-    return parts.select("conv_id", "block", formatted.alias("formatted"), loss.alias("loss"))
+    return parts.select("conv_id", "block", "part", formatted.alias("formatted"), loss.alias("loss"))
 
 
 def read_turns(parts: DataFrame) -> DataFrame:
-    """(conv_id, block, formatted_chars, turns, learned): what the formatted text says.
+    """(conv_id, block, part, formatted_chars, turns, learned): what the formatted text says.
     turns: role and text of each message, learned: the texts under the mask, unescaped."""
     raw = F.expr(f"filter(split(formatted, '{CLOSE.strip()}\\n'), t -> t <> '')")
     inner = F.transform(raw, lambda t: F.substr(t, F.lit(len(OPEN) + 1)))
@@ -118,7 +121,7 @@ def read_turns(parts: DataFrame) -> DataFrame:
         lambda s: unescape(F.substr("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int"))),
     )
     return parts.select(
-        "conv_id", "block", F.length("formatted").cast("long").alias("formatted_chars"),
+        "conv_id", "block", "part", F.length("formatted").cast("long").alias("formatted_chars"),
         turns.alias("turns"), masked.alias("learned"),
     )
 
@@ -133,7 +136,7 @@ def digests(parts: DataFrame) -> DataFrame:
     per_part = read.select(
         "conv_id", "formatted_chars", F.size("turns").alias("n"),
         F.length(learned).alias("loss_chars"),
-        F.struct("block", plain.alias("plain"), learned.alias("learned")).alias("part"),
+        F.struct("block", "part", plain.alias("plain"), learned.alias("learned")).alias("part"),
     )
     whole = per_part.groupBy("conv_id").agg(
         F.sum("n").alias("n_turns"),
@@ -152,7 +155,8 @@ def digests(parts: DataFrame) -> DataFrame:
 def events_of_rows(rows: DataFrame, chunk: int = 512) -> DataFrame:
     """The log that leads to the given messages (conv_id, turn, role, text): texts arrive
     as deltas of `chunk` characters. An assistant first streams its opening and then
-    regenerates; other roles send a draft and edit it."""
+    regenerates; other roles send a draft and edit it. The messages are stored with their
+    keys, so that a repeated task finds the same ones."""
     text = F.coalesce("text", F.lit(""))
     chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
     first = F.coalesce(F.get("chunks", F.lit(0)), F.lit(""))
@@ -164,9 +168,9 @@ def events_of_rows(rows: DataFrame, chunk: int = 512) -> DataFrame:
     streamed = F.array(event("delta", first), event("regenerate", F.lit("")), event("delta", first))
     edited = F.array(event("delta", F.lit("...")), event("edit", first))
     learned = F.coalesce(F.col("role") == LEARNED_ROLE, F.lit(False))
-    logged = rows.select(
-        "conv_id", F.col("turn").alias("place"), F.monotonically_increasing_id().alias("message"),
-        "role", chunks.alias("chunks"),
+    keyed = rows.select("conv_id", "turn", "role", "text", F.monotonically_increasing_id().alias("message"))
+    logged = stored(keyed, "messages").select(
+        "conv_id", F.col("turn").alias("place"), "message", "role", chunks.alias("chunks"),
     )
     events = F.concat(F.when(learned, streamed).otherwise(edited), later)
     return logged.select("conv_id", "place", "message", "role", F.posexplode(events).alias("sequence", "event")).select(

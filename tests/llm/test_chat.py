@@ -30,6 +30,17 @@ def test_a_long_conversation_is_many_parts(spark):
     assert parts.count() == 8
 
 
+def test_many_messages_of_one_place_are_many_parts(spark):
+    rows = [(1, 7, "user" if i % 3 else "assistant", f"{i % 40} <", "x") for i in range(5000)] + [(1, None, "user", "n", "x")] * 700
+    parts = chat.format_conversations(spark.createDataFrame(rows, KINDS).repartition(3))
+    sizes = parts.selectExpr("size(split(formatted, '</turn>')) - 1 AS n").collect()
+    assert max(r.n for r in sizes) <= chat.BLOCK_MESSAGES and sum(r.n for r in sizes) == 5700
+    own = sorted((-1 if t is None else t, role, text) for _, t, role, text, _ in rows)
+    found = chat.digests(parts).first()
+    assert found.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in own).encode()).hexdigest()
+    assert found.loss_sha256 == hashlib.sha256("".join(t for _, r, t in own if r == "assistant").encode()).hexdigest()
+
+
 def test_events_are_folded(spark):
     events = [
         (1, 0, "m", "user", 0, "delta", "dra"), (1, 0, "m", "user", 1, "delta", "ft"), (1, 0, "m", "user", 2, "edit", "new"),
