@@ -33,7 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factpanel.llm.common import stored
+
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 512
+SEED, SALTS = 17, 1 << 30
 
 
 def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,7 +184,9 @@ def search(
     rows = vectors.where("vec_id IS NOT NULL").select(
         "vec_id", quantised(F.col("embedding"), scale).alias("vector"), queries.alias("asks")
     )
-    rows = rows.where("vector IS NOT NULL")
+    # stored with the vectors, the salt is the same each time they are read; it parts equal rows
+    salted = rows.where("vector IS NOT NULL").withColumn("salt", (F.rand(SEED) * SALTS).cast("int"))
+    rows = stored(salted, "vectors")
     ends = [F.min(F.array_min("vector")), F.max(F.array_max("vector"))]
     size = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1)), F.max(F.size("vector")), *ends).first()
     top = max(-(size[3] or 0), size[4] or 0)
@@ -190,14 +195,13 @@ def search(
     row_blocks, query_blocks, width = -(-size[0] // block_rows) or 1, -(-size[1] // block_queries) or 1, max(1, size[2] or 0)
 
     def dealt(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        salt = F.monotonically_increasing_id() if own == "row_block" else F.lit(0)
-        block = F.pmod(F.xxhash64("vec_id", salt), F.lit(own_blocks)).cast("int")
+        block = F.pmod(F.xxhash64("vec_id", "salt"), F.lit(own_blocks)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
-        return df.withColumns({own: block}).withColumn(other, every)
+        return df.withColumn(own, block).drop("salt").withColumn(other, every)
 
-    asking = rows.where("asks").dropDuplicates(["vec_id", "vector"]).select("vec_id", "vector")
+    asking = rows.where("asks").dropDuplicates(["vec_id", "vector"]).select("vec_id", "vector", F.lit(0).alias("salt"))
     asking = dealt(asking, "query_block", query_blocks, "row_block", row_blocks)
-    asked = dealt(rows.select("vec_id", "vector"), "row_block", row_blocks, "query_block", query_blocks)
+    asked = dealt(rows.select("vec_id", "vector", "salt"), "row_block", row_blocks, "query_block", query_blocks)
 
     def work(queries, candidates):
         if not queries.num_rows or not candidates.num_rows:

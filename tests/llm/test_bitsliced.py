@@ -63,6 +63,15 @@ def test_search(spark, block_rows):
     assert sorted(map(tuple, found)) == sorted(expected)
 
 
+def test_equal_rows_are_dealt_to_many_blocks(spark):
+    same = [(7, [0.5, 0.25])] * 400 + [(20, [1.0, 1.0])]
+    vectors = spark.createDataFrame(same, "vec_id long, embedding array<float>").repartition(3)
+    found = bitsliced.search(vectors, F.col("vec_id") % 20 == 0, block_rows=32).collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [
+        (20, n + 1, 7, 64 * 32 + 64 * 16) for n in range(20)
+    ]
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert bitsliced.search(none, F.col("vec_id") % 20 == 0).collect() == []
