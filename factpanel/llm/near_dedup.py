@@ -12,8 +12,10 @@ Classes that share a band key form a bucket. No bucket is expanded into its pair
 few rounds each bucket names one leader, each member asks the leader whose sketch is
 closest, and links that the full sets confirm are contracted into components. Members
 of a bucket that are connected by then need no further check. What is left, members of
-one bucket in different components, is compared by sketch inside the join, and
-confirmed on the full sets. So every pair that shares a band is linked, connected by
+one bucket in different components, is dealt to tiles of bounded size. Inside a tile
+sketches are compared, a member keeping the list of those it may be linked with, and members
+with such a list meet once more with their full sets; a tile gives the links that join two
+of its components. So every pair that shares a band is linked, connected by
 other links, or refused by its sketch or its sets.
 
 With 40 bands of 5 samples a pair of similarity 0.8 shares no band with probability 1e-7.
@@ -51,6 +53,9 @@ DEVIATIONS = 6.0
 #: Deviations of the normal distribution that leave 1e-7, the chance of sharing no band.
 TAIL = 5.2
 MOST_WORDS = 100_000
+#: Members, and shingles of all of them, of one side of a tile.
+TILE_ROWS, TILE_ELEMENTS = 1024, 1 << 20
+TILE = ["band", "low", "high"]
 
 
 class _WordHashes(dict):
@@ -133,19 +138,35 @@ def odd_sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return sketches, np.bincount(owner, minlength=len(sets))
 
 
+class _OfColumns:
+    """The functions of the sketch bounds on columns."""
+
+    exp, log, sqrt = F.exp, F.log, F.sqrt
+
+    @staticmethod
+    def greatest(a: Column, b: Column | float) -> Column:
+        return F.greatest(a, b if isinstance(b, Column) else F.lit(b))
+
+
+class _OfArrays:
+    """The same on arrays of numpy."""
+
+    exp, log, sqrt, greatest = np.exp, np.log, np.sqrt, np.maximum
+
+
 def _bits_apart(a: str, b: str) -> Column:
     return F.expr(" + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(SKETCH_WORDS)))
 
 
-def _shared_samples(bits: Column, samples: Column) -> Column:
+def _shared_samples(bits, samples, of=_OfColumns):
     """Estimate of the samples that two sets share, from the bits in which their sketches
     differ and the number of samples of both."""
     n = SKETCH_WORDS * 64
-    even = F.greatest(1 - 2 * bits / F.lit(float(n)), F.lit(1.0 / n))
-    return (samples + n / 2 * F.log(even)) / 2
+    even = of.greatest(1 - 2 * bits / float(n), 1.0 / n)
+    return (samples + n / 2 * of.log(even)) / 2
 
 
-def _least_shared(sizes: Column, samples: Column, ratio: float) -> Column:
+def _least_shared(sizes, samples, ratio: float, of=_OfColumns):
     """How many samples a pair at the threshold shares at least, but for chance.
 
     A bin of the union is shared if its smallest hash is in both sets. What varies is how
@@ -157,12 +178,12 @@ def _least_shared(sizes: Column, samples: Column, ratio: float) -> Column:
     n = float(SKETCH_WORDS * 64)
     union = sizes / (1 + ratio)
     load = union / BINS  # elements of the union per bin
-    empty = F.exp(-load)
+    empty = of.exp(-load)
     filled = 1 - empty
     expected = ratio * BINS * filled
-    differ = F.greatest(samples - 2 * expected, F.lit(0.0))
-    fade = F.exp(-4 * differ / n)
-    spread = (n * (1 - fade) - 4 * differ * fade) / 16 * F.exp(4 * differ / n)
+    differ = of.greatest(samples - 2 * expected, 0.0)
+    fade = of.exp(-4 * differ / n)
+    spread = (n * (1 - fade) - 4 * differ * fade) / 16 * of.exp(4 * differ / n)
     # a bin is shared with chance p = lI / (lI + lD) * (1 - exp(-lI - lD)), lI and lD being the
     # elements per bin of the intersection and of the rest; as both sizes are given, the variance
     # of independent bins is less by what p changes with each
@@ -171,11 +192,11 @@ def _least_shared(sizes: Column, samples: Column, ratio: float) -> Column:
     by_both = (1 - ratio) * filled / load + ratio * empty
     by_rest = ratio * (empty - filled / load)
     placed = BINS * (p * (1 - p) - both * by_both * by_both - rest * by_rest * by_rest)
-    deviation = F.sqrt(F.greatest(spread, F.lit(0.0)) + F.greatest(placed, F.lit(0.0)))
+    deviation = of.sqrt(of.greatest(spread, 0.0) + of.greatest(placed, 0.0))
     # skewness times deviation, 1 for a Poisson number; simulated 0.82 at a union of 50, 0.71 at
     # 100, 0.55 at 250, 0.29 at 500
     skewed = empty * empty
-    return expected - F.greatest(DEVIATIONS * deviation, TAIL * deviation + (TAIL * TAIL - 1) / 6 * skewed)
+    return expected - of.greatest(DEVIATIONS * deviation, TAIL * deviation + (TAIL * TAIL - 1) / 6 * skewed)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -232,6 +253,15 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(make, "row long, elements binary")
 
 
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union, on the full sets."""
 
@@ -239,12 +269,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(_alike(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("row").alias("a"), F.col("elements").alias("left"))
@@ -253,6 +278,76 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(check, "a long, b long")
 
 
+def _matrix(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+
+
+def _partners(members: DataFrame, percent: int) -> DataFrame:
+    """(band, low, high, row, root, partners): the members of tiles that their sketches allow
+    to be linked, each pair in the list of one of its two.
+
+    members: band, row, root, bands, sketch, samples, n_shingles. A bucket is parted by a hash
+    of the row, and every two of its parts make a tile. A pair that shares several bands
+    counts in the first of them only.
+    """
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(F.sum("n_shingles") / TILE_ELEMENTS))
+    parted = members.join(members.groupBy("band").agg(parts.cast("int").alias("parts")), "band")
+    parted = parted.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    tiled = parted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tiled = tiled.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).drop("parts", "other")
+
+    def find(table: pa.Table) -> pa.Table:
+        rows, roots, parts, samples, sizes = (
+            table.column(c).to_numpy() for c in ("row", "root", "part", "samples", "n_shingles")
+        )
+        bands, sketches = _matrix(table, "bands"), _matrix(table, "sketch").view(np.uint64)
+        band, low, high = (table.column(c)[0].as_py() for c in TILE)
+        right = np.flatnonzero(parts == high)
+        wanted, lists = np.zeros(len(rows), bool), [[] for _ in rows]
+        for a in np.flatnonzero(parts == low):
+            b = right[right > a] if low == high else right
+            near = (roots[b] != roots[a]) & (sizes[b] * 100 >= sizes[a] * percent) & (sizes[a] * 100 >= sizes[b] * percent)
+            b = b[near]
+            total = samples[b] + samples[a]
+            bits = np.bitwise_count(sketches[b] ^ sketches[a]).sum(axis=1, dtype=np.int64)
+            least = _least_shared(sizes[b] + sizes[a], total, percent / 100, _OfArrays)
+            b = b[_shared_samples(bits, total, _OfArrays) >= least]
+            b = b[bands[a][(bands[b] == bands[a]).argmax(axis=1)] == band]
+            if len(b):
+                wanted[a] = wanted[b] = True
+                lists[a] = rows[b]
+        kept = table.select([*TILE, "row", "root"]).append_column("partners", pa.array(lists, pa.list_(pa.int64())))
+        return kept.filter(pa.array(wanted))
+
+    return tiled.groupBy(*TILE).applyInArrow(find, "band long, low int, high int, row long, root long, partners array<long>")
+
+
+def _joined_in_tiles(partners: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links on the full sets that join two components of a tile, fewer than its members."""
+
+    def confirm(table: pa.Table) -> pa.Table:
+        rows, roots = table.column("row").to_pylist(), table.column("root").to_pylist()
+        elements = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("elements")]
+        place, parent = {row: i for i, row in enumerate(rows)}, {root: root for root in roots}
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        found = []
+        for i, others in enumerate(table.column("partners").to_pylist()):
+            for b in others:
+                j = place[b]
+                x, y = top(roots[i]), top(roots[j])
+                if x != y and _alike(elements[i], elements[j], percent):
+                    parent[x] = y
+                    found.append((rows[i], b))
+        return pa.table({n: pa.array([f[k] for f in found], pa.int64()) for k, n in enumerate("ab")})
+
+    return partners.join(sets, "row").groupBy(*TILE).applyInArrow(confirm, "a long, b long")
+
+
 def linked_classes(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, root) of the classes that are linked with another; reps: (row, key1, key2, bands,
     sketch, samples, n_shingles) of one row per class."""
@@ -298,24 +393,7 @@ def linked_classes(docs: DataFrame, reps: DataFrame, words: int, percent: int) -
     placed = buckets.withColumn("root", F.col("row")) if labels is None else _labelled(buckets, labels)
     mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
     open_rows = stored(placed.join(mixed, "band").join(wanted.drop("key1", "key2"), "row"), "open")
-    left, right = (
-        open_rows.select(
-            F.col("band").alias(f"{side}_band"), F.col("row").alias(side), F.col("root").alias(f"{side}_root"),
-            F.col("bands").alias(f"{side}_bands"), *side_columns(side),
-        )
-        for side in ("a", "b")
-    )
-    # a pair that shares several bands is formed in the first of them only
-    common = F.filter("a_bands", lambda band, i: band == F.get("b_bands", i))
-    rest = left.join(
-        right,
-        (F.col("a_band") == F.col("b_band"))
-        & (F.col("a") < F.col("b"))
-        & (F.col("a_root") != F.col("b_root"))
-        & near
-        & (F.get(common, F.lit(0)) == F.col("a_band")),
-    )
-    found = stored(_confirmed(rest.select("a", "b"), sets, percent), "links")
+    found = stored(_joined_in_tiles(_partners(open_rows, percent), sets, percent), "links")
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         labels = components(links)

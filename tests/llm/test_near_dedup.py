@@ -51,6 +51,30 @@ def corpus(seed):
     return rows + [(5000, None), (5001, ""), (5002, " \n"), (None, "lonely words here"), (None, None), rows[0], rows[0]]
 
 
+@pytest.mark.parametrize("tile_rows", [3, 1024])
+def test_tiles_find_the_links_between_components(spark, monkeypatch, tile_rows):
+    """Without rounds of leaders all links come from the tiles."""
+    monkeypatch.setattr(near_dedup, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
+    rows = corpus(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_dedup.near_duplicates(docs, 2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == brute(rows, 2)[0]
+
+
+def test_bounds_are_the_same_on_columns_and_arrays(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(n), int(s), int(b)) for n, s, b in zip(rng.integers(2, 20_000, 500), rng.integers(2, 2048, 500), rng.integers(0, 1024, 500), strict=True)]
+    sizes, samples, bits = (F.col(c) for c in ("sizes", "samples", "bits"))
+    shown = spark.createDataFrame(rows, "sizes long, samples long, bits long").select(
+        near_dedup._shared_samples(bits, samples), near_dedup._least_shared(sizes, samples, 0.8)
+    ).collect()
+    n, s, b = (np.array(x) for x in zip(*rows, strict=True))
+    arrays = near_dedup._OfArrays
+    assert np.allclose([r[0] for r in shown], near_dedup._shared_samples(b, s, arrays))
+    assert np.allclose([r[1] for r in shown], near_dedup._least_shared(n, s, 0.8, arrays))
+
+
 @pytest.mark.parametrize(("seed", "words"), [(1, 2), (2, 5)])
 def test_components_are_those_of_all_pairs(spark, seed, words):
     rows = corpus(seed)
