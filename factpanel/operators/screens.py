@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factpanel.functions.numeric import lenient_columns
@@ -16,6 +16,9 @@ ROE_FLOOR = 0.10
 FREE_CASH_FLOOR = 0.0
 DEBT_TO_EQUITY_LIMIT = 2.0
 
+TIE_COLS = ["adsh", *PERIOD_COLS]
+RANKED_COLS = ["adsh", "cik", "name"]
+
 
 def existing(df: DataFrame, cols: list[str]) -> DataFrame:
     """Projection to the listed columns that exist."""
@@ -27,7 +30,7 @@ def _ties(df: DataFrame) -> list[Column]:
     """Order of equal values. The range shuffle of a full sort cuts on these too,
     so rows that share one value spread over several tasks."""
     there = set(df.columns)
-    return [F.col(c).asc_nulls_last() for c in ("adsh", *PERIOD_COLS) if c in there]
+    return [F.col(c).asc_nulls_last() for c in TIE_COLS if c in there]
 
 
 def _by(df: DataFrame, metric: str, ascending: bool = False) -> DataFrame:
@@ -88,6 +91,28 @@ def rank_by(df: DataFrame, metric: str, top_n: int = 20, ascending: bool = False
     return _by(rows, metric, ascending).limit(top_n)
 
 
+def rank_all(df: DataFrame, metrics: list[str], top_n: int = 20, keep: list[str] = RANKED_COLS) -> DataFrame:
+    """(metric, direction, rank, value, and the columns of `keep` that exist): the highest and the
+    lowest rows by each metric, what `rank_by` gives for one, from one pass over ``df``.
+
+    Every row becomes one row for each metric it has, and direction. Spark puts the limit of a
+    group below the shuffle too, so that a task sends ``top_n`` rows of each metric and
+    direction, whatever the size of ``df``.
+    """
+    if missing := [m for m in metrics if m not in df.columns]:
+        raise ValueError(f"no metrics {missing!r}")
+    rows = lenient_columns(df, metrics)
+    kept = [c for c in keep if c in df.columns]
+    values = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
+    rows = rows.select(F.struct(*kept, *[c for c in TIE_COLS if c in df.columns and c not in kept]).alias("row"), F.explode(F.array(*values)).alias("m"))
+    rows = rows.where("m.value IS NOT NULL").select("row", "m.metric", "m.value", F.explode(F.array(F.lit("high"), F.lit("low"))).alias("direction"))
+    ties = [F.col(f"row.{c}").asc_nulls_last() for c in TIE_COLS if c in df.columns]
+    key = F.when(F.col("direction") == "high", -F.col("value")).otherwise(F.col("value"))
+    rank = F.row_number().over(Window.partitionBy("metric", "direction").orderBy(key, *ties))
+    ranked = rows.withColumn("rank", rank).where(F.col("rank") <= top_n)
+    return ranked.select("metric", "direction", "rank", "value", *[F.col(f"row.{c}").alias(c) for c in kept])
+
+
 def top_revenue(df: DataFrame, n: int = 500) -> DataFrame:
     """Top rows by revenue; rows without revenue come last but stay."""
     return _by(lenient_columns(df, ["revenue"]), "revenue").limit(n)

@@ -114,6 +114,17 @@ def _plain(doubles: list[str], others: str, source: str) -> str:
     return f"SELECT {others}{', ' if others else ''}{cells}, concat_ws(',', {signs}) AS infinite FROM {source}"
 
 
+def _ranked(metrics: list[str]) -> str:
+    """The 20 highest and lowest rows by each metric, the metrics below each other."""
+    tops = [
+        f"SELECT * FROM (SELECT '{m}' AS metric, '{direction}' AS direction, row_number() OVER (ORDER BY {m} {order}, adsh) AS rank, "
+        f"adsh, cik, name, {m} AS value FROM p WHERE {m} IS NOT NULL) WHERE rank <= 20"
+        for m in metrics
+        for direction, order in (("high", "DESC"), ("low", "ASC"))
+    ]
+    return f"ranked AS ({' UNION ALL '.join(tops)})"
+
+
 def _sum4(c: str) -> str:
     x = f"CASE WHEN isinf({c}) THEN NULL ELSE {c} END"
     parts = [f"lag({x}, {k}) OVER w" for k in (3, 2, 1)] + [x]
@@ -450,6 +461,7 @@ def oracle_sql() -> dict[str, str]:
             f"{PANEL},\ntop AS (SELECT * FROM p WHERE net_margin IS NOT NULL ORDER BY net_margin, adsh LIMIT 15)",
             _plain(["net_margin", "revenue"], "adsh, name", "top"),
         ),
+        "rank_all_metrics": _with(f"{PANEL},\n{_ranked([*METRICS, *RATIO_COLS])}", _plain(["value"], "metric, direction, rank, adsh, cik, name", "ranked")),
         "excel_subset": _with(
             f"{PANEL},\ntop AS (SELECT * FROM p ORDER BY revenue DESC NULLS LAST, adsh LIMIT 10)",
             _plain(sheet_numbers, ", ".join(sheet_text), "top"),

@@ -225,6 +225,11 @@ def rank_metric_low(spark, sf):
     return plain(rows.select("adsh", "name", "net_margin", "revenue"))
 
 
+def rank_all_metrics(spark, sf):
+    """The 20 highest and lowest filings by each of 24 metrics."""
+    return plain(screens.rank_all(_panel(spark, sf), [*METRICS, *RATIO_COLS], 20))
+
+
 def excel_subset(spark, sf):
     return plain(screens.sheet_subset(_panel(spark, sf), 10))
 
@@ -531,6 +536,7 @@ def queries() -> dict[str, Query]:
         "top_revenue": top_revenue,
         "rank_metric": rank_metric,
         "rank_metric_low": rank_metric_low,
+        "rank_all_metrics": rank_all_metrics,
         "excel_subset": excel_subset,
         "compare_companies": compare_companies,
         "absent_filings": absent_filings,

@@ -214,6 +214,17 @@ def test_collapse_and_thresholds(spark):
 PANEL = "adsh string, cik int, revenue double, gross_margin double, roe double, fcf_approx double, debt_to_equity double, fy int, fp string, filed string"
 
 
+def test_all_ranks_come_from_one_scan(spark, tmp_path):
+    columns = [f"m{i}" for i in range(24)]
+    spark.range(200).selectExpr("id AS adsh", *[f"(id * {i + 7}) % 101 * 1D AS {c}" for i, c in enumerate(columns)]).write.parquet(str(tmp_path / "p"))
+    ranked = screens.rank_all(spark.read.parquet(str(tmp_path / "p")), columns, 5)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    # the limit of a group works before the shuffle too
+    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
+    assert ranked.count() == 24 * 2 * 5
+
+
 def test_screens(spark):
     rows = [
         ("a", 1, 6e7, 0.2, 0.3, 1.0, 1.0, 2024, "Q1", "1"),
@@ -231,6 +242,14 @@ def test_screens(spark):
     assert names(screens.revenue_screen(df.drop("revenue"))) == []
     assert names(screens.rank_by(df, "roe", 3)) == ["f", "b", "a"]
     assert names(screens.rank_by(df, "revenue", 1, ascending=True)) == ["e"]
+    ranked = screens.rank_all(df, ["roe", "revenue"], 3)
+    for metric in ("roe", "revenue"):
+        for direction in ("high", "low"):
+            own = ranked.where((F.col("metric") == metric) & (F.col("direction") == direction)).orderBy("rank")
+            single = screens.rank_by(df, metric, 3, ascending=direction == "low")
+            assert [(r["adsh"], r["value"]) for r in own.collect()] == [(r["adsh"], r[metric]) for r in single.collect()]
+    with pytest.raises(ValueError):
+        screens.rank_all(df, ["roe", "nothing"])
     assert names(screens.top_revenue(df, 10))[-1] == "d"
     with pytest.raises(ValueError):
         screens.rank_by(df, "nothing")
