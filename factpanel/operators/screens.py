@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,22 +96,60 @@ def rank_by(df: DataFrame, metric: str, top_n: int = 20, ascending: bool = False
     return _by(rows, metric, ascending).limit(top_n)
 
 
+def leading_rows(df: DataFrame, metrics: list[str], top_n: int, ties: list[str]) -> DataFrame:
+    """Of each task the rows that are among its ``top_n`` highest or lowest by one of the
+    metrics (doubles). A task holds these and one batch, and sorts only what ties."""
+
+    def leading(table: pa.Table) -> pa.Table:
+        chosen = []
+        for m in metrics:
+            column = table.column(m)
+            values = column.to_numpy()
+            there = np.flatnonzero(column.is_valid().to_numpy())
+            for sign in (-1, 1):
+                at, keys = there, sign * values[there]
+                if len(at) > top_n:
+                    last = np.partition(keys, top_n - 1)[top_n - 1]
+                    chosen.append(at[keys < last])
+                    at = at[keys == last]
+                    if (more := top_n - len(chosen[-1])) < len(at) and ties:
+                        order = pc.sort_indices(table.select(ties).take(at), [(c, "ascending") for c in ties], null_placement="at_end")
+                        at = at[order.to_numpy()]
+                    at = at[:more]
+                chosen.append(at)
+        return table.take(np.unique(np.concatenate(chosen)))
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = leading(rows if held is None else pa.concat_tables([held, rows]))
+        if held is not None:
+            yield from held.combine_chunks().to_batches()
+
+    return df.mapInArrow(of_task, df.schema)
+
+
 def rank_all(df: DataFrame, metrics: list[str], top_n: int = 20, keep: list[str] = RANKED_COLS) -> DataFrame:
     """(metric, direction, rank, value, and the columns of `keep` that exist): the highest and the
     lowest rows by each metric, what `rank_by` gives for one, from one pass over ``df``.
 
-    Every row becomes one row for each metric it has, and direction. Spark puts the limit of a
-    group below the shuffle too, so that a task sends ``top_n`` rows of each metric and
-    direction, whatever the size of ``df``.
+    A task first drops the rows that lead by no metric. Every other row becomes one row for
+    each metric it has, and direction. Spark puts the limit of a group below the shuffle too, so
+    that a task sorts and sends ``top_n`` rows of each metric and direction, whatever the size
+    of ``df``.
     """
     if missing := [m for m in metrics if m not in df.columns]:
         raise ValueError(f"no metrics {missing!r}")
     rows = lenient_columns(df, metrics)
     kept = [c for c in keep if c in df.columns]
+    tied = [c for c in TIE_COLS if c in df.columns]
+    if metrics and top_n > 0:
+        rows = leading_rows(rows.select(*dict.fromkeys([*kept, *tied, *metrics])), list(dict.fromkeys(metrics)), top_n, tied)
     values = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
-    rows = rows.select(F.struct(*kept, *[c for c in TIE_COLS if c in df.columns and c not in kept]).alias("row"), F.explode(F.array(*values)).alias("m"))
+    rows = rows.select(F.struct(*kept, *[c for c in tied if c not in kept]).alias("row"), F.explode(F.array(*values)).alias("m"))
     rows = rows.where("m.value IS NOT NULL").select("row", "m.metric", "m.value", F.explode(F.array(F.lit("high"), F.lit("low"))).alias("direction"))
-    ties = [F.col(f"row.{c}").asc_nulls_last() for c in TIE_COLS if c in df.columns]
+    ties = [F.col(f"row.{c}").asc_nulls_last() for c in tied]
     key = F.when(F.col("direction") == "high", -F.col("value")).otherwise(F.col("value"))
     rank = F.row_number().over(Window.partitionBy("metric", "direction").orderBy(key, *ties))
     ranked = rows.withColumn("rank", rank).where(F.col("rank") <= top_n)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -225,6 +227,29 @@ def test_all_ranks_come_from_one_scan(spark, tmp_path):
     assert ranked.count() == 24 * 2 * 5
 
 
+def test_tasks_keep_only_leading_rows(spark):
+    """Few rows of a task get as far as the sort, also where most values are equal; the ranks
+    are those of a whole sort."""
+    rng = random.Random(7)
+    odd = [0.0, -0.0, 1.0, float("inf"), float("-inf"), float("nan"), None]
+    rows = [
+        (rng.choice([None, "ü", "Z", "a", f"f{i}", f"f{i}", f"f{i}"]), i, rng.choice([None, 2023, 2024]), rng.choice(odd), float(i % 2), rng.random(), None)
+        for i in range(6000)
+    ]
+    metrics = ["odd", "even", "any", "none"]
+    df = spark.createDataFrame(rows, "adsh string, cik int, dataset_year int, odd double, even double, any double, none double").repartition(2)
+    plain = lambda x: None if x is None or x != x else x
+    last = lambda x: (x is None, x.encode() if isinstance(x, str) else x)
+    kept = screens.leading_rows(df.select("adsh", "dataset_year", "even", "any"), ["even", "any"], 7, ["adsh", "dataset_year"])
+    assert 14 <= kept.count() <= 2 * 2 * 2 * 7
+    found = {(r["metric"], r["direction"], r["rank"]): (r["value"], r["adsh"]) for r in screens.rank_all(df, metrics, 7).collect()}
+    for i, metric in enumerate(metrics, 3):
+        for sign, direction in ((-1, "high"), (1, "low")):
+            own = sorted((r for r in rows if plain(r[i]) is not None), key=lambda r: (sign * r[i], last(r[0]), last(r[2])))[:7]
+            assert [found.pop((metric, direction, n), None) for n in range(1, len(own) + 1)] == [(r[i], r[0]) for r in own]
+    assert not found
+
+
 def test_screens(spark):
     rows = [
         ("a", 1, 6e7, 0.2, 0.3, 1.0, 1.0, 2024, "Q1", "1"),
