@@ -26,7 +26,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence of 4096 ids and its place there."""
-    return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"), end_id=2, rest=True)
 
 
 STAGES = [

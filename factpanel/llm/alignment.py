@@ -39,11 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factpanel.llm.common import groups_of_texts, stored
+from factpanel.llm.common import groups_of_column, held_by_worker, release_memory, stored
 from factpanel.llm.pieces import _library_encode, byte_letters
 
 #: Bounds of what a worker keeps of pieces that it has met.
 MOST_PIECES, MOST_LINKS = 150_000, 2_000_000
+#: Of these bounds, the share that it holds between two tasks; new pieces learned at once.
+RESTING, LEARNED_AT_ONCE = 4, 20_000
 #: Characters of a batch of texts.
 BATCH_CHARS = 2_000_000
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -78,13 +80,19 @@ def links_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def planes(numbers: np.ndarray) -> bytes:
-    """Numbers as all their lowest bytes, then all the next ones: as most are small, most of these
-    bytes are zeros in a row, which the files and shuffles of Spark compress."""
-    return numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Numbers from 0 on, as how many bytes the largest needs, then all their lowest bytes, all the
+    next ones, and so on: rows stay small in memory, and what repeats is compressed by the
+    files and shuffles of Spark."""
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    parts = numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + parts.T.tobytes()
 
 
 def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+    parts = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    made = np.zeros((parts.shape[1], 8), np.uint8)
+    made[:, : len(parts)] = parts.T
+    return made.view("<i8").ravel()
 
 
 class Tokenizers:
@@ -104,7 +112,8 @@ class Tokenizers:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = True
-        self.encode_a = _library_encode(tokenizer, told, lowers=False)
+        # pieces that are one word are kept with their alignment, not here too
+        self.encode_a = _library_encode(tokenizer, told, lowers=False, single=False)
         letters = byte_letters()
         self.bytes_a: list[bytes] = [b""] * tokenizer.get_vocab_size()
         for token, i in tokenizer.get_vocab().items():
@@ -143,12 +152,12 @@ class Aligned:
         self.met = np.zeros(1 << 12, np.int64)
         self.used = 0
 
-    def shrink(self) -> None:
-        """Keep the half that was met most, of what was met again since the last time."""
+    def shrink(self, share: int = 2) -> None:
+        """Keep that part of the bounds that was met most, of what was met again since the last time."""
         met = self.met[: len(self.texts)]
-        kept = np.argsort(-met, kind="stable")[: MOST_PIECES // 2]
+        kept = np.argsort(-met, kind="stable")[: MOST_PIECES // share]
         kept = np.sort(kept[met[kept] > 1])
-        if self.counts[kept, 3].sum() > MOST_LINKS // 2:
+        if self.counts[kept, 3].sum() > MOST_LINKS // share:
             kept = kept[:0]
         pieces = list(self.known)  # in the order of their numbers
         pieces, texts = [pieces[i] for i in kept.tolist()], [self.texts[i] for i in kept.tolist()]
@@ -156,11 +165,18 @@ class Aligned:
         self.clear()
         self._keep(pieces, texts, counts, pairs)
 
+    def rest(self) -> None:
+        """At the end of a task: a worker that waits holds the pieces met most, and gives the
+        other memory back."""
+        if len(self.known) > MOST_PIECES // RESTING or self.used > MOST_LINKS // RESTING:
+            self.shrink(RESTING)
+        release_memory()
+
     def numbers(self, pieces: list[str]) -> np.ndarray:
         known = self.known
         new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            self.learn(new)
+        for i in range(0, len(new), LEARNED_AT_ONCE):
+            self.learn(new[i : i + LEARNED_AT_ONCE])
         made = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
         self.met[: len(known)] += np.bincount(made, minlength=len(known))
         return made
@@ -266,14 +282,9 @@ class Aligned:
         }
 
 
-_aligned: dict[tuple[str, str], Aligned] = {}
-
-
 def aligned(path_a: str, path_b: str) -> Aligned:
     """The one of this Python worker."""
-    if (path_a, path_b) not in _aligned:
-        _aligned[path_a, path_b] = Aligned(path_a, path_b)
-    return _aligned[path_a, path_b]
+    return held_by_worker(("aligned", path_a, path_b), lambda: Aligned(path_a, path_b))
 
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -289,8 +300,7 @@ def batches_of(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligned(path_a, path_b)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, group in groups_of_texts(texts, BATCH_CHARS):
+            for first, group in groups_of_column(batch.column(1), BATCH_CHARS):
                 made = tool.batch(group)
                 ids = pa.ListArray.from_arrays(pa.array([0, len(group)], pa.int32()), batch.column(0).slice(first, len(group)))
                 columns = [pa.array([secrets.randbits(63)], pa.int64()), ids]
@@ -299,6 +309,7 @@ def batches_of(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 columns += [pa.array([planes(made[p])], pa.binary()) for p in packed]
                 columns += [pa.array([made[p]], pa.list_(pa.int64())) for p in ("pairs", "links")]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        tool.rest()
 
     names = ["batch", "doc_ids", *COUNTS, "digests", *packed, "pairs", "links"]
     schema = f"batch long, doc_ids array<{kind}>, {', '.join(f'{c} array<long>' for c in COUNTS)}, digests array<string>, "

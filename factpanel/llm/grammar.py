@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factpanel.llm.common import groups_of_texts, new_path
+from factpanel.llm.common import groups_of_column, new_path, release_memory
 from factpanel.llm.pieces import cache_of
 
 BLOCK_IDS = 1 << 20
@@ -36,27 +36,37 @@ LEAST_COUNT = 16
 BUCKETS = 1 << 20
 
 
+def _buckets(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.intp)
+
+
 def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(frequent, rank): the pairs that occur at least `least` times, most frequent first,
     and at each position the rank of its pair, -1 if that is not frequent. A count of
     hashed pairs leaves out most of the rare ones before the exact count."""
+    hashed = _buckets(pairs)
     if len(pairs) > BUCKETS // 8:
-        hashed = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
         often = np.flatnonzero((np.bincount(hashed, minlength=BUCKETS) >= least)[hashed])
+        hashed = hashed[often]
     else:
         often = np.arange(len(pairs))
-    values, counts = np.unique(pairs[often], return_counts=True)
+    own = pairs[often]
+    values, counts = np.unique(own, return_counts=True)
     values, counts = values[counts >= least], counts[counts >= least]
     rank = np.full(len(pairs), -1, np.int32)
     if len(values):
-        order = np.argsort(-counts, kind="stable")
-        rank_of = np.empty(len(values), np.int32)
-        rank_of[order] = np.arange(len(values), dtype=np.int32)
-        own = pairs[often]
-        at = np.searchsorted(values, own)
-        at[at == len(values)] = 0
-        rank[often] = np.where(values[at] == own, rank_of[at], -1)
-        values = values[order]
+        values = values[np.argsort(-counts, kind="stable")]
+        # the rank of one frequent pair of each bucket; where another pair is met, the exact search
+        held = np.full(BUCKETS, -1, np.int32)
+        held[_buckets(values)] = np.arange(len(values), dtype=np.int32)
+        found = held[hashed]
+        other = np.flatnonzero((found >= 0) & (values[found] != own))
+        if len(other):
+            order = np.argsort(values)
+            at = np.searchsorted(values, own[other], sorter=order)
+            at = order[np.where(at == len(values), 0, at)]
+            found[other] = np.where(values[at] == own[other], at, -1)
+        rank[often] = found
     return values, rank
 
 
@@ -91,25 +101,33 @@ def compress(ids: np.ndarray, first_rule: int, least: int = LEAST_COUNT, rounds:
     stays rare, so a pass only looks at frequent pairs that were not replaced in the one
     before, and at pairs with a new symbol.
     """
-    symbols, n = ids.astype(np.uint32), len(ids)
+    symbols, n = ids.astype(np.uint64), len(ids)
     after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
     stands, open_ = np.ones(n, bool), np.zeros(n, bool)
     made, count, turn = [np.zeros((0, 2), np.uint32)], 0, 0
     starts = np.arange(max(0, n - 1))
     while len(starts) and (rounds is None or turn < rounds):
-        seconds = after[starts]
-        pairs = (symbols[starts].astype(np.uint64) << np.uint64(32)) | symbols[seconds].astype(np.uint64)
+        if turn:
+            seconds = after[starts]
+            pairs = (symbols[starts] << np.uint64(32)) | symbols[seconds]
+        else:
+            seconds = starts + 1
+            pairs = (symbols[:-1] << np.uint64(32)) | symbols[1:]
         frequent, rank = _ranked(pairs, least)
         if not len(frequent):
             break
         left = np.flatnonzero(rank >= 0)
         starts, seconds, rank = starts[left], seconds[left], rank[left]
         chosen = _chosen(rank, seconds[:-1] == starts[1:])
-        used, number = np.unique(rank[chosen], return_inverse=True)
+        number = rank[chosen]
+        used = np.flatnonzero(np.bincount(number, minlength=len(frequent)))
+        place = np.zeros(len(frequent), np.int64)
+        place[used] = np.arange(len(used))
+        number = place[number]
         rules = frequent[used]
         made.append(np.stack([rules >> np.uint64(32), rules & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         at, gone = starts[chosen], seconds[chosen]
-        symbols[at] = (first_rule + count + number).astype(np.uint32)
+        symbols[at] = first_rule + count + number
         stands[gone] = False
         following = after[gone]
         after[at] = following
@@ -124,7 +142,7 @@ def compress(ids: np.ndarray, first_rule: int, least: int = LEAST_COUNT, rounds:
         found = np.flatnonzero(open_)
         open_[found] = False
         starts = found[after[found] < n]
-    return symbols[stands], np.concatenate(made)
+    return symbols[stands].astype(np.uint32), np.concatenate(made)
 
 
 def expansion_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
@@ -141,14 +159,32 @@ def expansion_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
 
 
 def expand(sequence: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """The ids that a stretch of the compressed sequence stands for. Each symbol is taken
-    apart at the place where its ids go, so that rules of any depth cost a step per symbol."""
+    """The ids that a stretch of the compressed sequence stands for. Where all rules together
+    stand for no more ids than the stretch, each is taken apart once and its ids are copied."""
     lengths = expansion_lengths(rules, first_rule)
     symbols = sequence.astype(np.int64)
     sizes = np.ones(len(symbols), np.int64)
     ruled = symbols >= first_rule
     sizes[ruled] = lengths[symbols[ruled] - first_rule]
     ends = np.cumsum(sizes)
+    if not len(ends) or lengths.sum() > ends[-1]:
+        return _taken_apart(symbols, sizes, ends, rules, lengths, first_rule)
+    each = np.arange(first_rule, first_rule + len(rules))
+    rule_ends = np.cumsum(lengths)
+    # ids that stand for themselves come after those of the rules
+    parts = _taken_apart(each, lengths, rule_ends, rules, lengths, first_rule)
+    ids = np.concatenate([parts, symbols[~ruled].astype(np.uint32)])
+    starts = np.empty(len(symbols), np.int64)
+    starts[ruled] = (rule_ends - lengths)[symbols[ruled] - first_rule]
+    starts[~ruled] = len(parts) + np.arange(len(symbols) - int(ruled.sum()))
+    index = np.repeat(starts - (ends - sizes), sizes)
+    index += np.arange(len(index))
+    return ids[index]
+
+
+def _taken_apart(symbols: np.ndarray, sizes: np.ndarray, ends: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first_rule: int) -> np.ndarray:
+    """The ids of symbols, which stand for as many ids as sizes say. Each symbol is taken
+    apart at the place where its ids go, so that rules of any depth cost a step per symbol."""
     places = ends - sizes
     ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
     while len(symbols):
@@ -210,8 +246,7 @@ def write_shards(
         cache, part, number = cache_of(tokenizer), TaskContext.get().partitionId(), 0
         held, keys, sizes, total = [], [], [], 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, group in groups_of_texts(texts):
+            for first, group in groups_of_column(batch.column(1)):
                 ids, counts = cache.gather(group)
                 at, since = 0, 0
                 for i, count in enumerate(counts.tolist()):
@@ -227,6 +262,7 @@ def write_shards(
                     keys.append(batch.column(0).slice(first + since, len(group) - since))
         if held:
             yield block(part, number, held, keys, sizes)
+        release_memory()
 
     # the sample that sets the ranges holds these columns only, and no texts
     rows = docs.select("doc_id", "text").withColumn("hash", F.xxhash64("text"))

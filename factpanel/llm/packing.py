@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factpanel.llm.common import groups_of_texts, stored
+from factpanel.llm.common import groups_of_column, stored
 from factpanel.llm.pieces import cache_of
 
 CAPACITY = 4096
@@ -52,14 +52,15 @@ def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
     return made
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens) of every piece."""
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, rest: bool = False) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens) of every piece. With `rest` a worker gives
+    most of its cache back at the end of a task, and meets more pieces again."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = cache_of(tokenizer)
         for batch in batches:
-            keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for first, group in groups_of_texts(texts):
+            keys = batch.column(0)
+            for first, group in groups_of_column(batch.column(1)):
                 ids, sizes = cache.gather(group)
                 ids = ids.astype("<u4")
                 rows, starts, lengths, sums, totals = [], [], [], [], []
@@ -78,6 +79,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
                 columns = [keys.take(pa.array(rows, pa.int64()))]
                 columns += [pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        if rest:
+            cache.rest()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     made = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
@@ -161,6 +164,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return whole.select(*names).unionByName(rest.select(*names))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY, rest: bool = False) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return pack(token_pieces(docs, tokenizer, end_id, capacity), capacity)
+    return pack(token_pieces(docs, tokenizer, end_id, capacity, rest), capacity)

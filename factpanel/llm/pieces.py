@@ -10,18 +10,23 @@ neighbours, so that the cut never changes the ids.
 from __future__ import annotations
 
 import gc
+import string
 from collections.abc import Callable
 from itertools import chain, repeat
 
 import numpy as np
 
-from factpanel.llm.common import held_by_worker
+from factpanel.llm.common import held_by_worker, release_memory
 
 Encode = Callable[[list[str]], list[list[int]]]
 
 #: Bounds of the cache: pieces, and characters in them. Beyond, the half that was met most
 #: since the last time stays.
 MOST_PIECES, MOST_CHARS = 600_000, 24_000_000
+#: Of these bounds, the share that is held between two tasks, where an operator asks for that.
+RESTING = 8
+#: New pieces that are encoded at once.
+LEARNED_AT_ONCE = 50_000
 
 # A key is a piece as split() leaves it: its space is taken off, a line end is not.
 FIRST = " "  # before the piece that starts a text
@@ -67,14 +72,14 @@ class PieceCache:
         self.at, self.size, self.met = (np.zeros(1 << 14, np.int64) for _ in range(3))
         self.used, self.count = 0, 1
 
-    def _shrink(self) -> None:
-        """Keep the half that was met most, of the pieces met more than once."""
+    def _shrink(self, share: int = 2) -> None:
+        """Keep that part of the bounds that was met most, of the pieces met more than once."""
         pieces = [key for key, n in self.known.items() if n]  # in the order of their numbers
         met = self.met[1 : self.count]
         order = np.argsort(-met, kind="stable")
-        order = order[: int((met > 1).sum())][: MOST_PIECES // 2]
+        order = order[: int((met > 1).sum())][: MOST_PIECES // share]
         chars = np.cumsum(np.fromiter((len(pieces[i]) for i in order.tolist()), np.int64, len(order)))
-        numbers = np.concatenate([[0], np.sort(order[chars <= MOST_CHARS // 2]) + 1])
+        numbers = np.concatenate([[0], np.sort(order[chars <= MOST_CHARS // share]) + 1])
         kept = [pieces[n - 1] for n in numbers[1:].tolist()]
         sizes = self.size[numbers]
         ends = np.cumsum(sizes)
@@ -87,6 +92,15 @@ class PieceCache:
         self.chars = sum(map(len, self.known))
         self.retained(numbers)
 
+    def rest(self) -> None:
+        """At the end of a task: a worker that waits, or runs a task without texts, holds the
+        pieces met most and gives the other memory back."""
+        if len(self.known) > MOST_PIECES // RESTING or self.chars > MOST_CHARS // RESTING:
+            self._shrink(RESTING)
+            self.ids = self.ids[: max(1 << 16, self.used)].copy()
+            self.at, self.size, self.met = (x[: max(1 << 14, self.count)].copy() for x in (self.at, self.size, self.met))
+        release_memory()
+
     def retained(self, numbers: np.ndarray) -> None:
         """For what a subclass keeps beside the ids: the pieces that stay."""
 
@@ -94,9 +108,15 @@ class PieceCache:
         """The same for new pieces."""
 
     def _learn(self, keys: list[str]) -> None:
+        keys = list(dict.fromkeys(keys))
+        for i in range(0, len(keys), LEARNED_AT_ONCE):
+            self._learn_some(keys[i : i + LEARNED_AT_ONCE])
+
+    def _learn_some(self, keys: list[str]) -> None:
         good, literals = [], []
-        for key in dict.fromkeys(keys):
-            literal = _literal(key)
+        for key in keys:
+            # most begin and end with other characters than white space
+            literal = _literal(key) if not key or key[0].isspace() or key[-1].isspace() else " " + key
             if literal is None:
                 self.known[key] = UNSAFE
             else:
@@ -181,6 +201,7 @@ class PieceCache:
 
 #: Fixed value: the words of a byte-level pre-tokenizer that has no pattern of its own.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SIGNS = string.punctuation
 #: Words that are kept besides, of pieces that hold more than one.
 MOST_WORDS = 100_000
 
@@ -230,16 +251,19 @@ def _library_encode(tokenizer, told: dict, lowers: bool, single: bool = True) ->
     plain = all(s["type"] in ("NFC", "Replace", "Lowercase") for s in (told["normalizer"] or {}).get("normalizers", []))
     words = regex.compile(pattern) if pattern and plain else None
     letter_of = {b: letter for letter, b in byte_letters().items()}
-    letters, space = {b: ord(letter_of[b]) for b in range(256)}, letter_of[32]
+    letters = {c: "".join(letter_of[b] for b in chr(c).encode()) for c in range(256)}
+    space = letter_of[32]
     spaced = pattern == BYTE_LEVEL_WORDS  # the space before a word is a part of it
+    direct = words is not None and spaced and not lowers and not single
     known: dict[str, tuple[int, ...]] = {}
+    tokenize = model.tokenize
 
     def of_word(word: str) -> tuple[int, ...]:
         if word.isascii() and word.isprintable():
             spelled = word.replace(" ", space)
         else:
-            spelled = word.encode().decode("latin-1").translate(letters)
-        return tuple([t.id for t in model.tokenize(spelled)])
+            spelled = word.translate(letters)
+        return tuple([t.id for t in tokenize(spelled)])
 
     def kept(word: str) -> tuple[int, ...]:
         if len(known) > MOST_WORDS:
@@ -251,15 +275,24 @@ def _library_encode(tokenizer, told: dict, lowers: bool, single: bool = True) ->
         found: list[list[int] | None] = []
         others = []
         for text in texts:
+            if direct and text.isascii() and text[:1] == " " and (bare := text[1:]).isalpha():  # most pieces are one word
+                found.append(known.get(text) or [t.id for t in tokenize(space + bare)])
+                continue
             if words is None or "<|" in text or not _is_latin(text) or (lowers and text != text.lower()):
                 others.append(len(found))
                 found.append(None)
                 continue
             bare = text[1:] if text.startswith(" ") else text
-            if bare.isalpha():  # most pieces are one word
+            if bare.isalpha():
                 word = text if spaced else bare
                 found.append(known.get(word) or (kept if single else of_word)(word))
                 continue
+            if spaced and bare is not text:  # most others are one word and signs after it
+                word = text.rstrip(SIGNS)
+                if word[1:].isalpha():
+                    signs = text[len(word) :]
+                    found.append((known.get(word) or kept(word)) + (known.get(signs) or kept(signs)))
+                    continue
             own: list[int] = []
             for word in words.findall(text):
                 own += known.get(word) or kept(word)

@@ -84,6 +84,26 @@ def test_odd_texts(odd_docs, monkeypatch, bounds):
     assert len(long) == 1 and [g for i, g in enumerate(got) if i not in long] == [e for i, e in enumerate(expected) if i not in long]
 
 
+def test_numbers_take_the_bytes_they_need():
+    for numbers in ([], [0], [0, 255], [7, 256, 3], [1 << 40, 0, 5], [(1 << 63) - 1]):
+        data = alignment.planes(np.array(numbers, np.int64))
+        assert alignment.from_planes(data).tolist() == numbers
+        assert len(data) == 1 + len(numbers) * max(1, -(-max(numbers, default=0).bit_length() // 8))
+
+
+def test_a_worker_rests(odd_texts, monkeypatch):
+    """Between tasks a worker holds few pieces, and batches stay as they are."""
+    monkeypatch.setattr(alignment, "MOST_PIECES", 40)
+    monkeypatch.setattr(alignment, "LEARNED_AT_ONCE", 7)
+    tool, texts = alignment.Aligned(*PATHS), [t or "" for t in odd_texts]
+    first = tool.batch(texts)
+    tool.rest()
+    assert 0 < len(tool.known) <= 40 // alignment.RESTING
+    again = tool.batch(texts)
+    assert first["digests"] == again["digests"] and (first["counts"] == again["counts"]).all()
+    assert first["pairs"].tolist() == again["pairs"].tolist() and first["links"].tolist() == again["links"].tolist()
+
+
 def test_text_that_is_not_given_back(spark):
     """The model's own sign for a space comes back as a space."""
     docs = spark.createDataFrame([(1, "a▁b c"), (2, "<|endoftext|> </s> <0x41>")], "doc_id long, text string")

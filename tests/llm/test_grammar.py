@@ -30,6 +30,20 @@ def test_repeats_become_rules():
     assert len(sequence) + 2 * len(rules) < len(ids) / 4
 
 
+def test_pairs_of_one_bucket(monkeypatch):
+    """Frequent pairs that share a bucket keep their own ranks, the most frequent first."""
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 30, 20_000).astype(np.uint64)
+    pairs = (ids[:-1] << np.uint64(32)) | ids[1:]
+    monkeypatch.setattr(grammar, "_buckets", lambda p: (p % np.uint64(5)).astype(np.intp))
+    values, rank = grammar._ranked(pairs, 22)
+    found, counts = np.unique(pairs, return_counts=True)
+    order = np.argsort(-counts[counts >= 22], kind="stable")
+    assert values.tolist() == found[counts >= 22][order].tolist() and 1 < len(values) < len(found)
+    place = {v: i for i, v in enumerate(values.tolist())}
+    assert rank.tolist() == [place.get(p, -1) for p in pairs.tolist()]
+
+
 def test_no_frequent_pair_is_left():
     """A long passage that comes again and again becomes one rule, at the default."""
     rng = np.random.default_rng(3)

@@ -29,3 +29,18 @@ def test_pair_index_is_the_library(odd_texts):
     for text, ids in zip(texts, bpe.encode(texts), strict=True):
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids
         assert bpe.decode(ids) == tokenizer.decode(ids, skip_special_tokens=False) == text
+
+
+def test_a_cache_rests(odd_texts, monkeypatch):
+    """Between tasks a cache holds few pieces, and ids stay those of the library."""
+    monkeypatch.setattr(pieces, "MOST_PIECES", 80)
+    monkeypatch.setattr(pieces, "LEARNED_AT_ONCE", 7)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cache, tokenizer = pieces.library_cache(path), Tokenizer.from_file(path)
+    texts = [t or "" for t in odd_texts] + ["néé, the. (the) it's. a,' the's%%%", "the the. the, thé"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        ids, counts = cache.gather(texts)
+        assert ids.tolist() == sum(expected, []) and counts.tolist() == [len(e) for e in expected]
+        cache.rest()
+        assert len(cache.known) <= 80 // pieces.RESTING
