@@ -27,7 +27,12 @@ from factpanel.sources.tables import FOLDERS, FactTables
 
 
 def _said(error: Exception) -> str:
-    """Class and first line of an error."""
+    """Class and first line of an error; of one that comes from Java as it is, those of its cause."""
+    java = getattr(error, "java_exception", None)
+    if java is not None:
+        while java.getCause() is not None:
+            java = java.getCause()
+        return f"{java.getClass().getSimpleName()}: {(java.getMessage() or '').split(chr(10))[0]}"
     return f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"
 
 
