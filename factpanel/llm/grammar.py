@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factpanel.llm.common import groups_of_column, new_path, release_memory
+from factpanel.llm.common import new_path, release_memory, slices_of_column
 from factpanel.llm.pieces import cache_of
 
 BLOCK_IDS = 1 << 20
 #: A pair has to occur this often in what is left of a block to become a rule.
 LEAST_COUNT = 16
 BUCKETS = 1 << 20
+#: Texts that are cut into pieces at once.
+GROUP_BYTES = 4_000_000
 
 
 def _buckets(pairs: np.ndarray) -> np.ndarray:
@@ -43,24 +45,35 @@ def _buckets(pairs: np.ndarray) -> np.ndarray:
 def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(frequent, rank): the pairs that occur at least `least` times, most frequent first,
     and at each position the rank of its pair, -1 if that is not frequent. A count of
-    hashed pairs leaves out most of the rare ones before the exact count."""
+    hashed pairs leaves out most of the rare ones, and is the count of a pair that has its
+    bucket to itself; those that share one are counted exactly."""
     hashed = _buckets(pairs)
-    if len(pairs) > BUCKETS // 8:
-        often = np.flatnonzero((np.bincount(hashed, minlength=BUCKETS) >= least)[hashed])
-        hashed = hashed[often]
+    full = np.bincount(hashed, minlength=BUCKETS) if len(pairs) > BUCKETS // 8 else None
+    if full is not None:
+        often = np.flatnonzero((full >= least)[hashed])
+        own, hashed = pairs[often], hashed[often]
+        last = np.zeros(BUCKETS, np.uint64)
+        last[hashed] = own
+        shared = np.zeros(BUCKETS, bool)
+        shared[hashed[last[hashed] != own]] = True
+        mixed = np.flatnonzero(shared[hashed])
+        alone = np.flatnonzero((full >= least) & ~shared)
     else:
-        often = np.arange(len(pairs))
-    own = pairs[often]
-    values, counts = np.unique(own, return_counts=True)
+        often = mixed = np.arange(len(pairs))
+        own = pairs
+    values, counts = np.unique(own[mixed], return_counts=True)
     values, counts = values[counts >= least], counts[counts >= least]
+    if full is not None:
+        values, counts = np.concatenate([values, last[alone]]), np.concatenate([counts, full[alone]])
     rank = np.full(len(pairs), -1, np.int32)
     if len(values):
-        values = values[np.argsort(-counts, kind="stable")]
+        values = values[np.lexsort((values, -counts))]
         # the rank of one frequent pair of each bucket; where another pair is met, the exact search
         held = np.full(BUCKETS, -1, np.int32)
         held[_buckets(values)] = np.arange(len(values), dtype=np.int32)
         found = held[hashed]
-        other = np.flatnonzero((found >= 0) & (values[found] != own))
+        near = found[mixed]
+        other = mixed[(near >= 0) & (values[near] != own[mixed])]
         if len(other):
             order = np.argsort(values)
             at = np.searchsorted(values, own[other], sorter=order)
@@ -101,18 +114,22 @@ def compress(ids: np.ndarray, first_rule: int, least: int = LEAST_COUNT, rounds:
     stays rare, so a pass only looks at frequent pairs that were not replaced in the one
     before, and at pairs with a new symbol.
     """
-    symbols, n = ids.astype(np.uint64), len(ids)
-    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    symbols, n = ids.astype(np.uint32), len(ids)
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
     stands, open_ = np.ones(n, bool), np.zeros(n, bool)
     made, count, turn = [np.zeros((0, 2), np.uint32)], 0, 0
     starts = np.arange(max(0, n - 1))
     while len(starts) and (rounds is None or turn < rounds):
         if turn:
             seconds = after[starts]
-            pairs = (symbols[starts] << np.uint64(32)) | symbols[seconds]
+            pairs = symbols[starts].astype(np.uint64)
+            pairs <<= np.uint64(32)
+            pairs |= symbols[seconds]
         else:
             seconds = starts + 1
-            pairs = (symbols[:-1] << np.uint64(32)) | symbols[1:]
+            pairs = symbols[:-1].astype(np.uint64)
+            pairs <<= np.uint64(32)
+            pairs |= symbols[1:]
         frequent, rank = _ranked(pairs, least)
         if not len(frequent):
             break
@@ -142,7 +159,7 @@ def compress(ids: np.ndarray, first_rule: int, least: int = LEAST_COUNT, rounds:
         found = np.flatnonzero(open_)
         open_[found] = False
         starts = found[after[found] < n]
-    return symbols[stands].astype(np.uint32), np.concatenate(made)
+    return symbols[stands], np.concatenate(made)
 
 
 def expansion_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
@@ -246,8 +263,8 @@ def write_shards(
         cache, part, number = cache_of(tokenizer), TaskContext.get().partitionId(), 0
         held, keys, sizes, total = [], [], [], 0
         for batch in batches:
-            for first, group in groups_of_column(batch.column(1)):
-                ids, counts = cache.gather(group)
+            for first, group in slices_of_column(batch.column(1), GROUP_BYTES):
+                ids, counts = cache.gather_column(group)
                 at, since = 0, 0
                 for i, count in enumerate(counts.tolist()):
                     held.append(np.append(ids[at : at + count], end_id))

@@ -15,6 +15,8 @@ from collections.abc import Callable
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from factpanel.llm.common import held_by_worker, release_memory
 
@@ -61,11 +63,44 @@ def _joined(parts: list[str]) -> list[str]:
     return [WHOLE + literal for literal in made if literal]
 
 
+SIGNS = string.punctuation
+#: Latin-1 without the signs that count as letters in some versions of Unicode only.
+LETTERS = string.ascii_letters + "".join(chr(c) for c in range(0xC0, 0x100) if chr(c) not in "×÷")
+
+
+def _listed(keys: pa.Array) -> list[str]:
+    return keys.to_numpy(zero_copy_only=False).tolist()
+
+
+def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct pieces of a column, which one each piece of the texts in a row is, and how
+    many pieces each text has: none if it is null or empty."""
+    held = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)
+    counts = np.zeros(len(texts), np.int64)
+    # a line end may become two characters, so 32-bit places may not do
+    full = texts.filter(held).cast(pa.large_string())
+    cut = pc.split_pattern(pc.replace_substring(full, "\n", " \n"), " ")
+    counts[held.to_numpy(zero_copy_only=False)] = pc.list_value_length(cut).to_numpy()
+    pieces = cut.flatten().dictionary_encode()
+    return pieces.dictionary, pieces.indices.to_numpy(), counts
+
+
+def _signs_after_word(keys: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(which, words, signs): the keys that are one word of letters and signs after it."""
+    after = pc.utf8_ltrim(keys, LETTERS)
+    size = pc.binary_length(after)
+    which = pc.equal(pc.binary_length(pc.utf8_rtrim(after, SIGNS)), 0)
+    which = pc.and_(which, pc.and_(pc.greater(size, 0), pc.less(size, pc.binary_length(keys))))
+    which = pc.and_(which, pc.invert(pc.match_substring(after, "<|")))
+    return which, pc.utf8_rtrim(keys.filter(which), SIGNS), after.filter(which)
+
+
 class PieceCache:
     """encode: ids of each of the given texts, with what the tokenizer does to them."""
 
-    def __init__(self, encode: Encode, prepare: Callable[[str], str] | None = None):
-        self.encode, self.prepare = encode, prepare
+    def __init__(self, encode: Encode, prepare: Callable[[str], str] | None = None, signs_apart: bool = False):
+        """signs_apart: signs after a letter are encoded as if they stood alone."""
+        self.encode, self.prepare, self.signs_apart = encode, prepare, signs_apart
         self.known: dict[str, int] = {}
         self.chars = 0
         self.ids = np.zeros(1 << 16, np.int32)
@@ -171,25 +206,92 @@ class PieceCache:
                 parts[0] = FIRST + parts[0]
                 keys += parts
                 counts[i] = len(parts)
-        numbers = self._numbers(keys)
+        return self._safe(self._numbers(keys), counts, texts.__getitem__)
+
+    def _safe(self, numbers: np.ndarray, counts: np.ndarray, text_at: Callable[[int], str]) -> tuple[np.ndarray, np.ndarray]:
+        """numbers and counts, with texts in which the cut may be wrong cut anew."""
         self.met[: self.count] += np.bincount(numbers, minlength=self.count)
         if (numbers != UNSAFE).all():
             return numbers, counts
         starts = np.cumsum(counts) - counts
         cut: list[np.ndarray] = []
-        for i, text in enumerate(texts):
+        for i in range(len(counts)):
             own = numbers[starts[i] : starts[i] + counts[i]]
             if (own == UNSAFE).any():
+                text = text_at(i)
                 joined = _joined(text.replace("\n", " \n").split(" ")) if " \n" not in text else [WHOLE + text]
                 own = self._numbers(joined)
                 counts[i] = len(own)
             cut.append(own)
         return np.concatenate(cut), counts
 
+    def numbers_of_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for an Arrow column, nulls as empty texts. Arrow cuts the texts and finds
+        the distinct pieces; only these become Python texts."""
+        if self.prepare:
+            return self.numbers([t or "" for t in texts.to_pylist()])
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._numbers_of_column(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _numbers_of_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > MOST_PIECES or self.chars > MOST_CHARS:
+            self._shrink()
+        keys, index, counts = _cut(texts)
+        if not len(index):
+            return np.zeros(0, np.int64), counts
+        starts = (np.cumsum(counts) - counts)[counts > 0]
+        first = index[starts]
+        firsts = [FIRST + key for key in _listed(keys.take(pa.array(first)))]
+        later = np.bincount(index, minlength=len(keys)) > np.bincount(first, minlength=len(keys))
+        number, signs = self._numbers_of_keys(keys, later)
+        del keys
+        numbers = number[index]
+        numbers[starts] = self._numbers(firsts)
+        if signs is not None:
+            second = signs[index]
+            second[starts] = -1
+            both = second >= 0
+            ends = np.cumsum(both)
+            text_ends = np.concatenate([[0], ends])[np.cumsum(counts)]
+            counts += np.diff(text_ends, prepend=0)
+            numbers = np.repeat(numbers, 1 + both)
+            where = np.flatnonzero(both)
+            numbers[where + ends[where]] = second[where]
+        return self._safe(numbers, counts, lambda i: texts[i].as_py())
+
+    def _numbers_of_keys(self, keys: pa.Array, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """Numbers of the wanted keys, and of the signs after them where these are a piece of
+        their own, else -1; None if no key is cut."""
+        number, signs = np.zeros(len(keys), np.int64), None
+        where = np.flatnonzero(wanted)
+        keys = keys.filter(pa.array(wanted))
+        if self.signs_apart:
+            which, words, after = _signs_after_word(keys)
+            both = which.to_numpy(zero_copy_only=False)
+            after = after.dictionary_encode()
+            signs = np.full(len(number), -1, np.int64)
+            own = np.array(self._numbers([WHOLE + key for key in _listed(after.dictionary)]), np.int64)
+            signs[where[both]] = own[after.indices.to_numpy()]
+            keys = pa.concat_arrays([keys.filter(pc.invert(which)), words]).dictionary_encode()
+            where = np.concatenate([where[~both], where[both]])
+            number[where] = self._numbers(_listed(keys.dictionary))[keys.indices.to_numpy()]
+        else:
+            number[where] = self._numbers(_listed(keys))
+        return number, signs
+
     def gather(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has."""
         return self.gather_numbers(*self.numbers(texts))
 
+    def gather_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for an Arrow column, nulls as empty texts."""
+        return self.gather_numbers(*self.numbers_of_column(texts))
+
     def gather_numbers(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.size[numbers]
         ends = np.cumsum(sizes)
@@ -201,7 +303,6 @@ class PieceCache:
 
 #: Fixed value: the words of a byte-level pre-tokenizer that has no pattern of its own.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SIGNS = string.punctuation
 #: Words that are kept besides, of pieces that hold more than one.
 MOST_WORDS = 100_000
 
@@ -329,7 +430,9 @@ def library_cache(path: str) -> PieceCache:
     tokenizer.no_padding()
     steps = (told["normalizer"] or {}).get("normalizers", [])
     lowers = any(step["type"] == "Lowercase" for step in steps)
-    return PieceCache(_library_encode(tokenizer, told, lowers, single=False), latin_lower if lowers else None)
+    encode = _library_encode(tokenizer, told, lowers, single=False)
+    signs_apart = told["normalizer"] is None and _words_pattern(told) == BYTE_LEVEL_WORDS
+    return PieceCache(encode, latin_lower if lowers else None, signs_apart)
 
 
 def cache_of(path: str) -> PieceCache:

@@ -44,6 +44,20 @@ def test_pairs_of_one_bucket(monkeypatch):
     assert rank.tolist() == [place.get(p, -1) for p in pairs.tolist()]
 
 
+def test_counts_of_shared_buckets(monkeypatch):
+    """With more pairs than an exact count is made of, pairs of one bucket are still told apart."""
+    rng = np.random.default_rng(7)
+    pairs = rng.zipf(1.3, 20_000).astype(np.uint64) % np.uint64(3000)
+    monkeypatch.setattr(grammar, "BUCKETS", 1 << 10)
+    monkeypatch.setattr(grammar, "_buckets", lambda p: (p % np.uint64(1021)).astype(np.intp))
+    values, rank = grammar._ranked(pairs, 16)
+    found, counts = np.unique(pairs, return_counts=True)
+    order = np.argsort(-counts[counts >= 16], kind="stable")
+    assert values.tolist() == found[counts >= 16][order].tolist() and 1 < len(values) < len(found)
+    place = {v: i for i, v in enumerate(values.tolist())}
+    assert rank.tolist() == [place.get(p, -1) for p in pairs.tolist()]
+
+
 def test_no_frequent_pair_is_left():
     """A long passage that comes again and again becomes one rule, at the default."""
     rng = np.random.default_rng(3)
