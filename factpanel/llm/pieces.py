@@ -64,7 +64,7 @@ def _joined(parts: list[str]) -> list[str]:
 
 
 SIGNS = string.punctuation
-#: Latin-1 without the signs that count as letters in some versions of Unicode only.
+#: Of ASCII and Latin-1, without the letters ª, µ and º among the signs.
 LETTERS = string.ascii_letters + "".join(chr(c) for c in range(0xC0, 0x100) if chr(c) not in "×÷")
 
 
